@@ -19,6 +19,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import neardup
+
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), k=2, similarity=80)
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import tokencount
 
@@ -32,8 +38,15 @@ def op6_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+def op10_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import store, substrings
+
+    docs = table(spark, sf_dir, "documents")
+    return substrings.removed(docs, store.settle(substrings.repeats(docs, window=50)), digest=True)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_token_counts, op6_bpe_roundtrip)}
+    return {f.__name__: f for f in (op2_near_duplicates, op4_token_counts, op6_bpe_roundtrip, op10_repeated_passages)}
 
 
 def oracle_sql() -> dict[str, str]:
