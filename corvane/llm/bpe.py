@@ -239,7 +239,7 @@ def encode(docs: DataFrame, vocabulary: str, text: str = "text") -> DataFrame:
             ids, offs = c.encode(b.column(b.schema.get_field_index(text)))
             yield pa.RecordBatch.from_arrays([*b.columns, tk.lists(pa.array(ids.astype(np.int32)), offs)], [*b.schema.names, "ids"])
 
-    schema = docs.schema.add("ids", "array<int>")
+    schema = docs.select("*").schema.add("ids", "array<int>")
     return docs.mapInArrow(work, schema)
 
 
@@ -257,7 +257,7 @@ def decode(encoded: DataFrame, vocabulary: str, ids: str = "ids", out: str = "de
                 texts = [data[lo:hi].tobytes().decode("utf-8", "replace") for lo, hi in zip(offs[:-1], offs[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], [*b.schema.names, out])
 
-    return encoded.mapInArrow(work, encoded.schema.add(out, "string"))
+    return encoded.mapInArrow(work, encoded.select("*").schema.add(out, "string"))
 
 
 def digest(docs: DataFrame, vocabulary: str) -> DataFrame:

@@ -19,6 +19,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import quality
+
+    return quality.quality_query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import neardup
 
@@ -38,6 +44,12 @@ def op6_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import langid
+
+    return langid.language_query(table(spark, sf_dir, "documents"))
+
+
 def op10_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import store, substrings
 
@@ -46,7 +58,7 @@ def op10_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_near_duplicates, op4_token_counts, op6_bpe_roundtrip, op10_repeated_passages)}
+    return {f.__name__: f for f in (op1_quality, op2_near_duplicates, op4_token_counts, op6_bpe_roundtrip, op9_language, op10_repeated_passages)}
 
 
 def oracle_sql() -> dict[str, str]:
