@@ -38,6 +38,12 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.count_tokens(docs, vocabulary("piece_bpe_32k.model"), limit=4096)
 
 
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import simhash
+
+    return simhash.edited_pairs(table(spark, sf_dir, "documents"))
+
+
 def op6_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import bpe
 
@@ -58,7 +64,7 @@ def op10_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality, op2_near_duplicates, op4_token_counts, op6_bpe_roundtrip, op9_language, op10_repeated_passages)}
+    return {f.__name__: f for f in (op1_quality, op2_near_duplicates, op4_token_counts, op5_fingerprints, op6_bpe_roundtrip, op9_language, op10_repeated_passages)}
 
 
 def oracle_sql() -> dict[str, str]:
