@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import textkit as tk
 
@@ -239,7 +240,7 @@ def encode(docs: DataFrame, vocabulary: str, text: str = "text") -> DataFrame:
             ids, offs = c.encode(b.column(b.schema.get_field_index(text)))
             yield pa.RecordBatch.from_arrays([*b.columns, tk.lists(pa.array(ids.astype(np.int32)), offs)], [*b.schema.names, "ids"])
 
-    schema = docs.select("*").schema.add("ids", "array<int>")
+    schema = docs.select("*").schema.add("ids", T.ArrayType(T.IntegerType()))
     return docs.mapInArrow(work, schema)
 
 

@@ -64,6 +64,12 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.examples(turns.unionByName(more)))
 
 
+def op8_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import licences
+
+    return licences.scan(table(spark, sf_dir, "documents"))
+
+
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import langid
 
@@ -78,8 +84,10 @@ def op10_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality, op2_near_duplicates, op3_decontamination, op4_token_counts, op5_fingerprints, op6_bpe_roundtrip, op7_chat_format, op9_language, op10_repeated_passages)}
+    return {f.__name__: f for f in (op1_quality, op2_near_duplicates, op3_decontamination, op4_token_counts, op5_fingerprints, op6_bpe_roundtrip, op7_chat_format, op8_licence_scan, op9_language, op10_repeated_passages)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from . import licences
+
+    return {"op8_licence_scan": licences.oracle()}
