@@ -198,7 +198,7 @@ def repeats(docs: DataFrame, window: int = 50) -> DataFrame:
     marks = settle(own.where("doc_id = first").select("doc_id", F.explode(F.array_distinct("anchors")).alias("anchor")))
     shared = marks.groupBy("anchor").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("anchor")
     wanted = marks.join(shared, "anchor").groupBy("doc_id").agg(F.collect_list("anchor").alias("wanted"))
-    found = settle(_segments(docs.join(wanted, "doc_id"), window, k))
+    found = settle(_segments(docs.hint("merge").join(wanted, "doc_id"), window, k))
     key = ["anchor", "content"]
     firsts = found.groupBy(*key).agg(F.min("doc_id").alias("first"), F.min_by("start", "doc_id").alias("first_start"))
     spread = firsts.groupBy("anchor").agg(F.count("*").alias("contents")).where("contents > 1")
@@ -223,7 +223,7 @@ def removed(docs: DataFrame, found: DataFrame, digest: bool = False) -> DataFram
     """
     names = [c for c in docs.columns if c not in ("text", "n_words", "n_removed", "_whole", "_spans")]
     rest = ["doc_id"] if digest else names
-    rows = docs.select(*rest, F.col("text").cast("string").alias("text")).join(found.select("doc_id", F.col("whole").alias("_whole"), F.col("spans").alias("_spans")), "doc_id", "left")
+    rows = docs.select(*rest, F.col("text").cast("string").alias("text")).hint("merge").join(found.select("doc_id", F.col("whole").alias("_whole"), F.col("spans").alias("_spans")), "doc_id", "left")
     out = [*rest, "n_words", "n_removed", "kept_sha256" if digest else "text"]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
