@@ -1 +1,2 @@
 """Imports every module that registers queries."""
+from . import crosslingual  # noqa: F401
