@@ -1,2 +1,4 @@
 """Imports every module that registers queries."""
 from . import crosslingual  # noqa: F401
+from . import narrative  # noqa: F401
+from . import measures  # noqa: F401

@@ -59,4 +59,5 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sql(text: str) -> str:
     """DuckDB SQL over ``articles``."""
-    return "WITH articles AS (" + ARTICLES.replace("ARR(", "list_value(") + "),\n" + text.lstrip()
+    text = text.lstrip()
+    return "WITH articles AS (" + ARTICLES.replace("ARR(", "list_value(") + ")" + ("\n" if text.startswith("SELECT") else ",\n") + text
