@@ -223,7 +223,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, similarity: int = 80, bands: in
     block = F.least(F.greatest(F.ceil(F.col("n") / BLOCKS), F.lit(BLOCK_LEAST)), F.lit(BLOCK_MOST))
     members = groups.join(sizes, "component").select(F.col("node").alias("doc_id"), F.col("component").alias("key"), F.ceil(F.col("n") / block).cast("int").alias("blocks"))
     members = members.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
-    sets = with_sets(docs.join(members, "doc_id"), k)
+    # however few the members are in a small corpus, their number grows with it: the texts go by a shuffle at every size
+    sets = with_sets(docs.hint("merge").join(members, "doc_id"), k)
     pairs = sets.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "doc_id", "items")
     labels = components(verify(pairs, similarity, 100)).withColumnRenamed("node", "rep")
     out = own_rep.select("doc_id", "n_shingles", "rep").join(labels, "rep", "left")
