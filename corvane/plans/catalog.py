@@ -3,3 +3,4 @@ from . import crosslingual  # noqa: F401
 from . import narrative  # noqa: F401
 from . import measures  # noqa: F401
 from . import questions  # noqa: F401
+from . import texts  # noqa: F401
