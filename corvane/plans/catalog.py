@@ -4,3 +4,4 @@ from . import narrative  # noqa: F401
 from . import measures  # noqa: F401
 from . import questions  # noqa: F401
 from . import texts  # noqa: F401
+from . import advanced  # noqa: F401

@@ -269,7 +269,7 @@ def depth(spark, sf):
 def pagerank(spark, sf):
     e = _edges(spark, sf, 30)
     both = e.select(F.col("a").alias("src"), F.col("b").alias("dst"), F.col("n").alias("weight")).unionByName(e.select(F.col("b").alias("src"), F.col("a").alias("dst"), F.col("n").alias("weight")))
-    return graph.pagerank(both, rounds=40).withColumn("rank", F.round("rank", 6))
+    return graph.pagerank(both, rounds=20).withColumn("rank", F.round("rank", 6))
 
 
 @query("g21_communities")
