@@ -24,7 +24,7 @@ def visible(html: Column) -> Column:
     """The text of a page: without scripts, styles and comments, block ends as line feeds, other tags removed."""
     x = F.regexp_replace(html, r"(?is)<(script|style|noscript)\b[^>]*>.*?</\1>|<!--.*?-->", "")
     x = F.regexp_replace(x, r"(?i)</(p|div|li|h[1-6]|tr|section|article)>|<br\s*/?>", "\n")
-    return F.regexp_replace(clean(x), r"\s*\n\s*", "\n")
+    return F.regexp_replace(F.regexp_replace(clean(x), r"\s*\n\s*", "\n"), r"^\s+|\s+$", "")
 
 
 def words(text: Column) -> Column:
