@@ -2,7 +2,7 @@
 
 Texts are cut into sentences, normalised ones are looked up among known licence sentences, and each document's sequence
 of identifiers is matched against the ordered rules of the licences. A text is read twice: with line feeds as ends of
-sentences (notices on lines of their own) and without (wrapped paragraphs). The known sentences are a fixed table and
+sentences (notices on lines of their own) and with empty lines only (wrapped paragraphs). The known sentences are a fixed table and
 are broadcast; only rows with a known sentence are shuffled.
 
 Cases: null and empty texts have no sentences; a sentence counts as often as it occurs, but a licence is named once;
@@ -19,11 +19,12 @@ SENTENCES = [
     (1, "released under the mit license"),
     (2, "licensed under the mit license"),
     (3, "this project is licensed under the mit license"),
-    (4, "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software"),
+    (4, "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions"),
+    (28, "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software"),
     (5, "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement"),
     (6, "licensed under the apache license version 2 0"),
     (7, "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license"),
-    (8, "you may obtain a copy of the license at http www apache org licenses license 2 0 unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied"),
+    (8, "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied"),
     (9, "see the license for the specific language governing permissions and limitations under the license"),
     (10, "this work is licensed under the gnu general public license version 3"),
     (11, "licensed under the gnu general public license version 3"),
@@ -35,7 +36,7 @@ SENTENCES = [
     (17, "licensed under cc by sa 4 0"),
     (18, "this work is licensed under a creative commons attribution 4 0 international license"),
     (19, "this work is licensed under a creative commons attribution noncommercial 4 0 international license"),
-    (20, "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met 1"),
+    (20, "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"),
     (21, "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer"),
     (22, "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution"),
     (23, "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission"),
@@ -46,8 +47,8 @@ SENTENCES = [
 ]
 # A licence is found where one of its rules, an ordered run of identifiers, stands in the sequence.
 RULES = [
-    ("MIT", ["1", "2", "3", "4,5"]),
-    ("Apache-2.0", ["6", "7", "7,8", "8,9"]),
+    ("MIT", ["1", "2", "3", "4,28,5"]),
+    ("Apache-2.0", ["6", "7", "8,9"]),
     ("GPL-3.0", ["10", "11", "12,14"]),
     ("GPL-2.0", ["13,14"]),
     ("CC-BY-NC-4.0", ["15", "19"]),
@@ -60,7 +61,7 @@ RULES = [
     ("Unlicense", ["26"]),
     ("All-Rights-Reserved", ["27"]),
 ]
-ENDS, SPACES = "[.!?]+[ \\t\\r\\n]+", "[\\r\\n]+"
+ENDS, LINES, PARAGRAPHS = "[.!?]+[ \\t\\r\\n]+", "[\\r\\n]+", "\\n[ \\t\\r]*\\n"
 
 
 def known(spark: SparkSession) -> DataFrame:
@@ -83,8 +84,8 @@ def scan(docs: DataFrame) -> DataFrame:
     """``doc_id, n_sentences, sentence_ids, licences`` for each row of ``docs``: how many known sentences, their
     identifiers in order, and the licences found, comma-joined in the order of the rules ('' if none)."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    whole = F.split(F.regexp_replace(text, SPACES, " "), ENDS, -1)
-    lines = F.split(text, f"{ENDS}|{SPACES}", -1)
+    whole = F.split(text, f"{ENDS}|{PARAGRAPHS}", -1)
+    lines = F.split(text, f"{ENDS}|{LINES}", -1)
     pieces = docs.where("doc_id is not null").select("doc_id", F.posexplode(F.array(lines, whole)).alias("way", "cut")).select("doc_id", "way", F.posexplode("cut").alias("at", "said"))
     shortest = min(len(s) for _, s in SENTENCES)
     pieces = pieces.where(F.length("said") >= shortest).select("doc_id", "way", "at", normal(F.col("said")).alias("said"))
@@ -108,7 +109,7 @@ WITH known(id, said) AS (VALUES {said}),
 cut AS (
   SELECT doc_id, 0 AS way, regexp_split_to_array(coalesce(text, ''), '[.!?]+[ \\t\\r\\n]+|[\\r\\n]+') AS p FROM {table}
   UNION ALL
-  SELECT doc_id, 1, regexp_split_to_array(regexp_replace(coalesce(text, ''), '[\\r\\n]+', ' ', 'g'), '[.!?]+[ \\t\\r\\n]+') FROM {table}),
+  SELECT doc_id, 1, regexp_split_to_array(coalesce(text, ''), '[.!?]+[ \\t\\r\\n]+|\\n[ \\t\\r]*\\n') FROM {table}),
 piece AS (SELECT doc_id, way, unnest(p) AS s, unnest(range(len(p))) AS pos FROM cut),
 hit AS (SELECT doc_id, way, pos, id FROM piece JOIN known ON trim(regexp_replace(lower(s), '[^a-z0-9]+', ' ', 'g')) = said),
 seq AS (SELECT doc_id, coalesce(count(*) FILTER (way = 0), 0) AS n,
