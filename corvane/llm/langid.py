@@ -72,7 +72,7 @@ class LetterWords:
         h = np.zeros(len(marked), np.uint64)
         for n in range(1, LONGEST + 1):
             nxt = np.zeros(len(marked), np.uint64)
-            nxt[: len(marked) - n + 1] = marked[n - 1 :]
+            nxt[: max(0, len(marked) - n + 1)] = marked[n - 1 :]
             h = tk.mix(h * np.uint64(0x100000001B3) + nxt + np.uint64(n))
             acc[n] = h
         for n in range(LONGEST, 0, -1):
