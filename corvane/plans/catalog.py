@@ -5,3 +5,4 @@ from . import measures  # noqa: F401
 from . import questions  # noqa: F401
 from . import texts  # noqa: F401
 from . import advanced  # noqa: F401
+from . import more  # noqa: F401
