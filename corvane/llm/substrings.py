@@ -7,9 +7,9 @@ with one anchor make a segment, and all segments of an anchor meet in one shard.
 before any text moves; equal segments, and documents with equal words, are streamed once, for their smallest id.
 
 Within a shard the index's suffix intervals tell for every window the smallest document that has it. An anchor of more
-than ``HOT`` different segments (a passage's edge in very many documents) is not one shard: its windows are keyed by
-their own content instead, and their smallest document is an ordinary aggregate. Both ways are exact (windows and
-segments are compared as 128-bit hashes).
+than ``HOT`` different segments (a passage's edge in very many documents) is not one shard: its segments are cut again by anchors of longer
+grams, and what is too much there still goes by single windows, whose smallest document is an ordinary aggregate.
+All ways are exact (segments and windows are compared as 128-bit hashes).
 
 Cases: null and empty texts have no words; texts shorter than the window keep all; a passage twice in one document
 stays if no smaller document has it; rows that repeat an id and its text get the same result; rows with a null id are
@@ -167,23 +167,49 @@ def _shards(segments: DataFrame, window: int) -> DataFrame:
     return rows.mapInArrow(work, f"anchor long, content long, spans {SPANS}")
 
 
-def _windows(segments: DataFrame, window: int) -> DataFrame:
-    """Every window of the segments: ``w1, w2`` (its content), ``doc_id, anchor, content, at``."""
+def _parts(segments: DataFrame, window: int, k: int) -> DataFrame:
+    """The segments cut anew by longer grams: ``doc_id, p_anchor, p_content`` (whose), ``start, n, anchor, content, words``.
+
+    At ``k`` = ``window`` a part is a window, keyed by its own content, and goes without its words.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in tk.slices(batches, "words", 1 << 18):
-            s = Segmented(b.column(3), window, 1)
-            n = s.words.counts - window + 1
-            row = np.repeat(np.arange(b.num_rows), n)
-            at = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
-            a = s.words.first[row] + at
-            take = pa.array(row)
+            s = Segmented(b.column(3), window, k)
+            w, lo, hi = s.words, s.words.start[s.a], s.words.end[s.b - 1]
+            text = tk.strings(tk.gather(w.data, lo, hi), np.r_[0, np.cumsum(hi - lo)]) if k < window else pa.nulls(len(s.a), pa.string())
+            take = pa.array(s.row)
             yield pa.RecordBatch.from_arrays(
-                [*(pa.array(s.content(a, a + window, salt).view(np.int64)) for salt in (0, 0x2545F4914F6CDD1D)), *(b.column(i).take(take) for i in range(3)), pa.array(at, pa.int32())], ["w1", "w2", "doc_id", "anchor", "content", "at"]
+                [*(b.column(i).take(take) for i in range(3)), pa.array(s.a - w.first[s.row], pa.int32()), pa.array(s.b - s.a, pa.int32()), pa.array(s.anchor.view(np.int64)), pa.array(s.content(s.a, s.b, 0x1B873593CC9E2D51).view(np.int64)), text],
+                ["doc_id", "p_anchor", "p_content", "start", "n", "anchor", "content", "words"],
             )
 
     kind = segments.schema["doc_id"].dataType.simpleString()
-    return segments.select("doc_id", "anchor", "content", "words").mapInArrow(work, f"w1 long, w2 long, doc_id {kind}, anchor long, content long, at int")
+    return segments.select("doc_id", "anchor", "content", "words").mapInArrow(work, f"doc_id {kind}, p_anchor long, p_content long, start int, n int, anchor long, content long, words string")
+
+
+def _resolve(found: DataFrame, owner: list[str], window: int, grams: list[int]) -> DataFrame:
+    """``owner`` columns and ``spans``: what of each owner's segments smaller documents have, relative to the owner.
+
+    ``grams`` are the longer grams that anchors of too many different segments are cut by, one after the other.
+    """
+    key = ["anchor", "content"]
+    # settled, so that the join below has a shuffle of its own and splits a key that very many documents share
+    firsts = settle(found.groupBy(*key).agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.min_by("start", "doc_id").alias("first_start")))
+    within = found.drop("words").join(firsts.where("first < last").select(*key, "first"), key).where("doc_id > first")
+    spans = within.select(*owner, F.array(F.struct(F.col("start").alias("s"), (F.col("start") + F.col("n")).alias("e"))).cast(SPANS).alias("spans"))
+    if grams:
+        spread = settle(firsts.groupBy("anchor").agg(F.count("*").alias("contents")).where("contents > 1"))
+        distinct = settle(found.join(firsts, key).where("doc_id = first and start = first_start").join(spread, "anchor").select("doc_id", *key, "words", "n", "contents").dropDuplicates(key))
+        of = _shards(distinct.where(F.col("contents") <= HOT), window)
+        hot = distinct.where(F.col("contents") > HOT)
+        if not hot.isEmpty():
+            parts = settle(_parts(hot, window, grams[0]))
+            hot = _resolve(parts, ["doc_id", "p_anchor", "p_content"], window, grams[1:])
+            of = of.unionByName(hot.select(F.col("p_anchor").alias("anchor"), F.col("p_content").alias("content"), "spans"))
+        own = found.drop("words").join(firsts.select(*key, "first"), key).where("doc_id = first").join(settle(of), key)
+        spans = spans.unionByName(own.select(*owner, F.transform("spans", lambda x: F.struct((x["s"] + F.col("start")).alias("s"), (x["e"] + F.col("start")).alias("e"))).cast(SPANS).alias("spans")))
+    return spans.groupBy(*owner).agg(F.flatten(F.collect_list("spans")).alias("spans"))
 
 
 def repeats(docs: DataFrame, window: int = 50) -> DataFrame:
@@ -192,26 +218,13 @@ def repeats(docs: DataFrame, window: int = 50) -> DataFrame:
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text")).where("doc_id is not null")
     own = settle(_scan(docs, window, k)).where(F.col("n_words") >= window)
     digest = ["n_words", "d1", "d2"]
-    first = own.groupBy(*digest).agg(F.min("doc_id").alias("first"))
-    own = own.join(first, digest)
+    own = own.join(settle(own.groupBy(*digest).agg(F.min("doc_id").alias("first"))), digest)
     copies = own.where("doc_id > first").select("doc_id").distinct()
     marks = settle(own.where("doc_id = first").select("doc_id", F.explode(F.array_distinct("anchors")).alias("anchor")))
-    shared = marks.groupBy("anchor").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("anchor")
+    shared = settle(marks.groupBy("anchor").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("anchor"))
     wanted = marks.join(shared, "anchor").groupBy("doc_id").agg(F.collect_list("anchor").alias("wanted"))
     found = settle(_segments(docs.hint("merge").join(wanted, "doc_id"), window, k))
-    key = ["anchor", "content"]
-    firsts = found.groupBy(*key).agg(F.min("doc_id").alias("first"), F.min_by("start", "doc_id").alias("first_start"))
-    spread = firsts.groupBy("anchor").agg(F.count("*").alias("contents")).where("contents > 1")
-    distinct = settle(found.join(firsts, key).where("doc_id = first and start = first_start").join(spread, "anchor").select("doc_id", "anchor", "content", "words", "n", "contents").dropDuplicates(key))
-    cold = _shards(distinct.where(F.col("contents") <= HOT), window)
-    hot = _windows(distinct.where(F.col("contents") > HOT), window)
-    least = hot.groupBy("w1", "w2").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("w1", "w2", "lo")
-    hot = hot.join(least, ["w1", "w2"]).where("doc_id > lo").groupBy(*key).agg(F.collect_list(F.struct(F.col("at").alias("s"), (F.col("at") + window).cast("int").alias("e"))).alias("spans"))
-    of = cold.unionByName(hot.select("anchor", "content", F.col("spans").cast(SPANS).alias("spans")))
-    within = found.select("doc_id", "start", "n", *key).join(firsts.select(*key, "first"), key)
-    later = within.where("doc_id > first").select("doc_id", F.array(F.struct(F.col("start").alias("s"), (F.col("start") + F.col("n")).alias("e"))).cast(SPANS).alias("spans"))
-    own_spans = within.where("doc_id = first").join(of, key).select("doc_id", F.transform("spans", lambda x: F.struct((x["s"] + F.col("start")).alias("s"), (x["e"] + F.col("start")).alias("e"))).cast(SPANS).alias("spans"))
-    spans = later.unionByName(own_spans).groupBy("doc_id").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    spans = _resolve(found, ["doc_id"], window, sorted({max(k, 2 * window // 3), window}))
     whole = copies.select("doc_id", F.lit(True).alias("whole"), F.lit(None).cast(SPANS).alias("spans"))
     return whole.unionByName(spans.select("doc_id", F.lit(False).alias("whole"), "spans"))
 
