@@ -17,6 +17,8 @@ def settle(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir has to name a folder that all nodes share")
         folder = tempfile.mkdtemp(prefix="corvane-")
         spark.sparkContext.setCheckpointDir(folder)
     path = f"{folder.rstrip('/')}/table-{uuid.uuid4().hex}"
