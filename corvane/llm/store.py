@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``; where it is unset (tests), a folder that this process picks once."""
+    """The cluster's ``spark.checkpoint.dir``; where it is unset and the master local (tests), a folder picked once."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir has to name a folder that all nodes share")
         found = tempfile.mkdtemp(prefix="corvane-")
         spark.sparkContext.setCheckpointDir(found)
     return found.rstrip("/")
