@@ -7,13 +7,15 @@ longer than that is a slice of its own and is never cut.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 
 #: Bytes of text worked on at once; arrays of eight bytes for each byte of text are made.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 _SEED = np.random.default_rng(20240229)
 #: Random values for each byte; a word's hash is a polynomial over them, modulo 2**64, then mixed.
 BYTE_VALUES = _SEED.integers(0, 2**64, 256, dtype=np.uint64)
@@ -67,6 +69,13 @@ def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offs[0] : offs[-1]], offs - offs[0]
 
 
+def release() -> None:
+    """Give freed memory back to the system: workers outlive their tasks, and an executor's idle ones would keep it."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # another C library
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int | None = None) -> Iterator[pa.RecordBatch]:
     """The rows of ``batches`` in order, as batches whose texts have ``most`` bytes at the most, or of one row."""
     most = most or SLICE_BYTES
@@ -77,6 +86,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int |
             to = max(at + 1, int(np.searchsorted(offs, offs[at] + most, "right")) - 1)
             yield batch.slice(at, to - at)
             at = to
+    release()
 
 
 class Words:
