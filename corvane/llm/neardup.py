@@ -214,10 +214,11 @@ def near_duplicates(docs: DataFrame, k: int = 5, similarity: int = 80, bands: in
     least = -(-similarity // (100 - similarity)) if similarity < 100 else 1 << 62  # smaller sets are linked only if equal
     own = settle(sketch(docs, k, least, bands, rows))
     digest = ["n_shingles", "d1", "d2"]
-    first = own.where("n_shingles > 0 and doc_id is not null").groupBy(*digest).agg(F.min("doc_id").alias("rep"))
+    # aggregates are settled before they are joined back: a join with shuffles of its own splits a hot key
+    first = settle(own.where("n_shingles > 0 and doc_id is not null").groupBy(*digest).agg(F.min("doc_id").alias("rep")))
     own_rep = settle(own.join(first, digest, "left").select("doc_id", "n_shingles", "rep", F.when(F.col("doc_id") == F.col("rep"), F.col("bands")).alias("bands")))
     keyed = own_rep.where("bands is not null").select("doc_id", F.explode("bands").alias("band"))
-    star = keyed.groupBy("band").agg(F.min("doc_id").alias("center"), F.count("*").alias("n")).where("n > 1").drop("n")
+    star = settle(keyed.groupBy("band").agg(F.min("doc_id").alias("center"), F.count("*").alias("n")).where("n > 1").drop("n"))
     groups = settle(components(keyed.join(star, "band").where("doc_id <> center").select("doc_id", "center")))
     sizes = groups.groupBy("component").agg(F.count("*").alias("n"))
     block = F.least(F.greatest(F.ceil(F.col("n") / BLOCKS), F.lit(BLOCK_LEAST)), F.lit(BLOCK_MOST))
