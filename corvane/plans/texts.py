@@ -4,7 +4,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import stats, text, urls
-from ..operators import entities, graph, search
+from ..operators import entities, graph, search, titles
 from ..sources import tables
 from .registry import query
 from .standins import articles, sql, table
@@ -106,6 +106,12 @@ def similar_titles(spark, sf):
     return a.join(b, "s").where("a < b").where(F.levenshtein("a", "b") < 0.2 * F.greatest(F.length("a"), F.length("b"))).select("a", "b").distinct()
 
 
+@query("f21_titles_alike")
+def titles_alike(spark, sf):
+    """All titles of all documents; f21_similar_titles is the sample of its edit distance that SQL can follow."""
+    return titles.alike(table(spark, sf, "documents").select(text.title_form(F.regexp_extract("text", "^[^\n]*", 0)).alias("form")))
+
+
 _BM = """WITH w AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+')) AS term FROM documents), l AS (SELECT doc_id, count(*) AS n FROM w GROUP BY 1),
 s AS (SELECT (SELECT count(*) FROM documents) AS n, (SELECT sum(n) FROM l) / (SELECT count(*) FROM documents) AS mean), tf AS (SELECT doc_id, term, count(*) AS tf FROM w WHERE term IN ('ernt', 'hand') GROUP BY 1, 2),
 df AS (SELECT term, count(*) AS df FROM tf GROUP BY 1)"""
