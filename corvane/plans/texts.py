@@ -263,6 +263,15 @@ def components(spark, sf):
     return graph.components(l)
 
 
+@query("g16_components_whole", """
+WITH RECURSIVE e AS (SELECT DISTINCT l_suppkey AS a, -1 - l_partkey AS b FROM lineitem), o AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
+r(node, c) AS (SELECT a, a FROM o UNION SELECT o.b, r.c FROM r JOIN o ON o.a = r.node)
+SELECT node, min(c) AS component FROM r GROUP BY node""")
+def components_whole(spark, sf):
+    """All edges of lineitem; parts are negative, so that no number of suppliers meets them. g16_components is a sample."""
+    return graph.components(table(spark, sf, "lineitem").select(F.col("l_suppkey").alias("a"), (-1 - F.col("l_partkey")).alias("b")).distinct())
+
+
 @query("g22_depth", """
 WITH RECURSIVE e AS (SELECT DISTINCT user_id AS s, user_id // 3 + 1 AS d FROM events WHERE user_id > 3), w(root, node, k) AS (SELECT DISTINCT s, s, 0 FROM e WHERE s NOT IN (SELECT d FROM e) UNION ALL SELECT root, e.d, k + 1 FROM w JOIN e ON e.s = w.node WHERE k < 20),
 n AS (SELECT root, node, min(k) AS k FROM w GROUP BY 1, 2) SELECT root, CAST(max(k) AS BIGINT) AS depth FROM n GROUP BY root""")

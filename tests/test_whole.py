@@ -5,7 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from corvane.functions import text
-from corvane.operators import titles
+from corvane.operators import questions, titles
 from corvane.plans import registry
 from corvane.plans.standins import table
 
@@ -40,3 +40,39 @@ def test_titles_of_all_documents(spark, small):
     forms = [r[0] for r in table(spark, small, "documents").select(text.title_form(first)).collect()]
     want = _alike(spark, forms)
     assert want and {tuple(r) for r in registry.queries()["f21_titles_alike"](spark, small).select("a", "b").collect()} == want
+
+
+def test_components_of_all_parts(spark, small):
+    """Against union-find over every edge of lineitem."""
+    edges = [tuple(r) for r in table(spark, small, "lineitem").select("l_suppkey", "l_partkey").distinct().collect()]
+    parent = {}
+
+    def root(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        x, y = sorted((root(a), root(-1 - b)))
+        parent[y] = x
+    got = {r.node: r.component for r in registry.queries()["g16_components_whole"](spark, small).collect()}
+    assert got == {n: root(n) for n in list(parent)}
+
+
+def test_setters_know_all_history(spark):
+    """A pair of twenty days ago is not new; the place and code that history lacks are."""
+    import datetime
+
+    day, rows = datetime.date(2024, 1, 30), []
+    for back, place, code, i in ((0, "US", "ECO", 1), (0, "KR", "POL", 2), (20, "US", "ECO", 8), (31, "KR", "POL", 9)):
+        rows.append((i, day - datetime.timedelta(back), "s", "major", place, [code]))
+    a = spark.createDataFrame(rows, "article_id long, day date, source string, source_tier string, geo_focus_primary string, steeps_all array<string>")
+    assert [tuple(r) for r in questions.setters(a, day).collect()] == [("s", "major", 1)]
+
+
+def test_setters_query_is_over_the_whole_table(spark, small):
+    from corvane.plans.standins import articles
+
+    a = articles(spark, small)
+    want = {tuple(r) for r in questions.setters(a, a.selectExpr("max(day)").first()[0]).collect()}
+    assert {tuple(r) for r in registry.queries()["q11_setters_history"](spark, small).select("source", "source_tier", "n").collect()} == want
