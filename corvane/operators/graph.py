@@ -84,11 +84,11 @@ def depth(spark: SparkSession, edges: DataFrame, most: int = 20) -> DataFrame:
       SELECT root, CAST(max(d) AS BIGINT) AS depth FROM near GROUP BY root""")
 
 
-def communities(edges: DataFrame, rounds: int = 10) -> DataFrame:
+def communities(edges: DataFrame, rounds: int = 200) -> DataFrame:
     """``node, community``: each node takes the label with most weight around it (its own among equals, then the smallest).
 
-    A fixed number of synchronous rounds from the node's own name; even and odd rounds move one half of the nodes each,
-    which keeps pairs from swapping labels for ever.
+    Synchronous rounds from the node's own name until no node would move; another half of the nodes, by a hash, may move
+    in each round, which keeps pairs from swapping labels for ever.
     """
     both = settle(edges.select("a", "b", "n").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"), "n")))
     labels = settle(both.select(F.col("a").alias("node")).distinct().withColumn("community", F.col("node")))
@@ -96,9 +96,13 @@ def communities(edges: DataFrame, rounds: int = 10) -> DataFrame:
         votes = both.join(labels, both.b == labels.node).groupBy(F.col("a").alias("v"), "community").agg(F.sum("n").alias("w"))
         votes = votes.join(labels.select(F.col("node").alias("v"), F.col("community").alias("own")), "v")
         best = votes.groupBy("v").agg(F.min(F.struct((-F.col("w")).alias("w"), (F.col("community") != F.col("own")).alias("o"), "community")).alias("m"))
-        turn = F.pmod(F.xxhash64("node"), F.lit(2)) == i % 2
-        labels = settle(labels.join(best, F.col("node") == F.col("v")).select("node", F.when(turn, F.col("m.community")).otherwise(F.col("community")).alias("community")))
-    return labels
+        turn = F.pmod(F.xxhash64("node", F.lit(i)), F.lit(2)) == 0
+        new = labels.join(best, F.col("node") == F.col("v")).select("node", F.when(turn, F.col("m.community")).otherwise(F.col("community")).alias("community"), (F.col("m.community") != F.col("community")).alias("moves"))
+        new = settle(new)
+        labels = new.drop("moves")
+        if new.where("moves").isEmpty():
+            return labels
+    raise RuntimeError("labels did not settle")
 
 
 def modularity(edges: DataFrame, labels: DataFrame) -> DataFrame:

@@ -237,8 +237,8 @@ _EDGES = """e AS (SELECT article_id, list_sort(list_distinct(list_concat(entitie
 g AS (SELECT a, b, count(*) AS n FROM p WHERE a < b GROUP BY 1, 2 HAVING count(*) >= 3)"""
 
 
-def _edges(spark, sf, least=3):
-    return entities.cooccurrence(articles(spark, sf), ["entities_person", "entities_org"], least)
+def _edges(spark, sf):
+    return entities.cooccurrence(articles(spark, sf), ["entities_person", "entities_org"])
 
 
 @query("g16_degree", sql(_EDGES + ", o AS (SELECT a AS node FROM g UNION ALL SELECT b FROM g) SELECT node, count(*) AS degree FROM o GROUP BY node"))
@@ -282,14 +282,14 @@ def depth(spark, sf):
 
 @query("g19_pagerank")
 def pagerank(spark, sf):
-    e = _edges(spark, sf, 30)
+    e = _edges(spark, sf)
     both = e.select(F.col("a").alias("src"), F.col("b").alias("dst"), F.col("n").alias("weight")).unionByName(e.select(F.col("b").alias("src"), F.col("a").alias("dst"), F.col("n").alias("weight")))
-    return graph.pagerank(both, rounds=20).withColumn("rank", F.round("rank", 6))
+    return graph.pagerank(both).withColumn("rank", F.round("rank", 6))
 
 
 @query("g21_communities")
 def communities(spark, sf):
-    return graph.communities(_edges(spark, sf, 30), rounds=4)
+    return graph.communities(_edges(spark, sf))
 
 
 @query("g16_modularity", sql(_EDGES + """, m AS (SELECT sum(n) AS m FROM g), i AS (SELECT left(a, 1) AS c, sum(n) AS inside FROM g WHERE left(a, 1) = left(b, 1) GROUP BY 1),

@@ -2,10 +2,11 @@
 
 import random
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from corvane.functions import text
-from corvane.operators import questions, titles
+from corvane.operators import graph, questions, titles
 from corvane.plans import registry
 from corvane.plans.standins import table
 
@@ -76,3 +77,44 @@ def test_setters_query_is_over_the_whole_table(spark, small):
     a = articles(spark, small)
     want = {tuple(r) for r in questions.setters(a, a.selectExpr("max(day)").first()[0]).collect()}
     assert {tuple(r) for r in registry.queries()["q11_setters_history"](spark, small).select("source", "source_tier", "n").collect()} == want
+
+
+def _graph(spark, small):
+    from corvane.operators import entities
+    from corvane.plans.standins import articles
+
+    return {(r.a, r.b): r.n for r in entities.cooccurrence(articles(spark, small), ["entities_person", "entities_org"]).collect()}
+
+
+def test_pagerank_of_all_links(spark, small):
+    """Against power iteration over every link of three articles until it stands still."""
+    edges = _graph(spark, small)
+    nodes = sorted({x for e in edges for x in e})
+    at = {x: i for i, x in enumerate(nodes)}
+    m = np.zeros((len(nodes), len(nodes)))
+    for (a, b), n in edges.items():
+        m[at[a], at[b]] = m[at[b], at[a]] = n
+    m = m / m.sum(1, keepdims=True)
+    r = np.full(len(nodes), 1 / len(nodes))
+    for _ in range(500):
+        r = 0.15 / len(nodes) + 0.85 * r @ m
+    got = {x.node: x.rank for x in registry.queries()["g19_pagerank"](spark, small).collect()}
+    assert set(got) == set(nodes) and max(abs(got[x] - r[at[x]]) for x in nodes) < 3e-6
+
+
+def test_communities_of_all_links_are_settled(spark, small):
+    """Every node has a label with most weight around it."""
+    edges, got = _graph(spark, small), {x.node: x.community for x in registry.queries()["g21_communities"](spark, small).collect()}
+    weight = {}
+    for (a, b), n in edges.items():
+        for v, u in ((a, b), (b, a)):
+            weight.setdefault(v, {}).setdefault(got[u], 0)
+            weight[v][got[u]] += n
+    assert set(got) == set(weight)
+    assert all(w.get(got[v], 0) == max(w.values()) for v, w in weight.items())
+
+
+def test_labels_spread_along_long_paths(spark):
+    e = [(f"n{i:02}", f"n{i + 1:02}", 100 - i) for i in range(30)]
+    got = {r.node: r.community for r in graph.communities(spark.createDataFrame(e, "a string, b string, n long")).collect()}
+    assert len(got) == 31 and all(got[a] == got[b] for a, b, n in e[:2])
