@@ -41,7 +41,7 @@ def cycles(spark, sf):
 
 @query("s6_causality")
 def causality(spark, sf):
-    return P.causality(_volume(spark, sf).where("series <> 'all'"), lags=3).withColumn("p", F.round("p", 9)).withColumn("strength", F.round("strength", 9))
+    return P.causality(_volume(spark, sf).where("series <> 'all'")).withColumn("p", F.round("p", 9)).withColumn("strength", F.round("strength", 9))
 
 
 @query("s6_alignment")

@@ -20,6 +20,16 @@ def tfidf(spark, sf):
     return features.tfidf(table(spark, sf, "benchmark"), key="item_id").withColumn("weight", F.round("weight", 6))
 
 
+@query("a26_tfidf_documents", """
+WITH w AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{N}]{2,}')) AS term FROM documents), t AS (SELECT doc_id, term, count(*) AS tf FROM w GROUP BY 1, 2), n AS (SELECT count(*) AS n FROM documents),
+d AS (SELECT term, ln((1 + n) / (1 + count(*))) + 1 AS idf FROM t, n GROUP BY term, n HAVING count(*) >= 2 AND count(*) <= 0.95 * n), x AS (SELECT doc_id, t.term, (1 + ln(tf)) * idf AS w FROM t JOIN d ON d.term = t.term),
+y AS (SELECT doc_id, term, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS weight FROM x), r AS (SELECT *, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY round(weight, 9) DESC, term) AS INT) AS rank FROM y)
+SELECT doc_id, term, round(weight, 6) AS weight, rank FROM r WHERE rank <= 20""")
+def tfidf_documents(spark, sf):
+    """The corpus; a26_tfidf is over the benchmark's items."""
+    return features.tfidf(table(spark, sf, "documents")).withColumn("weight", F.round("weight", 6))
+
+
 @query("f38_frame_divergence", sql("""
 n AS (SELECT source, title AS term, count(*) AS n FROM articles GROUP BY 1, 2), p AS (SELECT source, term, n / sum(n) OVER (PARTITION BY source) AS p FROM n),
 f AS (SELECT s.source, t.term, coalesce(p, 0) + 1e-10 AS p FROM (SELECT DISTINCT source FROM n) s CROSS JOIN (SELECT DISTINCT term FROM n) t LEFT JOIN p ON p.source = s.source AND p.term = t.term)
@@ -52,17 +62,17 @@ def lexicon(spark, sf):
 
 @query("a34_kmeans")
 def kmeans(spark, sf):
-    return features.clusters(table(spark, sf, "embeddings"), (5, 10)).groupBy("cluster").agg(F.count("*").alias("n"))
+    return features.clusters(table(spark, sf, "embeddings")).groupBy("cluster").agg(F.count("*").alias("n"))
 
 
 @query("a33_topics")
 def topics(spark, sf):
-    return features.topics(table(spark, sf, "benchmark"), k=5, key="item_id")
+    return features.topics(table(spark, sf, "documents"))
 
 
 @query("a25_hashed_embeddings")
 def embedded(spark, sf):
-    return table(spark, sf, "benchmark").select("item_id", features.hashed_embedding(F.col("text"), 16).alias("embedding"))
+    return table(spark, sf, "documents").select("doc_id", features.hashed_embedding(F.col("text")).alias("embedding"))
 
 
 @query("m7_findings", sql("""

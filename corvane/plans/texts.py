@@ -91,7 +91,7 @@ def steeps_scores(spark, sf):
 
 @query("f22_simhash")
 def simhash(spark, sf):
-    return table(spark, sf, "benchmark").select("item_id", text.simhash64(F.col("text")).alias("simhash"))
+    return table(spark, sf, "documents").select("doc_id", text.simhash64(F.col("text")).alias("simhash"))
 
 
 @query("f21_similar_titles", """

@@ -118,3 +118,23 @@ def test_labels_spread_along_long_paths(spark):
     e = [(f"n{i:02}", f"n{i + 1:02}", 100 - i) for i in range(30)]
     got = {r.node: r.community for r in graph.communities(spark.createDataFrame(e, "a string, b string, n long")).collect()}
     assert len(got) == 31 and all(got[a] == got[b] for a, b, n in e[:2])
+
+
+def test_features_of_all_documents(spark, small):
+    q, ids = registry.queries(), {r[0] for r in table(spark, small, "documents").select("doc_id").collect()}
+    for name in ("f22_simhash", "a25_hashed_embeddings", "a33_topics"):
+        assert {r[0] for r in q[name](spark, small).select("doc_id").collect()} == ids
+    assert {r[0] for r in q["a25_hashed_embeddings"](spark, small).selectExpr("size(embedding)").distinct().collect()} == {64}
+    assert {r[0] for r in q["a26_tfidf_documents"](spark, small).select("doc_id").distinct().collect()} <= ids
+
+
+def test_clusters_and_lags_are_the_operators_own(spark, small, monkeypatch):
+    from corvane.operators import features, grouped
+    from corvane.plans import advanced, more
+
+    seen = []
+    monkeypatch.setattr(more.features, "clusters", lambda v, *a, f=features.clusters, **k: seen.append((a, k)) or f(v, *a, **k))
+    monkeypatch.setattr(advanced.P, "causality", lambda s, *a, f=grouped.causality, **k: seen.append((a, k)) or f(s, *a, **k))
+    registry.queries()["a34_kmeans"](spark, small)
+    registry.queries()["s6_causality"](spark, small)
+    assert seen == [((), {}), ((), {})]
