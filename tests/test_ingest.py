@@ -79,3 +79,23 @@ def test_provider(spark):
     e = features.hashed_embedding(F.col("text"), 8)
     norms = df.select(F.aggregate(e, F.lit(0.0), lambda s, x: s + x * x).alias("n")).collect()
     assert all(abs(r.n - 1) < 1e-9 for r in norms)
+
+
+def test_deduplicate_loses_no_pair(spark):
+    """Titles whose first word has changed, fingerprints at 4 to 10 bits over all blocks, and both from an earlier run."""
+    import random
+
+    rng = random.Random(5)
+    prints = [rng.getrandbits(63) for _ in range(20)]
+    prints += [p ^ sum(1 << b for b in rng.sample(range(63), k)) for p in prints for k in (4, 7, 10, 11)]
+    got = {tuple(r) for r in pipeline._near(spark.createDataFrame([(p,) for p in prints], "fingerprint long"), 10).collect()}
+    assert got == {(a, b) for a in prints for b in prints if a < b and (a ^ b).bit_count() <= 10} and got
+    rows = [
+        {"url": "http://x.org/a", "title": "alpha budget passes after long debate today", "body": ""}, {"url": "http://x.org/b", "title": "alphas budget passes after long debate today", "published_at": "2026-01-03T00:00:00Z", "body": ""},
+        {"url": "http://x.org/c", "title": "completely other matters of the sea", "published_at": "2026-01-03T00:00:00Z", "body": ""},
+    ]
+    a = pipeline.accept(raw(spark, rows))
+    kept = pipeline.deduplicate(a)
+    assert kept.count() == 2
+    late = pipeline.accept(raw(spark, [{"url": "http://x.org/z", "title": "zalpha budget passes after long debate today", "body": ""}, {"url": "http://x.org/y", "title": "nothing like it", "body": ""}]))
+    assert [r.url for r in pipeline.deduplicate(late, kept.select("url_key", "form", "fingerprint")).collect()] == ["http://x.org/y"]
