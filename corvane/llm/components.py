@@ -84,7 +84,7 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         # settled, so that the join has shuffles of its own and splits a node with very many links
         least = settle(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
-        e = both.join(least, "u").where("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        e = settle(both.join(least, "u").where("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
         least = settle(e.groupBy("u").agg(F.min("v").alias("m")))
         e = e.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
         e = settle(e.distinct())

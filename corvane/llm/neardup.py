@@ -9,8 +9,9 @@ group; all sets of a group are compared exactly, by matrix products over blocks
 signatures and pairs are never rows. With 50 bands of 5 rows a pair at similarity 0.8 shares no band with probability
 3e-9. Shingles are compared as 64-bit hashes.
 
-Groups of any size are whole: a group of k sets is cut into blocks, and each task gets the sets of two blocks, at most
-16 copies of each set while k is below 32,768.
+Groups of any size are whole: a group of k sets is cut into blocks by number and by bytes, and each task gets the sets
+of two blocks, at most 16 copies of each set while k is below 32,768 and the sets are of common length. A block by itself
+gives a forest; two blocks give only links between components of the one and of the other.
 
 Cases: null and empty texts, or texts without words, have an empty set and are linked with nothing; fewer words than a
 shingle has make one shingle; rows with a null id are kept and linked with nothing; rows that repeat an id are rows of
@@ -33,6 +34,8 @@ from .store import settle
 BANDS, ROWS = 50, 5
 #: Sets in a block: a sixteenth of the group, within these bounds.
 BLOCK_LEAST, BLOCK_MOST, BLOCKS = 128, 2048, 16
+#: Shingles in a block (16 MB of hashes), on average.
+BLOCK_SHINGLES = 2 << 20
 _NONE = np.uint64(2**64 - 1)
 
 
@@ -130,41 +133,67 @@ def sketch(docs: DataFrame, k: int, least: int, bands: int, rows: int) -> DataFr
     return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(work, f"doc_id {kind}, n_shingles long, d1 long, d2 long, bands array<long>")
 
 
-def linked(sets: list[np.ndarray], left: np.ndarray, num: int, den: int) -> list[tuple[int, int]]:
-    """Pairs with den * |a & b| >= num * |a | b|: all within ``sets``, or where ``left`` isn't all true, from left to right."""
+def links(sets: list[np.ndarray], num: int, den: int) -> np.ndarray:
+    """Which of ``sets`` are linked, den * |a & b| >= num * |a | b|, as a symmetric matrix."""
     n, size = len(sets), np.array([len(s) for s in sets])
     rows = np.repeat(np.arange(n), size)
     _, column, seen = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     several = seen > 1
-    number = np.cumsum(several) - 1
+    number, shared = np.cumsum(several) - 1, int(several.sum())
     keep = several[column]
     rows, column = rows[keep], number[column[keep]]
     total, width = np.zeros((n, n), np.float32), max(1, (16 << 20) // (4 * n))
     order = np.argsort(column, kind="stable")
     rows, column = rows[order], column[order]
-    for lo in range(0, int(several.sum()), width):
+    for lo in range(0, shared, width):
         a, z = np.searchsorted(column, (lo, lo + width))
-        block = np.zeros((n, min(width, int(several.sum()) - lo)), np.float32)
+        block = np.zeros((n, min(width, shared - lo)), np.float32)
         block[rows[a:z], column[a:z] - lo] = 1
         total += block @ block.T
-    both = total.astype(np.int64)
-    union = size[:, None] + size[None, :] - both
-    hit = (den * both >= num * union) & (both > 0)
-    hit &= np.triu(np.ones((n, n), bool), 1) if left.all() else left[:, None] & ~left[None, :]
-    return list(zip(*(x.tolist() for x in np.nonzero(hit)), strict=True))
+    hit = np.zeros((n, n), bool)
+    for r in range(n):
+        both = total[r].astype(np.int64)
+        hit[r] = (den * both >= num * (size[r] + size - both)) & (both > 0)
+    return hit
+
+
+def least_linked(hit: np.ndarray) -> np.ndarray:
+    """For each row of a symmetric matrix of links, the first row of its component."""
+    label = np.full(len(hit), -1)
+    for start in range(len(hit)):
+        front = np.array([start] if label[start] < 0 else [], np.int64)
+        while len(front):
+            label[front] = start
+            front = np.flatnonzero(hit[front].any(axis=0) & (label < 0))
+    return label
+
+
+def united(ids: list, left: np.ndarray, sets: list[np.ndarray], num: int, den: int) -> list[tuple]:
+    """What a pair of blocks adds: of one block (``left`` all true) its forest, each member once at most; of two blocks
+    only links between a component of the one and a component of the other, by their smallest members, so that links
+    stay in proportion to members however many pairs a member takes part in."""
+    order = sorted(range(len(ids)), key=ids.__getitem__)
+    ids, left = [ids[x] for x in order], left[order]
+    hit = links([sets[x] for x in order], num, den)
+    own = least_linked(hit & (left[:, None] == left[None, :]))
+    if left.all():
+        return [(ids[x], ids[r]) for x, r in enumerate(own.tolist()) if x != r]
+    a, b = np.nonzero(hit & (left[:, None] & ~left[None, :]))
+    union = Union()
+    for x, y in np.unique(np.column_stack([own[a], own[b]]), axis=0).tolist():
+        union.join(ids[x], ids[y])
+    return union.forest()
 
 
 def verify(sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Spanning forests of the links in each block pair: ``u, v``. ``sets``: key, i, j, block, doc_id, items (bytes)."""
+    """What each pair of blocks adds to the links (see ``united``): ``u, v``. ``sets``: key, i, j, block, doc_id, items (bytes)."""
 
-    def of(rows: list[tuple], schema: pa.Schema) -> list[tuple]:
+    def of(rows: list[tuple]) -> list[tuple]:
         i, j = rows[0][1], rows[0][2]
-        own, union, ids = [np.frombuffer(r[5], np.uint64) for r in rows], Union(), [r[4] for r in rows]
-        left = np.array([i == j or r[3] == i for r in rows])
-        if len(rows) > 1 and (i == j or left.any() and not left.all()):
-            for a, b in linked(own, left, num, den):
-                union.join(ids[a], ids[b])
-        return union.forest()
+        left = np.array([r[3] == i for r in rows])
+        if len(rows) < 2 or i != j and (left.all() or not left.any()):
+            return []
+        return united([r[4] for r in rows], left, [np.frombuffer(r[5], np.uint64) for r in rows], num, den)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
@@ -174,14 +203,14 @@ def verify(sets: DataFrame, num: int, den: int) -> DataFrame:
             kind = b.schema.field("doc_id").type
             for r in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 if rows and rows[0][:3] != r[:3]:
-                    found += of(rows, b.schema)
+                    found += of(rows)
                     rows = []
                 rows.append(r)
             if len(found) > 10_000:
                 yield pa.RecordBatch.from_arrays([pa.array([p[x] for p in found], kind) for x in (0, 1)], ["u", "v"])
                 found = []
         if rows:
-            found += of(rows, None)
+            found += of(rows)
         if found:
             yield pa.RecordBatch.from_arrays([pa.array([p[x] for p in found], kind) for x in (0, 1)], ["u", "v"])
 
@@ -216,13 +245,17 @@ def near_duplicates(docs: DataFrame, k: int = 5, similarity: int = 80, bands: in
     digest = ["n_shingles", "d1", "d2"]
     # aggregates are settled before they are joined back: a join with shuffles of its own splits a hot key
     first = settle(own.where("n_shingles > 0 and doc_id is not null").groupBy(*digest).agg(F.min("doc_id").alias("rep")))
-    own_rep = settle(own.join(first, digest, "left").select("doc_id", "n_shingles", "rep", F.when(F.col("doc_id") == F.col("rep"), F.col("bands")).alias("bands")))
+    rep = F.when(F.col("doc_id").isNotNull(), F.col("rep"))
+    own_rep = settle(own.join(first, digest, "left").select("doc_id", "n_shingles", rep.alias("rep"), F.when(F.col("doc_id") == F.col("rep"), F.col("bands")).alias("bands")))
     keyed = own_rep.where("bands is not null").select("doc_id", F.explode("bands").alias("band"))
     star = settle(keyed.groupBy("band").agg(F.min("doc_id").alias("center"), F.count("*").alias("n")).where("n > 1").drop("n"))
     groups = settle(components(keyed.join(star, "band").where("doc_id <> center").select("doc_id", "center")))
-    sizes = groups.groupBy("component").agg(F.count("*").alias("n"))
+    sized = own_rep.where("bands is not null").groupBy("doc_id").agg(F.max("n_shingles").alias("size"))
+    groups = settle(groups.join(sized, groups["node"] == sized["doc_id"]).select("doc_id", "component", "size"))
+    sizes = settle(groups.groupBy("component").agg(F.count("*").alias("n"), F.sum("size").alias("shingles")))
     block = F.least(F.greatest(F.ceil(F.col("n") / BLOCKS), F.lit(BLOCK_LEAST)), F.lit(BLOCK_MOST))
-    members = groups.join(sizes, "component").select(F.col("node").alias("doc_id"), F.col("component").alias("key"), F.ceil(F.col("n") / block).cast("int").alias("blocks"))
+    blocks = F.greatest(F.ceil(F.col("n") / block), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int")
+    members = groups.join(sizes, "component").select("doc_id", F.col("component").alias("key"), blocks.alias("blocks"))
     members = members.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
     # however few the members are in a small corpus, their number grows with it: the texts go by a shuffle at every size
     sets = with_sets(docs.hint("merge").join(members, "doc_id"), k)
