@@ -47,7 +47,7 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import simhash
 
-    return simhash.edited_pairs(table(spark, sf_dir, "documents"))
+    return simhash.fingerprint_query(table(spark, sf_dir, "documents"))
 
 
 def op6_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:

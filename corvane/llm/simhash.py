@@ -2,28 +2,34 @@
 
 Terms are pairs of consecutive words (a single word is its own term), weighted by their length in bytes, so that pairs
 of short common words count little, times one plus the logarithm of how often they occur; a term votes with its weight
-on the bits of its 128-bit hash. The search
-permutes blocks to the front: fingerprints cut into ``radius + 1`` blocks agree on one block at least when they differ
-in ``radius`` bits at most, so each table is keyed by one block and its position, and every match is then counted bit
-by bit.
+on the bits of its 128-bit hash. The search cuts fingerprints into ``radius + free`` blocks of which at least ``free``
+agree when they differ in ``radius`` bits at most; each of the tables has another choice of ``free`` blocks permuted to
+the front as its key, and every match is then counted bit by bit. More free blocks make longer keys, and so fewer
+candidates, in more tables.
 
 Cases: null and empty texts, or texts without words, have the fingerprint of no votes (zeros); equal texts have equal
-fingerprints; a missing id sorts after all others; rows that repeat an id go by their text.
+fingerprints; whole numbers as ids go by value, others by their text; a missing id sorts after all others (all rows
+without one go through one task, as a stream); rows that repeat an id go by their text.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from . import textkit as tk
+from .store import settle
 
 BITS, MOST_WEIGHT = 128, 32
+#: Text of a range of ids, on average.
+RANGE_BYTES = 32 << 20
 LEAST = -(2**63)
 
 
@@ -67,48 +73,51 @@ def fingerprint(docs: DataFrame) -> DataFrame:
     return docs.select(*rest, F.col("text").cast("string").alias("text")).mapInArrow(work, docs.select(rest).schema.add("fingerprint", "string"))
 
 
-def within(prints: DataFrame, queries: DataFrame, radius: int = 7) -> DataFrame:
-    """``query_id, doc_id, distance``: for each row of ``queries`` all rows of ``prints`` (both: ``doc_id, fingerprint``)
-    within ``radius`` bits, once. Equal fingerprints of ``prints`` go through the tables as one, so that copies of a
-    document do not crowd a block; a query finds itself if it is in ``prints``.
-    """
-    blocks = radius + 1
-    bounds = [round(i * BITS / blocks) for i in range(blocks + 1)]
-    words = [F.conv(F.substring("fingerprint", 1 + 8 * i, 8), 16, 10).cast("long") for i in range(BITS // 32)]
+def _tables(rows: DataFrame, name: str, radius: int, free: int) -> DataFrame:
+    """``key`` and the fingerprint (as two longs, ``name`` with ``_0`` and ``_1``) once for each block table."""
+    digits, blocks = BITS // 4, radius + free
+    if not 0 < blocks <= digits:
+        raise ValueError("radius and free blocks have to fit the fingerprint's hex digits")
+    at = [round(i * digits / blocks) for i in range(blocks + 1)]
+    cut = [F.substring("fingerprint", lo + 1, hi - lo) for lo, hi in zip(at[:-1], at[1:], strict=True)]
+    keys = [F.xxhash64(F.lit(n), *(cut[i] for i in chosen)) for n, chosen in enumerate(combinations(range(blocks), free))]
+    half = [F.shiftleft(F.conv(F.substring("fingerprint", x, 8), 16, 10).cast("long"), 32).bitwiseOR(F.conv(F.substring("fingerprint", x + 8, 8), 16, 10).cast("long")) for x in (1, 17)]
+    return rows.select(half[0].alias(f"{name}_0"), half[1].alias(f"{name}_1"), F.explode(F.array(*keys)).alias("key"))
+
 
-    def keys(rows: DataFrame) -> DataFrame:
-        cut = []
-        for i, (lo, hi) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
-            parts = [F.shiftrightunsigned(words[x], max(0, 32 * (x + 1) - hi)).bitwiseAND((1 << (min(hi, 32 * (x + 1)) - max(lo, 32 * x))) - 1) for x in range(lo // 32, (hi - 1) // 32 + 1)]
-            cut.append(F.xxhash64(F.lit(i), *parts))
-        return rows.select("fingerprint", F.explode(F.array(*cut)).alias("block"))
+def matches(prints: DataFrame, queries: DataFrame, radius: int = 3, free: int = 2) -> DataFrame:
+    """``q, p, distance``: for each different fingerprint of ``queries`` those of ``prints`` within ``radius`` bits.
 
+    Equal fingerprints go through the tables as one, so that copies of a document do not crowd a key.
+    """
     own, asked = prints.select("fingerprint").distinct(), queries.select("fingerprint").distinct()
-    pairs = keys(asked).withColumnRenamed("fingerprint", "q").join(keys(own).withColumnRenamed("fingerprint", "p"), "block").select("q", "p").distinct()
-    differ = sum((F.bit_count(F.conv(F.substring("q", 1 + 8 * i, 8), 16, 10).cast("long").bitwiseXOR(F.conv(F.substring("p", 1 + 8 * i, 8), 16, 10).cast("long"))) for i in range(BITS // 32)), F.lit(0))
-    pairs = pairs.withColumn("distance", differ).where(F.col("distance") <= radius)
-    out = pairs.join(queries.select(F.col("doc_id").alias("query_id"), F.col("fingerprint").alias("q")), "q")
+    pairs = _tables(asked, "q", radius, free).join(_tables(own, "p", radius, free), "key")
+    differ = sum((F.bit_count(F.col(f"q_{i}").bitwiseXOR(F.col(f"p_{i}"))) for i in (0, 1)), F.lit(0))
+    pairs = pairs.withColumn("distance", differ).where(F.col("distance") <= radius).drop("key").distinct()
+    hexed = lambda x: F.lower(F.concat(*(F.lpad(F.hex(F.col(f"{x}_{i}")), 16, "0") for i in (0, 1))))
+    return pairs.select(hexed("q").alias("q"), hexed("p").alias("p"), "distance")
+
+
+def within(prints: DataFrame, queries: DataFrame, radius: int = 3, free: int = 2) -> DataFrame:
+    """``query_id, doc_id, distance``: for each row of ``queries`` all rows of ``prints`` (both: ``doc_id, fingerprint``)
+    within ``radius`` bits, once; a query finds itself if it is in ``prints``. Rows of copies are all told: where copies
+    are many, ``neighbours`` counts them instead.
+    """
+    out = matches(prints, queries, radius, free).join(queries.select(F.col("doc_id").alias("query_id"), F.col("fingerprint").alias("q")), "q")
     return out.join(prints.select("doc_id", F.col("fingerprint").alias("p")), "p").select("query_id", "doc_id", "distance")
 
 
-def _ranges(docs: DataFrame, parts: int) -> list[int]:
-    """The largest id of each of about ``parts`` ranges of ids that hold like numbers of rows, ascending: one value a range."""
-    ids = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LEAST)).alias("k"))
-    cuts = ids.agg(F.percentile_approx("k", [i / parts for i in range(1, parts + 1)], 10_000)).first()[0]
-    if not cuts:
-        return []
-    cuts = np.unique(np.array(cuts, np.int64))
+def neighbours(prints: DataFrame, queries: DataFrame, radius: int = 3, free: int = 2) -> DataFrame:
+    """``queries`` with ``n_near``: how many rows of ``prints`` are within ``radius`` bits (itself too, if it is there)."""
+    count = prints.groupBy("fingerprint").agg(F.count("*").alias("n"))
+    near = matches(count, queries, radius, free).join(count.withColumnRenamed("fingerprint", "p"), "p").groupBy("q").agg(F.sum("n").alias("n_near"))
+    return queries.join(near.withColumnRenamed("q", "fingerprint"), "fingerprint", "left").select(*(c for c in queries.columns if c != "n_near"), F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"))
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            k = b.column(0).to_numpy()
-            at = np.searchsorted(cuts, k)
-            part, back = np.unique(at, return_inverse=True)
-            most = np.full(len(part), LEAST)
-            np.maximum.at(most, back, k)
-            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(most)], ["part", "k"])
 
-    return sorted(r.k for r in ids.mapInArrow(work, "part long, k long").groupBy("part").agg(F.max("k").alias("k")).collect())
+def _ranges(ids: DataFrame, parts: int) -> list:
+    """The largest ``k`` of each of about ``parts`` ranges that hold like numbers of rows, ascending: one value a range."""
+    ranged = ids.repartitionByRange(parts, "k").select("k", F.spark_partition_id().alias("part"))
+    return sorted(r.k for r in ranged.groupBy("part").agg(F.max("k").alias("k")).collect())
 
 
 def edited_pairs(docs: DataFrame, parts: int | None = None) -> DataFrame:
@@ -116,25 +125,32 @@ def edited_pairs(docs: DataFrame, parts: int | None = None) -> DataFrame:
 
     ``doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next``. The last
     ``n_chars // 3`` code points of the edited text come from the next document's beginning; the last document's next
-    is the first. One shuffle of the texts by ranges of ids; the first row of a range goes to its neighbour as well.
+    is the first. One shuffle of the texts by ranges of ids, each range a task of ``RANGE_BYTES`` of text, if ``parts``
+    does not give their number; the first row of a range goes to its neighbour as well.
     """
-    parts = parts or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    heads = np.array(_ranges(docs, parts), np.int64)
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    if not len(heads):
-        return docs.sparkSession.createDataFrame([], f"doc_id {kind}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
+    spark, kind = docs.sparkSession, docs.schema["doc_id"].dataType.simpleString()
+    whole = isinstance(docs.schema["doc_id"].dataType, IntegralType)
+    k = F.coalesce(F.col("doc_id").cast("long"), F.lit(LEAST)) if whole else F.coalesce(F.concat(F.lit("="), F.col("doc_id").cast("string")), F.lit(""))
+    docs = docs.select(k.alias("k"), "doc_id", F.col("text").cast("string").alias("text"))
+    if not parts:
+        size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        parts = max(spark.sparkContext.defaultParallelism, -(-size // RANGE_BYTES))
+    heads = _ranges(docs.select("k"), parts)
+    told_schema = f"doc_id {kind}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+    if not heads:
+        return spark.createDataFrame([], told_schema)
+    starts = np.array(heads, np.int64 if whole else object)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            k = b.column(0).fill_null(LEAST).cast(pa.int64()).to_numpy(zero_copy_only=False)
-            part = np.searchsorted(heads, k)
-            first = np.flatnonzero(heads[part] == k)
+            k = b.column(0).to_numpy(zero_copy_only=False)
+            part = np.searchsorted(starts, k)
+            first = np.flatnonzero(starts[part] == k)
             names = ["part", "tail", "k", "doc_id", "text"]
-            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(np.zeros(len(k), np.int32)), pa.array(k), *b.columns], names)
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array(np.zeros(len(k), np.int32)), *b.columns], names)
             if len(first):
                 also = b.take(pa.array(first))
-                yield pa.RecordBatch.from_arrays([pa.array((part[first] + 1) % len(heads)), pa.array(np.ones(len(first), np.int32)), pa.array(k[first]), *also.columns], names)
+                yield pa.RecordBatch.from_arrays([pa.array((part[first] + 1) % len(starts), pa.int32()), pa.array(np.ones(len(first), np.int32)), *also.columns], names)
 
     out = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
 
@@ -168,5 +184,14 @@ def edited_pairs(docs: DataFrame, parts: int | None = None) -> DataFrame:
                     held.append(r)
                     size += len(r[4] or "")
 
-    dealt = docs.mapInArrow(deal, f"part long, tail int, k long, doc_id {kind}, text string")
-    return dealt.repartition(parts, "part").sortWithinPartitions("part", "tail", F.desc("k"), "text").mapInArrow(work, f"doc_id {kind}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
+    dealt = docs.mapInArrow(deal, f"part int, tail int, k {'long' if whole else 'string'}, doc_id {kind}, text string")
+    return dealt.repartitionById(len(heads), "part").sortWithinPartitions("part", "tail", F.desc("k"), "text").mapInArrow(work, told_schema)
+
+
+def fingerprint_query(docs: DataFrame, radius: int = 3) -> DataFrame:
+    """``edited_pairs`` with ``n_near``: for documents whose id is divisible by 100, the number of documents whose
+    fingerprint is within ``radius`` bits; null for others, which are not asked for."""
+    told = settle(edited_pairs(docs))
+    asked = F.coalesce(F.col("doc_id").cast("string").try_cast("long") % 100 == 0, F.lit(False))
+    near = neighbours(told.select("fingerprint"), told.where(asked), radius)
+    return told.where(~asked).withColumn("n_near", F.lit(None).cast("long")).unionByName(near)
