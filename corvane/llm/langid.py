@@ -4,9 +4,9 @@ A word is a run of letters, in lower case. A word of the model adds its log freq
 backs off to its 5-grams (word ends count as characters), and if the model has none of them to 4-grams, and so on down
 to single letters; the mean over its n-grams stands for the word. The language with the largest sum wins.
 
-Fitting takes at most about ``most_documents`` labelled documents (chosen by a hash of their text's id, all of them if
-there are fewer), and the model keeps the ``most_entries`` commonest words and as many n-grams, so that its size has a
-bound. Counts are a distributed aggregate. Scoring is one narrow pass.
+Fitting takes at most about ``most_texts`` different labelled texts of each language (chosen by a hash of the text, all
+of them if there are fewer), so that neither a common language nor a text with very many copies crowds out a rare one;
+the model has every word and n-gram of that sample. Counts are a distributed aggregate. Scoring is one narrow pass.
 
 Cases: null texts and texts without a letter are ``und`` with score 0; without any labelled document everything is
 ``und``; ties go to the language that sorts first; further columns are passed on, those of the result's names replaced.
@@ -29,6 +29,7 @@ from .bpe import LETTER, char_classes
 LONGEST = 5
 #: Stand for a word's begin and end in n-grams.
 BEGIN, END = 2, 3
+#: A word's or n-gram's least frequency: this over the largest language's number of them.
 SMOOTH = 0.1
 
 
@@ -130,12 +131,18 @@ def find(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, table[at] == keys
 
 
-def fit(docs: DataFrame, most_documents: int = 20_000, most_entries: int = 200_000, text: str = "text", lang: str = "lang") -> Model:
+def sample(docs: DataFrame, most_texts: int) -> DataFrame:
+    """``text, lang``: about ``most_texts`` different texts of each language at the most; one row a text and language."""
+    docs = docs.withColumn("h", F.xxhash64("text"))
+    sizes = docs.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")).collect()  # one row a language
+    full = 1 << 30
+    shares = [F.when(F.col("lang") == r.lang, F.lit(int(most_texts / r.n * full))) for r in sizes if r.n > most_texts]
+    return docs.where(F.pmod("h", F.lit(full)) < F.coalesce(*shares, F.lit(full))).dropDuplicates(["lang", "h"]).select("text", "lang")
+
+
+def fit(docs: DataFrame, most_texts: int = 2_000, text: str = "text", lang: str = "lang") -> Model:
     """Learn from the rows of ``docs`` whose text and language are not null."""
-    docs = docs.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang"))
-    n = docs.count()
-    if n > most_documents:
-        docs = docs.where(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < int(most_documents / n * (1 << 30)))
+    docs = sample(docs.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang")), most_texts)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in tk.slices(batches):
@@ -160,24 +167,25 @@ def fit(docs: DataFrame, most_documents: int = 20_000, most_entries: int = 200_0
             if kinds:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(kinds)), pa.array(np.concatenate(hashes)), names.take(pa.array(np.concatenate(rows))), pa.array(np.concatenate(counts))], ["kind", "h", "lang", "n"])
 
-    each = docs.mapInArrow(work, "kind int, h long, lang string, n long").groupBy("kind", "h", "lang").agg(F.sum("n").alias("n"))
-    each = each.groupBy("kind", "h").agg(F.sum("n").alias("total"), F.collect_list(F.struct("lang", "n")).alias("langs"))
-    # words seen once say little and are most of the table
-    tables = {kind: each.where((F.col("kind") == kind) & (F.col("total") > 1)).orderBy(F.desc("total"), "h").limit(most_entries).select("h", "langs").toArrow() for kind in (0, 1)}
-    names = sorted({x for t in tables.values() for x in pa.compute.unique(t.column("langs").combine_chunks().flatten().field("lang")).to_pylist()})
+    each = docs.mapInArrow(work, "kind int, h long, lang string, n long").groupBy("kind", "h", "lang").agg(F.sum("n").alias("n")).toArrow()
+    each = each.set_column(2, "lang", each.column("lang").combine_chunks().dictionary_encode())
+    at = each.column("lang").combine_chunks()
+    names = at.dictionary.to_pylist()
+    order = np.argsort(np.array(names, object), kind="stable")
+    place = np.empty(len(names), np.int64)
+    place[order] = np.arange(len(names))
+    which, kinds, hashes, counts = place[at.indices.to_numpy()], each.column("kind").to_numpy(), each.column("h").to_numpy().view(np.uint64), each.column("n").to_numpy()
     out = []
-    for t in tables.values():
-        h = t.column("h").to_numpy().view(np.uint64)
-        rows = t.column("langs").combine_chunks()
-        counts = np.zeros((len(h), len(names)))
-        if len(h):
-            flat = rows.flatten()
-            which = np.searchsorted(np.array(names), np.array(flat.field("lang").to_pylist()))
-            counts[np.repeat(np.arange(len(h)), rows.value_lengths().to_numpy()), which] = flat.field("n").to_numpy()
-        logs = np.log((counts + SMOOTH) / (counts.sum(axis=0) + SMOOTH * max(1, len(h))))
-        order = np.argsort(h)
-        out += [h[order], logs[order].astype(np.float32)]
-    return Model(names, *out)
+    for kind in (0, 1):
+        here = kinds == kind
+        h, row = np.unique(hashes[here], return_inverse=True)
+        logs = np.zeros((len(h), len(names)), np.float32)
+        logs[row, which[here]] = counts[here]
+        total = np.bincount(which[here], counts[here], minlength=len(names))
+        logs /= np.maximum(total, 1).astype(np.float32)
+        logs += np.float32(SMOOTH / max(1, total.max(initial=0)))  # what is unseen weighs the same in a rare language as in a common one
+        out += [h, np.log(logs, out=logs)]
+    return Model([names[i] for i in order], *out)
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:
