@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import unicodedata
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# The common entities.
 ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")]
 # Patterns of the cleaning steps, in their order.
 TAG, URL, EMAIL = "<[^>]+>", r"(?i)https?://[^\s<>\"')\]]+", r"(?i)[a-z0-9._%+-]+@[a-z0-9.-]+\.[a-z]{2,}"
@@ -36,7 +40,88 @@ def word_count(text: Column) -> Column:
 
 
 def sentences(text: Column) -> Column:
-    return F.filter(F.transform(F.split(text, r"(?<=[.!?])\s+|\n+"), F.trim), lambda s: s != "")
+    """Sentences by their ends: Latin ones before white space, CJK ones with or without it, and line feeds."""
+    return F.filter(F.transform(F.split(text, r"(?<=[.!?])\s+|(?<=[\x{3002}\x{FF01}\x{FF1F}])\s*|\n+"), F.trim), lambda s: s != "")
+
+
+def unicode_form(text: Column, lang: Column) -> Column:
+    """Compatibility composition (NFKC) for Korean, Japanese and Chinese, canonical (NFC) for others; null stays."""
+
+    @F.pandas_udf("string")
+    def form(texts: pd.Series, langs: pd.Series) -> pd.Series:
+        return pd.Series([None if t is None else unicodedata.normalize("NFKC" if x in ("ko", "ja", "zh") else "NFC", t) for t, x in zip(texts, langs, strict=True)], dtype=object)
+
+    return form(text, lang)
+
+
+def decoded(raw: Column) -> Column:
+    """Bytes as text: UTF-8, else EUC-KR, else Latin-1, which always fits. Valid UTF-8 never leaves the JVM's string."""
+
+    @F.pandas_udf("string")
+    def other(values: pd.Series) -> pd.Series:
+        def one(b: bytes | None) -> str | None:
+            if b is None:
+                return None
+            try:
+                return bytes(b).decode("euc-kr")
+            except UnicodeDecodeError:
+                return bytes(b).decode("latin-1")
+
+        return pd.Series([one(v) for v in values], dtype=object)
+
+    as_text = raw.cast("string")
+    return F.when(F.is_valid_utf8(as_text), as_text).otherwise(other(raw))
+
+
+#: Common words that tell a language where no model is given.
+STOP_WORDS = {
+    "en": ["the", "and", "of", "to", "in", "is", "that", "for", "was", "with", "are", "has", "this"], "de": ["der", "die", "und", "das", "ist", "nicht", "mit", "den", "ein", "von", "auf", "auch", "im"],
+    "fr": ["le", "les", "et", "des", "est", "une", "dans", "du", "pour", "qui", "sur", "pas", "au"], "es": ["el", "los", "y", "las", "del", "una", "por", "con", "para", "es", "al", "como", "más"],
+    "it": ["il", "di", "che", "della", "gli", "per", "sono", "nel", "non", "con", "alla", "è", "anche"], "pt": ["o", "os", "do", "da", "em", "um", "uma", "não", "com", "para", "dos", "é", "mais"],
+    "sv": ["och", "att", "det", "som", "en", "på", "är", "av", "för", "inte", "ett", "med", "till"], "no": ["og", "det", "som", "en", "på", "er", "av", "ikke", "et", "til", "med", "har", "fra"], "cs": ["je", "na", "že", "se", "to", "jako", "pro", "jsou", "ale", "byl", "které", "podle", "také"],
+}
+#: Scripts that tell a language by themselves: kana before Han, which Japanese has too.
+SCRIPTS = [("ko", r"\x{AC00}-\x{D7A3}"), ("ja", r"\x{3040}-\x{30FF}"), ("zh", r"\x{4E00}-\x{9FFF}"), ("ru", r"\x{0400}-\x{04FF}")]
+
+
+def language(title: Column, body: Column, expected: Column, sure: float = 0.9) -> Column:
+    """The language of the title and the first 200 characters of the body, by script, then by the share that each language has of the
+    stop words found. Under ten characters, and where it disagrees with a share of ``sure`` or less, it is ``expected``."""
+    sample = F.trim(F.concat_ws(" ", title, F.substring(F.coalesce(body, F.lit("")), 1, 200)))
+    letters = F.greatest(F.length(F.regexp_replace(sample, r"[^\p{L}]", "")), F.lit(1))
+    script = F.coalesce(*(F.when(F.length(F.regexp_replace(sample, f"[^{chars}]", "")) / letters >= (0.1 if lang in ("ko", "ja") else 0.5), lang) for lang, chars in SCRIPTS), F.lit(None))
+    found = F.split(F.lower(sample), r"[^\p{L}]+")
+    common = lambda ws: F.size(F.filter(found, lambda w: w.isin(ws)))
+    hits = F.array(*(F.struct(common(ws).alias("n"), F.lit(lang).alias("lang")) for lang, ws in STOP_WORDS.items()))
+    total, best = F.aggregate(hits, F.lit(0), lambda s, x: s + x["n"]), F.array_max(F.filter(hits, lambda x: x["n"] > 0))
+    guess = F.when((best["n"] / total > sure) | (best["lang"] == expected), best["lang"])
+    return F.when(F.length(sample) < 10, expected).otherwise(F.coalesce(script, guess, expected))
+
+
+def content_words(text: Column, lang: Column) -> Column:
+    """Words in lower case without the language's stop words; in Korean, Japanese and Chinese runs of two characters or more, elsewhere
+    letters of three or more."""
+    low = F.lower(F.coalesce(text, F.lit("")))
+    cjk = F.regexp_extract_all(low, F.lit(r"[\x{3040}-\x{30FF}\x{4E00}-\x{9FFF}\x{AC00}-\x{D7A3}\p{L}\p{N}_]{2,}"), F.lit(0))
+    latin = F.regexp_extract_all(low, F.lit(r"\p{L}{3,}"), F.lit(0))
+    stop = F.create_map(*(x for k, ws in STOP_WORDS.items() for x in (F.lit(k), F.array(*map(F.lit, ws)))))
+    return F.when(lang.isin("ko", "ja", "zh"), cjk).otherwise(F.filter(latin, lambda w: ~F.coalesce(F.array_contains(stop[lang], w), F.lit(False))))
+
+
+def effective_strength(kind: Column, relationship: Column, strength: Column, lag: Column) -> Column:
+    """A link's strength where old rows were cut off at 1: by the divergence that the relationship tells (frames), by its entities and
+    articles (chains), and by the lag (agendas: none is worth a half)."""
+    number = lambda pattern: F.regexp_extract(relationship, pattern, 1).try_cast("double")
+    kl, n, m = number(r"KL=([\d.]+)"), number(r"entities=(\d+),\s*articles=\d+"), number(r"entities=\d+,\s*articles=(\d+)")
+    one = F.lit(1.0)
+    days = F.coalesce(lag.cast("double"), F.lit(0.0))
+    full = strength >= 0.999
+    return (
+        F.when(full & (kind == "frame") & kl.isNotNull(), F.least(one, F.log1p(kl) / F.log1p(F.lit(25.0))))
+        .when(full & (kind == "graphrag") & n.isNotNull(), F.least(one, 0.6 * F.log1p(n) / F.log1p(F.lit(500.0)) + 0.4 * F.log1p(m) / F.log1p(F.lit(200.0))))
+        .when(full & (kind == "agenda"), F.when(days <= 0, 0.5).otherwise(0.9 + 0.09 * F.log1p(days) / F.log1p(F.lit(30.0))))
+        .otherwise(strength)
+    )
 
 
 def content_hash(body: Column) -> Column:

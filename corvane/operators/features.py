@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import stats
+from ..sources.tables import settle
 
 # A small lexicon, the fallback where no sentiment model is given.
 POSITIVE = ["boom", "growth", "recovery", "gain", "success", "peace", "agreement", "win", "rise", "hope"]
@@ -34,22 +35,73 @@ def hashed_embedding(text: Column, size: int = 64) -> Column:
     return F.when(norm > 0, F.transform(raw, lambda x: x / norm)).otherwise(raw)
 
 
-def tfidf(docs: DataFrame, key: str = "doc_id", text: str = "text", top: int = 20, least: int = 2, most: float = 0.95) -> DataFrame:
+def terms(text: Column, longest: int = 1) -> Column:
+    """Words of two characters or more in lower case, and with ``longest`` = 2 also pairs of words next to each other."""
+    words = F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]{2,}"), 0)
+    if longest == 1:
+        return words
+    n = F.greatest(F.size(words) - 1, F.lit(0))
+    return F.concat(words, F.zip_with(F.slice(words, F.lit(1), n), F.slice(words, F.lit(2), n), lambda a, b: F.concat_ws(" ", a, b)))
+
+
+def tfidf(docs: DataFrame, key: str = "doc_id", text: str = "text", top: int = 20, least: int = 2, most: float = 0.95, longest: int = 1, by: Column | None = None, vocabulary: int | None = None) -> DataFrame:
     """``KEY, term, weight, rank``: sublinear tf times smoothed idf, unit length, the ``top`` terms of each document.
 
-    Terms of fewer than ``least`` documents or over a share of ``most`` are left out. Counts combine before the shuffle.
+    Terms of fewer than ``least`` documents or over a share of ``most`` are left out. ``longest`` = 2 takes pairs of words too; ``by`` gives
+    documents vocabularies of their own (``vocabulary_of``), with counts of documents and limits within each; ``vocabulary`` keeps that many
+    terms of each, the most frequent ones. Counts combine before the shuffle.
     """
-    words = docs.select(key, F.explode(F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]{2,}"), 0)).alias("term"))
-    tf = words.groupBy(key, "term").agg(F.count("*").alias("tf"))
-    n = docs.agg(F.count("*").alias("n"))
-    df = tf.groupBy("term").agg(F.count("*").alias("df")).crossJoin(F.broadcast(n)).where((F.col("df") >= least) & (F.col("df") <= most * F.col("n")))  # one row
-    idf = df.select("term", (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1).alias("idf"))
-    w = tf.join(idf, "term").select(key, "term", ((1 + F.log("tf")) * F.col("idf")).alias("w"))
-    by = Window.partitionBy(key)
-    w = w.withColumn("weight", F.col("w") / F.sqrt(F.sum(F.col("w") ** 2).over(by))).withColumn("rank", F.row_number().over(by.orderBy(F.desc(F.round("weight", 9)), "term")))
+    docs = docs.select(key, F.col(text).alias("_text"), (by if by is not None else F.lit("all")).alias("_by"))
+    tf = docs.select(key, "_by", F.explode(terms(F.col("_text"), longest)).alias("term")).groupBy(key, "_by", "term").agg(F.count("*").alias("tf"))
+    n = docs.groupBy("_by").agg(F.count("*").alias("n"))  # a row for each vocabulary
+    df = tf.groupBy("_by", "term").agg(F.count("*").alias("df"), F.sum("tf").alias("all")).join(F.broadcast(n), "_by").where((F.col("df") >= least) & (F.col("df") <= most * F.col("n")))
+    if vocabulary:
+        df = df.withColumn("_k", F.row_number().over(Window.partitionBy("_by").orderBy(F.desc("all"), "term"))).where(F.col("_k") <= vocabulary)
+    idf = df.select("_by", "term", (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1).alias("idf"))
+    w = tf.join(idf, ["_by", "term"]).select(key, "term", ((1 + F.log("tf")) * F.col("idf")).alias("w"))
+    each = Window.partitionBy(key)
+    w = w.withColumn("weight", F.col("w") / F.sqrt(F.sum(F.col("w") ** 2).over(each))).withColumn("rank", F.row_number().over(each.orderBy(F.desc(F.round("weight", 9)), "term")))
     return w.where(F.col("rank") <= top).select(key, "term", "weight", "rank")
 
 
+def sparse(weights: DataFrame, key: str = "doc_id") -> DataFrame:
+    """``KEY, size, entries`` (``array<struct<index, weight>>`` by index): sparse vectors from the top terms of each document; a term's
+    index is its place in the sorted vocabulary of all of them. Ranges of the vocabulary are numbered apart, so that no task sorts it whole."""
+    vocabulary = weights.select("term").distinct().repartitionByRange("term").sortWithinPartitions("term").select("term", F.spark_partition_id().alias("part"))
+    ranked = settle(vocabulary.withColumn("at", F.row_number().over(Window.partitionBy("part").orderBy("term"))))
+    counts = ranked.groupBy("part").agg(F.count("*").alias("c"))  # one row a range
+    before = counts.withColumn("before", F.coalesce(F.sum("c").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    index = ranked.join(F.broadcast(before), "part").select("term", (F.col("before") + F.col("at") - 1).alias("index"))
+    total = index.agg(F.count("*").alias("size"))
+    out = weights.join(index, "term").groupBy(key).agg(F.sort_array(F.collect_list(F.struct("index", "weight"))).alias("entries"))  # at most the top terms
+    return out.crossJoin(F.broadcast(total)).select(key, "size", "entries")  # one row
+
+
+def topics_over_time(docs: DataFrame, top: int = 10, topic: str = "topic_id", day: str = "day", text: str = "text") -> DataFrame:
+    """``TOPIC, DAY, n, term, weight, rank``: class-based TF-IDF of each topic's texts by day: a term's share of the topic's words that day
+    times the log of 1 + mean words of a topic and day over the term's frequency in all; the ``top`` terms, and how many documents."""
+    n = docs.groupBy(topic, day).agg(F.count("*").alias("n"))
+    tf = docs.select(topic, day, F.explode(terms(F.col(text))).alias("term")).groupBy(topic, day, "term").agg(F.count("*").alias("tf"))
+    size = tf.groupBy(topic, day).agg(F.sum("tf").alias("size"))
+    mean = size.agg(F.avg("size").alias("mean"))
+    all_of = tf.groupBy("term").agg(F.sum("tf").alias("f"))
+    w = tf.join(all_of, "term").join(size, [topic, day]).crossJoin(F.broadcast(mean))  # one row
+    w = w.select(topic, day, "term", (F.col("tf") / F.col("size") * F.log(1 + F.col("mean") / F.col("f"))).alias("weight"))
+    w = w.withColumn("rank", F.row_number().over(Window.partitionBy(topic, day).orderBy(F.desc(F.round("weight", 9)), "term"))).where(F.col("rank") <= top)
+    return w.join(n, [topic, day]).select(topic, day, "n", "term", "weight", "rank")
+
+
+def cooccurring(items: DataFrame, key: str = "article_id", labels: str = "labels", least: float = 0.001) -> DataFrame:
+    """``a, b, shared, jaccard``: labels that have articles in common, by the Jaccard of their article sets. Pairs are made inside each
+    article's row, so a label of any size is an aggregate and never a list."""
+    each = F.sort_array(F.array_distinct(F.filter(F.col(labels), lambda x: x.isNotNull())))
+    rows = items.select(each.alias("l"))
+    n = rows.select(F.explode("l").alias("x")).groupBy("x").agg(F.count("*").alias("n"))
+    pairs = rows.select(F.explode(F.flatten(F.transform("l", lambda x: F.transform(F.filter("l", lambda y: y > x), lambda y: F.struct(x.alias("a"), y.alias("b")))))).alias("p")).groupBy("p.a", "p.b").agg(F.count("*").alias("shared"))
+    out = pairs.join(n.toDF("a", "na"), "a").join(n.toDF("b", "nb"), "b")
+    return out.select("a", "b", "shared", (F.col("shared") / (F.col("na") + F.col("nb") - F.col("shared"))).alias("jaccard")).where(F.col("jaccard") >= least)
+
+
 def frame_divergence(counts: DataFrame, smooth: float = 1e-10) -> DataFrame:
     """Symmetric divergence of sources' term shares (``source, term, n``) and its strength: ``a, b, kl, strength``."""
     p = counts.withColumn("p", F.col("n") / F.sum("n").over(Window.partitionBy("source"))).select("source", "term", "p")
@@ -76,17 +128,42 @@ def evidence_chains(articles: DataFrame, least: int = 3, top: int = 5) -> DataFr
     return out.withColumn("strength", F.least(F.lit(1.0), F.log1p("n") / F.log1p(F.lit(50.0))))
 
 
+def _near_pairs(rows: DataFrame, by: str, order: str, reach: int) -> tuple[DataFrame, DataFrame, Column]:
+    """Two sides ``x``, ``y`` of a group's rows and the condition that they are less than ``reach`` apart in order, joined by buckets."""
+    r = rows.withColumn("k", F.row_number().over(Window.partitionBy(by).orderBy(order)))
+    x = r.withColumn("bucket", F.floor(F.col("k") / reach))
+    y = r.withColumn("bucket", F.explode(F.array(F.floor(F.col("k") / reach), F.floor(F.col("k") / reach) - 1)))
+    near = (F.col(f"x.{by}") == F.col(f"y.{by}")) & (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.k") < F.col("y.k")) & (F.col("y.k") < F.col("x.k") + reach)
+    return x.alias("x"), y.alias("y"), near
+
+
+def alike_but_opposed(rows: DataFrame, entails: Callable | None = None, reach: int = 20, least: float = 0.6) -> DataFrame:
+    """``topic_id, a, b, similarity, score``: pairs of a topic's articles, within ``reach`` in order, of different sources and with vectors at
+    a cosine of ``least``, that contradict each other.
+
+    ``rows``: ``topic_id, article_id, source, text, embedding``. With a model (``entails`` maps two series of texts to a series of
+    probabilities of contradiction) pairs at ``least`` count and have its score; without one every such pair has half its similarity.
+    """
+    x, y, near = _near_pairs(rows.where("topic_id >= 0"), "topic_id", "article_id", reach)
+    similar = stats.cosine(F.col("x.embedding"), F.col("y.embedding"))
+    p = x.join(y, near & (F.col("x.source") != F.col("y.source"))).select(
+        F.col("x.topic_id").alias("topic_id"), F.col("x.article_id").alias("a"), F.col("y.article_id").alias("b"), similar.alias("similarity"), F.col("x.text").alias("said"), F.col("y.text").alias("other")
+    ).where(F.col("similarity") >= least)
+    score = F.pandas_udf(entails, "double")("said", "other") if entails else 0.5 * F.col("similarity")
+    out = p.withColumn("score", score)
+    return (out.where(F.col("score") >= least) if entails else out).select("topic_id", "a", "b", "similarity", "score")
+
+
 def contradictions(articles: DataFrame, per_topic: int = 20, least: float = 0.6) -> DataFrame:
     """Pairs of a topic's articles, within ``per_topic`` in order, of different sources and opposed sentiment: ``score`` is half the gap.
 
-    The window is the operator's own definition, so a topic of any size makes at most ``per_topic`` pairs an article.
+    The window is the operator's own definition, so a topic of any size makes at most ``per_topic`` pairs an article. This is the form for
+    corpora without vectors; ``alike_but_opposed`` goes by them.
     """
-    r = articles.where("topic_id >= 0").select("topic_id", "article_id", "source", "sentiment_score").withColumn("k", F.row_number().over(Window.partitionBy("topic_id").orderBy("article_id")))
-    x = r.withColumn("bucket", F.floor(F.col("k") / per_topic))
-    y = r.withColumn("bucket", F.explode(F.array(F.floor(F.col("k") / per_topic), F.floor(F.col("k") / per_topic) - 1)))
-    near = (F.col("x.topic_id") == F.col("y.topic_id")) & (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.k") < F.col("y.k")) & (F.col("y.k") < F.col("x.k") + per_topic)
+    x, y, near = _near_pairs(articles.where("topic_id >= 0").select("topic_id", "article_id", "source", "sentiment_score"), "topic_id", "article_id", per_topic)
     gap = F.abs(F.col("x.sentiment_score") - F.col("y.sentiment_score")) / 2
-    return x.alias("x").join(y.alias("y"), near & (F.col("x.source") != F.col("y.source")) & (F.col("x.sentiment_score") * F.col("y.sentiment_score") < 0) & (gap >= least)).select(F.col("x.topic_id").alias("topic_id"), F.col("x.article_id").alias("a"), F.col("y.article_id").alias("b"), gap.alias("score"))
+    opposed = (F.col("x.source") != F.col("y.source")) & (F.col("x.sentiment_score") * F.col("y.sentiment_score") < 0) & (gap >= least)
+    return x.join(y, near & opposed).select(F.col("x.topic_id").alias("topic_id"), F.col("x.article_id").alias("a"), F.col("y.article_id").alias("b"), gap.alias("score"))
 
 
 def clusters(vectors: DataFrame, choices: tuple[int, ...] = (5, 10, 15), kind: str = "kmeans", seed: int = 42, vector: str = "embedding") -> DataFrame:

@@ -74,14 +74,115 @@ def density(edges: DataFrame, by: str) -> DataFrame:
 
 
 def depth(spark: SparkSession, edges: DataFrame, most: int = 20) -> DataFrame:
-    """``root, depth``: the longest of the shortest paths from each node without edges in, along ``src, dst``."""
-    edges.select("src", "dst").distinct().createOrReplaceTempView("_edges")
-    return spark.sql(f"""
-      WITH RECURSIVE walk(root, node, d) AS (
-        SELECT DISTINCT src, src, 0 FROM _edges WHERE src NOT IN (SELECT dst FROM _edges)
-        UNION ALL SELECT w.root, e.dst, w.d + 1 FROM walk w JOIN _edges e ON e.src = w.node WHERE w.d < {int(most)}),
-      near AS (SELECT root, node, min(d) AS d FROM walk GROUP BY root, node)
-      SELECT root, CAST(max(d) AS BIGINT) AS depth FROM near GROUP BY root""")
+    """``root, depth``: the longest of the shortest paths, within ``most`` steps, from each node without edges in, along ``src, dst``.
+
+    Rounds of frontiers: each (root, node) is met once, at its least depth, however many walks lead there.
+    """
+    e = settle(edges.select("src", "dst").where("src is not null and dst is not null").distinct())
+    front = settle(e.select("src").distinct().join(e.select(F.col("dst").alias("src")).distinct(), "src", "left_anti").select(F.col("src").alias("root"), F.col("src").alias("node"), F.lit(0).alias("d")))
+    seen = front
+    for d in range(1, most + 1):
+        new = front.join(e, F.col("node") == F.col("src")).select("root", F.col("dst").alias("node")).distinct()
+        front = settle(new.join(seen.select("root", "node"), ["root", "node"], "left_anti").withColumn("d", F.lit(d)))
+        if front.isEmpty():
+            break
+        seen = settle(seen.unionByName(front))
+    return seen.groupBy("root").agg(F.max("d").cast("long").alias("depth"))
+
+
+def betweenness(edges: DataFrame, sources: int = 500, most: int = 50) -> DataFrame:
+    """``node, betweenness`` of an undirected graph, normalised, from shortest paths of ``sources`` nodes (chosen by a hash of the
+    node; all of them if there are fewer, and then exact).
+
+    Frontiers go out from all sources at once (``source, node, paths``) and come back level by level with the shares that each node has
+    of the paths through it. Rows are sources times nodes; each level meets only the two before it.
+    """
+    both = settle(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct())
+    nodes = settle(both.select(F.col("a").alias("node")).distinct())
+    n = nodes.count()
+    chosen = nodes.orderBy(F.xxhash64("node"), "node").limit(sources)
+    levels = [settle(chosen.select(F.col("node").alias("s"), "node", F.lit(1.0).alias("paths")))]
+    used = levels[0].count()
+    for _ in range(most):
+        step = levels[-1].join(both, F.col("node") == F.col("a")).groupBy("s", F.col("b").alias("node")).agg(F.sum("paths").alias("paths"))
+        for old in levels[-2:]:
+            step = step.join(old.select("s", "node"), ["s", "node"], "left_anti")
+        step = settle(step)
+        if step.isEmpty():
+            break
+        levels.append(step)
+    total, below = None, None
+    for level in reversed(levels[1:]):
+        here = level.withColumn("share", F.lit(0.0)) if below is None else level.join(below, ["s", "node"], "left").withColumn("share", F.coalesce("share", F.lit(0.0)))
+        here = settle(here)
+        total = here.select("node", "share") if total is None else total.unionByName(here.select("node", "share"))
+        up = levels[levels.index(level) - 1]
+        met = here.select("s", F.col("node").alias("w"), F.col("paths").alias("pw"), "share").join(both, F.col("w") == F.col("b")).join(up.select("s", F.col("node").alias("a"), F.col("paths").alias("pv")), ["s", "a"])
+        below = met.groupBy("s", F.col("a").alias("node")).agg(F.sum(F.col("pv") / F.col("pw") * (1 + F.col("share"))).alias("share"))
+    if total is None:
+        return nodes.withColumn("betweenness", F.lit(0.0))
+    scale = n / max(used, 1) / max((n - 1) * (n - 2), 1)
+    return nodes.join(total.groupBy("node").agg((F.sum("share") * scale).alias("betweenness")), "node", "left").select("node", F.coalesce("betweenness", F.lit(0.0)).alias("betweenness"))
+
+
+def weekly_pagerank(edges: DataFrame, damping: float = 0.85) -> DataFrame:
+    """``week, node, rank``: PageRank of each week's weighted undirected graph (``week, a, b, n``), all weeks in one run.
+
+    Graphs without an edge between them only share out the jumps, so ranks over the union are each graph's own times its share of the nodes.
+    """
+    node = lambda c: F.struct(F.col("week"), F.col(c).alias("node"))
+    both = edges.select(node("a").alias("src"), node("b").alias("dst"), F.col("n").alias("weight")).unionByName(edges.select(node("b").alias("src"), node("a").alias("dst"), F.col("n").alias("weight")))
+    ranks = pagerank(both, damping).select("node.week", "node.node", "rank")
+    return ranks.withColumn("rank", F.col("rank") / F.sum("rank").over(Window.partitionBy("week")))
+
+
+def louvain(edges: DataFrame, levels: int = 10, rounds: int = 50, resolution: float = 1.0) -> DataFrame:
+    """``node, community`` (its smallest node) of weighted undirected edges ``a, b, n`` by modularity: nodes move to the community
+    around them with the largest gain, then communities become nodes, until no move gains.
+
+    Rounds are synchronous: in each another half of the nodes, by a hash, may move, so that neighbours do not swap for ever; a round's
+    moves are kept while modularity rises. Results depend on the hash as a seeded run depends on its seed.
+    """
+    e = settle(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.col("n").cast("double").alias("n")).groupBy("a", "b").agg(F.sum("n").alias("n")))
+    total = e.agg(F.sum("n")).first()[0] or 0.0
+    names = settle(e.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("community", F.col("node")))
+    for _ in range(levels):
+        moved = _moves(e, total, rounds, resolution)
+        if moved is None:
+            break
+        names = settle(names.join(moved.select(F.col("node").alias("community"), F.col("community").alias("to")), "community").select("node", F.col("to").alias("community")))
+        left, right = moved.toDF("a", "ca"), moved.toDF("b", "cb")
+        e = settle(e.join(left, "a").join(right, "b").select(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b"), "n").groupBy("a", "b").agg(F.sum("n").alias("n")))
+    least = names.groupBy("community").agg(F.min("node").alias("least"))
+    return names.join(least, "community").select("node", F.col("least").alias("community"))
+
+
+def _moves(e: DataFrame, total: float, rounds: int, resolution: float) -> DataFrame | None:
+    """One level of moves over edges (loops are inner weight): ``node, community``, or none if nothing gains."""
+    both = settle(e.where("a <> b").unionByName(e.where("a <> b").select(F.col("b").alias("a"), F.col("a").alias("b"), "n")))
+    ends = settle(e.select(F.explode(F.array(F.struct(F.col("a").alias("node"), "n"), F.struct(F.col("b").alias("node"), "n"))).alias("x")).groupBy("x.node").agg(F.sum("x.n").alias("k")))
+    labels, best, any_move = settle(ends.select("node", F.col("node").alias("community"))), None, False
+    value = lambda at: modularity(e, at.select("node", "community")).first()[0] or 0.0
+    best, still = value(labels), 0
+    for i in range(rounds):
+        of = settle(labels.join(ends, "node"))
+        sums = of.groupBy("community").agg(F.sum("k").alias("total"))
+        near = both.join(of.select(F.col("node").alias("b"), "community"), "b").groupBy(F.col("a").alias("node"), "community").agg(F.sum("n").alias("w"))
+        near = near.join(of.select("node", "k", F.col("community").alias("own")), "node").join(sums, "community")
+        gain = F.col("w") - resolution * F.col("k") * (F.col("total") - F.when(F.col("community") == F.col("own"), F.col("k")).otherwise(0.0)) / (2 * total)
+        best_of = near.groupBy("node").agg(F.max(F.when(F.col("community") == F.col("own"), gain)).alias("stay"), F.min(F.struct((-F.round(gain, 9)).alias("g"), "community")).alias("m"))
+        own = of.join(sums, "community").select("node", (-resolution * F.col("k") * (F.col("total") - F.col("k")) / (2 * total)).alias("alone"))
+        turn = F.pmod(F.xxhash64("node", F.lit(i)), F.lit(2)) == 0
+        goes = turn & (-F.col("m.g") > F.coalesce("stay", "alone") + 1e-9)
+        new = settle(labels.join(best_of, "node", "left").join(own, "node").select("node", F.when(goes, F.col("m.community")).otherwise(F.col("community")).alias("community")))
+        now = value(new)
+        if now > best + 1e-9:
+            labels, best, any_move, still = new, now, True, 0
+        else:
+            still += 1
+            if still == 4:  # both halves have had their turn, more than once
+                break
+    return labels if any_move else None
 
 
 def communities(edges: DataFrame, rounds: int = 200) -> DataFrame:

@@ -10,6 +10,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.tables import settle
+
 
 def per_series(series: DataFrame, work, schema: str, by: tuple[str, ...] = ("series",)) -> DataFrame:
     """Apply ``work(values, days) -> DataFrame`` to each series in the order of its days (missing values are 0)."""
@@ -85,11 +87,11 @@ def pelt(x: np.ndarray, least: int = 3, penalty: float | None = None) -> list[in
     return out[::-1]
 
 
-def changepoints(series: DataFrame, permutations: int = 20, seed: int = 42) -> DataFrame:
+def changepoints(series: DataFrame, permutations: int = 20, seed: int = 42, penalty: float | None = None) -> DataFrame:
     """Changepoints with one significance a series: the share of shuffles that explain less variance."""
 
     def work(x, days):
-        at = pelt(x)
+        at = pelt(x, penalty=penalty)
         explained = lambda v, cuts: v.var() - sum(p.var() * len(p) for p in np.split(v, cuts)) / len(v)
         rng = np.random.default_rng(seed)
         significance = float(np.mean([explained(rng.permutation(x), at) < explained(x, at) for _ in range(permutations)])) if at else 0.0
@@ -98,6 +100,13 @@ def changepoints(series: DataFrame, permutations: int = 20, seed: int = 42) -> D
     return per_series(series, work, "day date, significance double")
 
 
+def shift_points(shifts: DataFrame, penalty: float = 3.0) -> DataFrame:
+    """``shifts`` (``topic_id, day, kl``) with ``changed``: whether the topic's divergences change level on that day."""
+    at = changepoints(shifts.where("kl is not null").select(F.col("topic_id").cast("string").alias("series"), "day", F.col("kl").alias("value")), 1, penalty=penalty)
+    at = at.select(F.col("series").cast(shifts.schema["topic_id"].dataType).alias("topic_id"), "day", F.lit(True).alias("changed"))
+    return shifts.join(at, ["topic_id", "day"], "left").select("topic_id", "day", "kl", F.coalesce("changed", F.lit(False)).alias("changed"))
+
+
 def loess(x: np.ndarray, y: np.ndarray, span: int) -> np.ndarray:
     """Local linear fits with tricube weights over the ``span`` nearest points."""
     out = np.empty(len(y))
@@ -200,17 +209,70 @@ def granger(x: np.ndarray, y: np.ndarray, lag: int) -> float:
 
 
 def dtw(x: np.ndarray, y: np.ndarray) -> float:
-    """Dynamic time warping distance of standardised series."""
+    """Dynamic time warping distance of standardised series, by anti-diagonals."""
     z = lambda v: (v - v.mean()) / (v.std() or 1.0)
+    n, m = len(x), len(y)
     cost = np.abs(z(x)[:, None] - z(y)[None, :])
-    acc = np.full((len(x) + 1, len(y) + 1), np.inf)
+    acc = np.full((n + 1, m + 1), np.inf)
     acc[0, 0] = 0
-    for i in range(1, len(x) + 1):
-        for j in range(1, len(y) + 1):
-            acc[i, j] = cost[i - 1, j - 1] + min(acc[i - 1, j], acc[i, j - 1], acc[i - 1, j - 1])
+    for d in range(2, n + m + 1):
+        i = np.arange(max(1, d - m), min(n, d - 1) + 1)
+        j = d - i
+        acc[i, j] = cost[i - 1, j - 1] + np.minimum(np.minimum(acc[i - 1, j], acc[i, j - 1]), acc[i - 1, j - 1])
     return float(acc[-1, -1])
 
 
+# The response surface of the unit-root test's 5 % critical value, with a constant.
+ADF_5 = (-2.86154, -2.8903, -4.234, -40.040)
+
+
+def unit_root(x: np.ndarray) -> tuple[float, int, bool]:
+    """The augmented Dickey-Fuller statistic with a constant, its lags (least AIC over one sample), and whether it is below 5 %."""
+    n, d = len(x), np.diff(x)
+    most = min(n // 2 - 2, int(math.ceil(12 * (n / 100) ** 0.25)))
+    if most < 0 or x.std() < 1e-12:
+        return 0.0, 0, False
+
+    def fit(lags: int, skip: int) -> tuple[float, float, int]:
+        y = d[skip:]
+        a = np.column_stack([np.ones(len(y)), x[skip:-1]] + [d[skip - k : len(d) - k] for k in range(1, lags + 1)])
+        beta, *_ = np.linalg.lstsq(a, y, rcond=None)
+        rss = float(((y - a @ beta) ** 2).sum())
+        free = len(y) - a.shape[1]
+        if free <= 0 or rss <= 1e-300:
+            return math.inf, 0.0, len(y)
+        t = beta[1] / math.sqrt(max(rss / free * np.linalg.pinv(a.T @ a)[1, 1], 1e-300))
+        return len(y) * math.log(rss / len(y)) + 2 * a.shape[1], float(t), len(y)
+
+    lags = min(range(most + 1), key=lambda k: fit(k, most)[0])
+    _, t, used = fit(lags, lags)
+    return t, lags, t < sum(c / used**i for i, c in enumerate(ADF_5))
+
+
+def stationarity(series: DataFrame, least: int = 8) -> DataFrame:
+    """``series, statistic, lags, stationary, differenced``: whether a series has no unit root, itself or after one difference; not
+    under ``least`` points."""
+
+    def work(x, days):
+        for step, v in ((False, x), (True, np.diff(x))):
+            if len(v) < least:
+                break
+            t, lags, ok = unit_root(v)
+            if ok:
+                return pd.DataFrame({"statistic": [t], "lags": [lags], "stationary": [True], "differenced": [step]})
+        return pd.DataFrame({"statistic": [unit_root(x)[0] if len(x) >= least else 0.0], "lags": [0], "stationary": [False], "differenced": [False]})
+
+    return per_series(series, work, "statistic double, lags long, stationary boolean, differenced boolean")
+
+
+def cascades(series: DataFrame, top: int = 10, least_days: int = 30, lags: int = 7, level: float = 0.05) -> DataFrame:
+    """``cause, effect, lag, p``: which of the ``top`` series by volume, of those with ``least_days`` days above 0, help to foretell
+    which; the best lag's p-value under ``level``, without a correction for the number of pairs."""
+    n = series.groupBy("series").agg(F.sum("value").alias("volume"), F.sum((F.col("value") > 0).cast("int")).alias("days"))
+    best = n.orderBy(F.desc("volume"), "series").limit(top).where(F.col("days") >= least_days)  # a few rows
+    return causality(series.join(F.broadcast(best.select("series")), "series", "left_semi"), lags).where(F.col("p") < level).select("cause", "effect", "lag", "p")
+
+
 def _pairs(series: DataFrame, ordered: bool) -> DataFrame:
     whole = series.groupBy("series").agg(F.transform(F.array_sort(F.collect_list(F.struct("day", F.coalesce("value", F.lit(0.0)).alias("v")))), lambda s: s["v"]).alias("x"))
     return whole.toDF("a", "x").join(whole.toDF("b", "y"), F.col("a") != F.col("b") if ordered else F.col("a") < F.col("b"))
@@ -240,6 +302,6 @@ def alignment(series: DataFrame) -> DataFrame:
         for pdf in batches:
             yield pd.DataFrame([(a, b, dtw(np.asarray(x, float), np.asarray(y, float))) for a, b, x, y in pdf[["a", "b", "x", "y"]].itertuples(index=False)], columns=["a", "b", "distance"])
 
-    d = _pairs(series, False).mapInPandas(work, "a string, b string, distance double")
+    d = settle(_pairs(series, False).mapInPandas(work, "a string, b string, distance double"))  # read twice below
     most = d.agg(F.max("distance").alias("most"))
     return d.crossJoin(F.broadcast(most)).select("a", "b", "distance", F.when(F.col("most") > 0, 1 - F.col("distance") / F.col("most")).otherwise(0.0).alias("strength"))  # one row

@@ -71,12 +71,16 @@ def peak(series: DataFrame) -> DataFrame:
     return series.where("value is not null").groupBy("series", "metric").agg(F.min(F.struct((-F.col("value")).alias("v"), "day")).alias("p")).select("series", "metric", F.col("p.day").alias("day"), (-F.col("p.v")).alias("value"))
 
 
-def decay_fit(series: DataFrame) -> DataFrame:
-    """Power-law fit (log-log regression) of what follows a series' peak, with R squared and the class it gives."""
+def decay_fit(series: DataFrame, least: float = 0.7) -> DataFrame:
+    """Fits of what follows a series' peak: a power law (log-log regression) and an exponential (log-linear), each with the R squared of
+    its own logarithms, and the class that they give: ``flash`` where the exponential is the better one, ``sustained`` where the
+    power law is, ``irregular`` under ``least`` or with fewer than three points."""
     v = series.where("metric = 'volume' and value > 0")
-    after = v.join(peak(v).select("series", F.col("day").alias("peak")), "series").where("day >= peak").withColumn("x", F.log(F.datediff("day", "peak") + F.lit(1.0))).withColumn("y", F.log("value"))
-    out = after.groupBy("series").agg(F.count("*").alias("points"), F.regr_slope("y", "x").alias("exponent"), F.regr_r2("y", "x").alias("r2"))
-    return out.withColumn("decay", F.when((F.col("points") >= 3) & (F.col("r2") > 0.7) & (F.col("exponent") < 0), "sustained").otherwise("irregular"))
+    after = v.join(peak(v).select("series", F.col("day").alias("peak")), "series").where("day >= peak").withColumn("t", F.datediff("day", "peak").cast("double")).withColumn("x", F.log(F.col("t") + 1)).withColumn("y", F.log("value"))
+    out = after.groupBy("series").agg(F.count("*").alias("points"), F.regr_slope("y", "x").alias("exponent"), F.regr_r2("y", "x").alias("r2"), F.regr_slope("y", "t").alias("rate"), F.regr_r2("y", "t").alias("exp_r2"))
+    power, fast = F.when(F.col("exponent") < 0, F.col("r2")), F.when(F.col("rate") < 0, F.col("exp_r2"))
+    flash = (F.round(fast, 9) >= F.round(F.coalesce(power, F.lit(0.0)), 9)) & (fast > least)
+    return out.withColumn("decay", F.when(F.col("points") < 3, "irregular").when(flash, "flash").when(power > least, "sustained").otherwise("irregular"))
 
 
 def lead_lag(series: DataFrame, most: int = 7, least: float = 0.1) -> DataFrame:
@@ -88,3 +92,29 @@ def lead_lag(series: DataFrame, most: int = 7, least: float = 0.1) -> DataFrame:
     c = a.join(b, "at").where("a < b").groupBy("a", "b", "lag").agg(F.corr("x", "y").alias("r"), F.count("*").alias("n")).where("n >= 3 and r is not null and not isnan(r)")
     best = c.groupBy("a", "b").agg(F.min(F.struct((-F.abs(F.round("r", 9))).alias("k"), F.abs("lag").alias("d"), "lag", "r")).alias("m")).select("a", "b", "m.lag", "m.r").where(F.abs(F.col("r")) > least)
     return best.withColumn("leader", F.when(F.col("lag") > 0, F.col("a")).when(F.col("lag") < 0, F.col("b")))
+
+
+def baseline_shift(articles: DataFrame, value: str = "topic_id", days: int = 30) -> DataFrame:
+    """One row: ``kl``, how far the last day's shares of ``value`` are from those of the first ``days`` days there are."""
+    span = articles.agg(F.min("day").alias("lo"), F.max("day").alias("hi"))
+    n = articles.crossJoin(F.broadcast(span)).groupBy(value).agg(F.sum((F.col("day") == F.col("hi")).cast("int")).alias("now"), F.sum((F.col("day") < F.date_add("lo", days)).cast("int")).alias("base"))  # one row
+    w = Window.partitionBy()  # a row for each value
+    p = n.select((F.col("now") / F.sum("now").over(w)).alias("p"), (F.col("base") / F.sum("base").over(w) + 1e-10).alias("q"))
+    p = p.withColumn("q", F.col("q") / F.sum("q").over(w))
+    return p.agg(F.greatest(F.lit(0.0), F.sum(F.when(F.col("p") > 0, F.col("p") * F.log(F.col("p") / F.col("q"))).otherwise(0.0))).alias("kl"))
+
+
+def zipf_deviation(counts: DataFrame, by: str, most: int = 1000) -> DataFrame:
+    """``BY, terms, deviation``: how far the frequencies of a group's ``most`` commonest terms (``BY, term, n``) are from one over the
+    rank: 1 - exp(-divergence); 0 under five terms."""
+    w = Window.partitionBy(by)
+    r = counts.withColumn("rank", F.row_number().over(w.orderBy(F.desc("n"), "term"))).where(F.col("rank") <= most)
+    r = r.withColumn("p", F.col("n") / F.sum("n").over(w)).withColumn("q", 1 / F.col("rank") / F.sum(1 / F.col("rank")).over(w))
+    out = r.groupBy(by).agg(F.count("*").alias("terms"), F.sum(F.col("p") * F.log(F.col("p") / F.col("q"))).alias("kl"))
+    return out.select(by, "terms", F.when(F.col("terms") < 5, 0.0).otherwise(F.greatest(F.lit(0.0), 1 - F.exp(-F.col("kl")))).alias("deviation"))
+
+
+def largest(series: DataFrame, top: int) -> DataFrame:
+    """The rows of the ``top`` series by their whole volume, and of the aggregate (``all``)."""
+    n = series.where("metric = 'volume' and series <> 'all'").groupBy("series").agg(F.sum("value").alias("v")).orderBy(F.desc("v"), "series").limit(top)  # a few rows
+    return series.join(F.broadcast(n.select("series")), "series", "left_semi").unionByName(series.where("series = 'all'"))

@@ -60,12 +60,21 @@ def velocity(spark, sf):
     return G.velocity(articles(spark, sf)).select("src", "dst", "topics", _p("mean_lag"))
 
 
-@query("m6_uncertainty", sql(f"SELECT language, day, count(*) AS n, round(avg(CAST(regexp_matches(title, '{C.pattern(C.UNCERTAINTY)}') AS INT)), 6) AS epu FROM articles GROUP BY ALL"))
+def _re(words, lang):
+    """The same alternation for an engine without look-around: bounds are characters or ends."""
+    p = C.pattern(words, lang)
+    return p.replace("(?iu)(?<![\\p{L}\\p{N}_])", "(?i)(?:^|[^\\p{L}\\p{N}_])").replace("(?![\\p{L}\\p{N}_])", "(?:$|[^\\p{L}\\p{N}_])")
+
+
+_EPU = " ".join(f"WHEN '{lang}' THEN regexp_matches(headline, '{_re(w, lang)}')" for lang, w in C.UNCERTAINTY.items())
+
+
+@query("m6_uncertainty", sql(f"SELECT language, day, count(*) AS n, round(avg(CAST(CASE language {_EPU} END AS INT)), 6) AS epu FROM articles WHERE language IN ({', '.join(repr(x) for x in C.UNCERTAINTY)}) GROUP BY ALL"))
 def uncertainty(spark, sf):
-    return C.uncertainty(articles(spark, sf)).select("language", "day", "n", _p("epu"))
+    return C.uncertainty(articles(spark, sf), text="headline").select("language", "day", "n", _p("epu"))
 
 
-_HITS = {s: f"len(regexp_extract_all(title, '{C.pattern(w)}'))" for s, w in C.SECTORS.items()}
+_HITS = {s: " + ".join(f"len(regexp_extract_all(headline, '{C.pattern(w, lang)}'))" for lang, w in by.items()) for s, by in C.SECTORS.items()}
 
 
 @query("m6_sector_sentiment", sql(f"""
@@ -73,10 +82,10 @@ h AS (SELECT day, sentiment_score, {', '.join(f'{h} AS h_{s}' for s, h in _HITS.
 s AS (SELECT *, CASE WHEN greatest({', '.join('h_' + s for s in _HITS)}) = 0 THEN NULL {' '.join(f"WHEN h_{s} = greatest({', '.join('h_' + x for x in _HITS)}) THEN '{s}'" for s in _HITS)} END AS sector FROM h)
 SELECT sector, day, count(*) AS n, round(avg(sentiment_score), 9) + 0.0 AS sentiment FROM s WHERE sector IS NOT NULL AND (SELECT count(*) FROM s WHERE sector IS NOT NULL) >= 50 GROUP BY ALL"""))
 def sectors(spark, sf):
-    return C.sector_sentiment(articles(spark, sf)).select("sector", "day", "n", _p("sentiment", 9))
+    return C.sector_sentiment(articles(spark, sf), text="headline").select("sector", "day", "n", _p("sentiment", 9))
 
 
-_NARR = " UNION ALL ".join(f"SELECT '{k}' AS narrative, language, day, sentiment_score, regexp_matches(title, '{C.pattern(w)}') AS hit FROM articles" for k, w in C.NARRATIVES.items())
+_NARR = " UNION ALL ".join(f"SELECT '{k}' AS narrative, language, day, sentiment_score, regexp_matches(headline, '{_re(w, lang)}') AS hit FROM articles WHERE language = '{lang}'" for k, by in C.NARRATIVES.items() for lang, w in by.items())
 
 
 @query("m6_narratives", sql(f"""
@@ -85,7 +94,7 @@ n AS (SELECT narrative, language, day, CAST(sum(CAST(hit AS INT)) AS BIGINT) AS
 SELECT narrative, language, day, matches, round(prevalence, 6) AS prevalence, round(sentiment, 9) + 0.0 AS sentiment, round(avg(matches) OVER w, 6) AS matches_mean, round(avg(sentiment) OVER w, 9) + 0.0 AS sentiment_mean
 FROM n WINDOW w AS (PARTITION BY narrative, language ORDER BY day ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)"""))
 def narratives(spark, sf):
-    return C.narratives(articles(spark, sf)).select("narrative", "language", "day", "matches", _p("prevalence"), _p("sentiment", 9), _p("matches_mean"), _p("sentiment_mean", 9))
+    return C.narratives(articles(spark, sf), text="headline").select("narrative", "language", "day", "matches", _p("prevalence"), _p("sentiment", 9), _p("matches_mean"), _p("sentiment_mean", 9))
 
 
 _GRAD = lambda x: f"CASE WHEN lag({x}) OVER w IS NOT NULL AND lead({x}) OVER w IS NOT NULL THEN (lead({x}) OVER w - lag({x}) OVER w) / 2.0 WHEN lead({x}) OVER w IS NOT NULL THEN lead({x}) OVER w - {x} WHEN lag({x}) OVER w IS NOT NULL THEN {x} - lag({x}) OVER w ELSE 0 END"
@@ -162,11 +171,12 @@ def peak(spark, sf):
 
 @query("m4_decay", sql(_DAILY + """,
 v AS (SELECT * FROM s WHERE metric = 'volume' AND value > 0), p AS (SELECT series, arg_min(day, {'v': -value, 'd': day}) AS peak FROM v GROUP BY series),
-a AS (SELECT v.series, ln(day - peak + 1) AS x, ln(value) AS y FROM v JOIN p ON p.series = v.series WHERE day >= peak),
-f AS (SELECT series, count(*) AS points, regr_slope(y, x) AS exponent, regr_r2(y, x) AS r2 FROM a GROUP BY series)
-SELECT series, points, round(exponent, 6) + 0.0 AS exponent, round(r2, 6) AS r2, CASE WHEN points >= 3 AND r2 > 0.7 AND exponent < 0 THEN 'sustained' ELSE 'irregular' END AS decay FROM f"""))
+a AS (SELECT v.series, day - peak AS t, ln(day - peak + 1) AS x, ln(value) AS y FROM v JOIN p ON p.series = v.series WHERE day >= peak),
+f AS (SELECT series, count(*) AS points, regr_slope(y, x) AS exponent, regr_r2(y, x) AS r2, regr_slope(y, t) AS rate, regr_r2(y, t) AS exp_r2 FROM a GROUP BY series)
+SELECT series, points, round(exponent, 6) + 0.0 AS exponent, round(r2, 6) AS r2, round(rate, 6) + 0.0 AS rate, round(exp_r2, 6) AS exp_r2,
+  CASE WHEN points < 3 THEN 'irregular' WHEN rate < 0 AND exp_r2 > 0.7 AND round(exp_r2, 9) >= CASE WHEN exponent < 0 THEN round(r2, 9) ELSE 0 END THEN 'flash' WHEN exponent < 0 AND r2 > 0.7 THEN 'sustained' ELSE 'irregular' END AS decay FROM f"""))
 def decay(spark, sf):
-    return S.decay_fit(S.daily(articles(spark, sf))).select("series", "points", _p("exponent"), F.round("r2", 6).alias("r2"), "decay")
+    return S.decay_fit(S.daily(articles(spark, sf))).select("series", "points", _p("exponent"), F.round("r2", 6).alias("r2"), _p("rate"), F.round("exp_r2", 6).alias("exp_r2"), "decay")
 
 
 @query("s6_lead_lag", sql(_DAILY + """,

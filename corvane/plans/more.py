@@ -114,10 +114,9 @@ def coverage(spark, sf):
     return pipeline.coverage(articles(spark, sf), {"source_lean": ["UNKNOWN"], "signal_type": ["NOISE"]}).withColumn("share", F.round("share", 6))
 
 
-@query("m1_jaccard_sources", sql("s AS (SELECT DISTINCT source, topic_id FROM articles WHERE day = DATE '2024-01-30'), l AS (SELECT DISTINCT source FROM s) SELECT a.source AS a, b.source AS b, round((SELECT count(*) FROM s x JOIN s y ON x.topic_id = y.topic_id WHERE x.source = a.source AND y.source = b.source) / (SELECT count(DISTINCT topic_id) FROM s WHERE source IN (a.source, b.source)), 6) AS jaccard FROM l a JOIN l b ON a.source < b.source"))
+@query("m1_jaccard_sources", sql("s AS (SELECT DISTINCT source, topic_id FROM articles), l AS (SELECT DISTINCT source FROM s) SELECT a.source AS a, b.source AS b, round((SELECT count(*) FROM s x JOIN s y ON x.topic_id = y.topic_id WHERE x.source = a.source AND y.source = b.source) / (SELECT count(DISTINCT topic_id) FROM s WHERE source IN (a.source, b.source)), 6) AS jaccard FROM l a JOIN l b ON a.source < b.source"))
 def jaccard_sources(spark, sf):
-    a = articles(spark, sf).where("day = date'2024-01-30'")
-    return entities.jaccard_of_sets(a, "source", "topic_id").withColumn("jaccard", F.round("jaccard", 6))
+    return entities.jaccard_of_sets(articles(spark, sf), "source", "topic_id").withColumn("jaccard", F.round("jaccard", 6))
 
 
 @query("m1_frequent_share", sql("SELECT language, round(count(*) / (SELECT count(*) FROM articles), 6) AS share FROM articles GROUP BY language"))

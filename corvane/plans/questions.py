@@ -50,12 +50,12 @@ _daily("q09_paradigms", _T + """ SELECT geo_focus_primary, count(DISTINCT langua
 _daily("q10_migration", """n AS (SELECT steeps_primary, day, count(DISTINCT source) AS s FROM articles WHERE day BETWEEN DATE '2023-12-31' AND DATE '2024-01-30' GROUP BY 1, 2),
 r AS (SELECT *, row_number() OVER (PARTITION BY steeps_primary ORDER BY day) <= count(*) OVER (PARTITION BY steeps_primary) // 2 AS f FROM n), g AS (SELECT steeps_primary, avg(s) FILTER (f) AS early, avg(s) FILTER (NOT f) AS late FROM r GROUP BY 1)
 SELECT steeps_primary, round(early, 6) AS early, round(late, 6) AS late, round(late / early, 6) AS ratio, CASE WHEN late / early > 1.2 THEN 'spreading' WHEN late / early < 0.8 THEN 'shrinking' ELSE 'stable' END AS "move" FROM g""", Q.migration, ("early", "late", "ratio"))
-_daily("q11_setters", """o AS (SELECT DISTINCT geo_focus_primary, unnest(steeps_all) AS code FROM articles WHERE day = DATE '2024-01-29' AND article_id % 7 = 0),
+_daily("q11_setters", """o AS (SELECT DISTINCT geo_focus_primary, unnest(steeps_all) AS code FROM articles WHERE day BETWEEN DATE '2023-12-31' AND DATE '2024-01-29'),
 t AS (SELECT source, source_tier, geo_focus_primary, unnest(steeps_all) AS code FROM articles WHERE day = DATE '2024-01-30')
-SELECT source, source_tier, count(*) AS n FROM t WHERE (geo_focus_primary, code) NOT IN (SELECT (geo_focus_primary, code) FROM o) GROUP BY 1, 2""", lambda a, t: Q.setters(a.where((F.col("day") == t) | ((F.col("day") == datetime.date(2024, 1, 29)) & (F.col("article_id") % 7 == 0))), t))
+SELECT source, source_tier, count(*) AS n FROM t WHERE (geo_focus_primary, code) NOT IN (SELECT (geo_focus_primary, code) FROM o) GROUP BY 1, 2""", Q.setters)
 _daily("q11_setters_history", """o AS (SELECT DISTINCT geo_focus_primary, unnest(steeps_all) AS code FROM articles WHERE day BETWEEN DATE '2023-12-31' AND DATE '2024-01-29'),
 t AS (SELECT source, source_tier, geo_focus_primary, unnest(steeps_all) AS code FROM articles WHERE day = DATE '2024-01-30')
-SELECT source, source_tier, count(*) AS n FROM t WHERE (geo_focus_primary, code) NOT IN (SELECT (geo_focus_primary, code) FROM o) GROUP BY 1, 2""", Q.setters)  # the whole history; q11_setters has a sample of one day
+SELECT source, source_tier, count(*) AS n FROM t WHERE (geo_focus_primary, code) NOT IN (SELECT (geo_focus_primary, code) FROM o) GROUP BY 1, 2""", Q.setters)  # the same, under the name that earlier figures have
 _daily("q12_leaning", _T + """, n AS (SELECT source_lean, steeps_primary, count(*) AS n FROM today WHERE source_lean <> 'UNKNOWN' GROUP BY 1, 2), r AS (SELECT *, CAST(row_number() OVER (PARTITION BY source_lean ORDER BY n DESC, steeps_primary) AS INT) AS rank FROM n) SELECT * FROM r WHERE rank <= 5""", Q.leaning)
 _S = _T + ", s AS (SELECT DISTINCT language, geo_focus_primary || '/' || steeps_primary AS subject FROM today)"
 _daily("q13_exclusive", _S + " SELECT min(language) AS language, subject FROM s GROUP BY subject HAVING count(*) = 1", Q.exclusive)

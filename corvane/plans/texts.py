@@ -94,21 +94,9 @@ def simhash(spark, sf):
     return table(spark, sf, "documents").select("doc_id", text.simhash64(F.col("text")).alias("simhash"))
 
 
-@query("f21_similar_titles", """
-WITH t AS (SELECT DISTINCT lower(trim(regexp_extract(text, '^[^\\n]*'))) AS t FROM documents WHERE doc_id % 10 = 0 AND length(text) < 400), u AS (SELECT t, len(t) AS n FROM t WHERE t <> ''),
-p AS (SELECT a.t AS a, b.t AS b FROM u a JOIN u b ON a.t < b.t)
-SELECT a, b FROM p WHERE levenshtein(a, b) < 0.2 * greatest(length(a), length(b))""")
-def similar_titles(spark, sf):
-    t = table(spark, sf, "documents").where("doc_id % 10 = 0 and length(text) < 400").select(F.lower(F.trim(F.regexp_extract("text", "^[^\n]*", 0))).alias("t")).where("t <> ''").distinct()
-    # candidates by length: an edit distance under a fifth of the longer bounds how far lengths differ
-    size = F.floor(F.log(F.length("t").cast("double")) / F.log(F.lit(1.25))).cast("int")
-    a, b = t.select(F.col("t").alias("a"), F.explode(F.array(size - 1, size, size + 1)).alias("s")), t.select(F.col("t").alias("b"), size.alias("s"))
-    return a.join(b, "s").where("a < b").where(F.levenshtein("a", "b") < 0.2 * F.greatest(F.length("a"), F.length("b"))).select("a", "b").distinct()
-
-
 @query("f21_titles_alike")
 def titles_alike(spark, sf):
-    """All titles of all documents; f21_similar_titles is the sample of its edit distance that SQL can follow."""
+    """All titles of all documents; f21_similar_titles has the names of all parts, which SQL can follow."""
     return titles.alike(table(spark, sf, "documents").select(text.title_form(F.regexp_extract("text", "^[^\n]*", 0)).alias("form")))
 
 
@@ -255,12 +243,12 @@ def density(spark, sf):
 
 
 @query("g16_components", """
-WITH RECURSIVE e AS (SELECT DISTINCT l_suppkey AS a, 100000 + l_partkey AS b FROM lineitem WHERE l_partkey % 37 = 0 AND l_quantity > 40), o AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
+WITH RECURSIVE e AS (SELECT DISTINCT c_custkey AS a, -1 - c_nationkey AS b FROM customer), o AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
 r(node, c) AS (SELECT a, a FROM o UNION SELECT o.b, r.c FROM r JOIN o ON o.a = r.node)
 SELECT node, min(c) AS component FROM r GROUP BY node""")
 def components(spark, sf):
-    l = table(spark, sf, "lineitem").where("l_partkey % 37 = 0 and l_quantity > 40").select(F.col("l_suppkey").alias("a"), (F.col("l_partkey") + 100000).alias("b")).distinct()
-    return graph.components(l)
+    """All customers and their nations: a component for each nation that has customers."""
+    return graph.components(table(spark, sf, "customer").select(F.col("c_custkey").alias("a"), (-1 - F.col("c_nationkey")).alias("b")).distinct())
 
 
 @query("g16_components_whole", """
@@ -268,15 +256,15 @@ WITH RECURSIVE e AS (SELECT DISTINCT l_suppkey AS a, -1 - l_partkey AS b FROM li
 r(node, c) AS (SELECT a, a FROM o UNION SELECT o.b, r.c FROM r JOIN o ON o.a = r.node)
 SELECT node, min(c) AS component FROM r GROUP BY node""")
 def components_whole(spark, sf):
-    """All edges of lineitem; parts are negative, so that no number of suppliers meets them. g16_components is a sample."""
+    """All edges of lineitem; parts are negative, so that no number of suppliers meets them."""
     return graph.components(table(spark, sf, "lineitem").select(F.col("l_suppkey").alias("a"), (-1 - F.col("l_partkey")).alias("b")).distinct())
 
 
 @query("g22_depth", """
-WITH RECURSIVE e AS (SELECT DISTINCT user_id AS s, user_id // 3 + 1 AS d FROM events WHERE user_id > 3), w(root, node, k) AS (SELECT DISTINCT s, s, 0 FROM e WHERE s NOT IN (SELECT d FROM e) UNION ALL SELECT root, e.d, k + 1 FROM w JOIN e ON e.s = w.node WHERE k < 20),
+WITH RECURSIVE e AS (SELECT DISTINCT user_id AS s, user_id // 3 + 1 AS d FROM events), w(root, node, k) AS (SELECT DISTINCT s, s, 0 FROM e WHERE s NOT IN (SELECT d FROM e) UNION ALL SELECT root, e.d, k + 1 FROM w JOIN e ON e.s = w.node WHERE k < 20),
 n AS (SELECT root, node, min(k) AS k FROM w GROUP BY 1, 2) SELECT root, CAST(max(k) AS BIGINT) AS depth FROM n GROUP BY root""")
 def depth(spark, sf):
-    e = table(spark, sf, "events").where("user_id > 3").select(F.col("user_id").alias("src"), (F.floor(F.col("user_id") / 3) + 1).alias("dst")).distinct()
+    e = table(spark, sf, "events").select(F.col("user_id").alias("src"), (F.floor(F.col("user_id") / 3) + 1).alias("dst")).distinct()
     return graph.depth(spark, e)
 
 
