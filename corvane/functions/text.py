@@ -205,15 +205,21 @@ def titles_alike(a: Column, b: Column, jaccard: float = 0.8, edit: float = 0.2)
 def simhash64(text: Column, n: int = 3) -> Column:
     """64-bit SimHash of word ``n``-grams, whose hashes are the first eight bytes of SHA-256; 0 under 50 characters.
 
-    Bits are counted within the row by one fold over the grams, 16 at a time in one number of four bits each would
-    overflow, so 64 sums are kept in an array.
+    Words and hashes are named once by a fold over one entry each, so that a text is cut once and its grams are hashed once,
+    and not for every gram and bit.
     """
-    w = words(F.lower(text))
-    grams = F.when(F.size(w) >= n, F.transform(F.sequence(F.lit(1), F.size(w) - n + 1), lambda i: F.array_join(F.slice(w, i, n), " "))).otherwise(F.array(F.array_join(w, " ")))
-    hashes = F.transform(grams, lambda g: F.conv(F.substring(F.sha2(g, 256), 1, 16), 16, -10).cast("long"))
-    bit = lambda i: F.aggregate(hashes, F.lit(0), lambda s, h: s + F.when(F.shiftrightunsigned(h, i).bitwiseAND(F.lit(1)) == 1, 1).otherwise(-1)) > 0
-    made = sum((F.when(bit(i), F.lit(1 << i if i < 63 else -(1 << 63)).cast("long")).otherwise(F.lit(0).cast("long")) for i in range(1, 64)), F.when(bit(0), F.lit(1).cast("long")).otherwise(F.lit(0).cast("long")))
-    return F.when(F.length(text) < 50, F.lit(0).cast("long")).otherwise(made)
+    long = lambda x: F.lit(x).cast("long")
+    named = lambda value, f: F.get(F.transform(F.array(value), f), F.lit(0))
+
+    def grams(w: Column) -> Column:
+        return F.when(F.size(w) >= n, F.transform(F.sequence(F.lit(1), F.size(w) - n + 1), lambda i: F.array_join(F.slice(w, i, n), " "))).otherwise(F.array(F.array_join(w, " ")))
+
+    def all_bits(hashes: Column) -> Column:
+        on = lambda i: F.aggregate(hashes, F.lit(0), lambda s, h: s + F.when(F.shiftrightunsigned(h, i).bitwiseAND(F.lit(1)) == 1, 1).otherwise(-1)) > 0
+        return sum((F.when(on(i), long(1 << i if i < 63 else -(1 << 63))).otherwise(long(0)) for i in range(1, 64)), F.when(on(0), long(1)).otherwise(long(0)))
+
+    hashes = named(words(F.lower(text)), lambda w: F.transform(grams(w), lambda g: F.conv(F.substring(F.sha2(g, 256), 1, 16), 16, -10).cast("long")))
+    return F.when(F.length(text) < 50, long(0)).otherwise(named(hashes, all_bits))
 
 
 def hamming(a: Column, b: Column) -> Column:

@@ -89,7 +89,11 @@ def steeps_scores(spark, sf):
     return articles(spark, sf).select("article_id", s[0]["code"].alias("code"), F.round(s[0]["score"], 6).alias("score"))
 
 
-@query("f22_simhash")
+@query("f22_simhash", """
+WITH w AS (SELECT doc_id, text, list_filter(regexp_split_to_array(lower(text), '[ \\t\\n\\x0B\\f\\r]+'), lambda x: x <> '') AS w FROM documents), g AS (SELECT doc_id, unnest(CASE WHEN len(w) >= 3 THEN list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' ')) ELSE [array_to_string(w, ' ')] END) AS g FROM w WHERE length(text) >= 50),
+h AS (SELECT doc_id, ('0x' || substr(sha256(g), 1, 16))::UBIGINT AS h FROM g), b AS (SELECT doc_id, i, sum(CASE WHEN (h >> i) & 1 = 1 THEN 1 ELSE -1 END) AS v FROM h, range(64) r(i) GROUP BY ALL),
+s AS (SELECT doc_id, sum(CASE WHEN v > 0 THEN CASE WHEN i = 63 THEN -9223372036854775808::HUGEINT ELSE (1::HUGEINT << i) END ELSE 0 END) AS s FROM b GROUP BY doc_id)
+SELECT d.doc_id, CAST(coalesce(s, CASE WHEN text IS NOT NULL THEN 0 END) AS BIGINT) AS simhash FROM documents d LEFT JOIN s ON s.doc_id = d.doc_id""")
 def simhash(spark, sf):
     return table(spark, sf, "documents").select("doc_id", text.simhash64(F.col("text")).alias("simhash"))
 
