@@ -147,6 +147,61 @@ def test_near_duplicate_blocks(spark, monkeypatch):
     assert got == components_by_force(more, 2, 80)
 
 
+def test_near_duplicate_links_stay_few(spark, monkeypatch):
+    """Blocks of a large group of near copies pass on links in proportion to its members."""
+    rng, handed = random.Random(4), []
+    more = []
+    for i in range(400):
+        w = [f"w{j}" for j in range(80)]
+        for _ in range(rng.randrange(0, 3)):
+            w[rng.randrange(80)] = f"e{rng.randrange(999)}"
+        more.append((i, " ".join(w)))
+    monkeypatch.setattr(neardup, "BLOCK_LEAST", 20)
+    verify = neardup.verify
+
+    def counted(*args):
+        handed.append(neardup.settle(verify(*args)))
+        return handed[-1]
+
+    monkeypatch.setattr(neardup, "verify", counted)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in neardup.near_duplicates(spark.createDataFrame(more, "doc_id long, text string"), 2).collect()}
+    assert got == components_by_force(more, 2, 80)
+    assert handed[0].count() < 2 * 400  # whatever is left for blocks after the comparison with centers
+
+
+@pytest.mark.parametrize("least", [1, 5, 40])
+def test_near_duplicate_open_groups(spark, monkeypatch, least):
+    """Chains and half-alike texts, whose buckets hold several components, in blocks of any size."""
+    monkeypatch.setattr(neardup, "BLOCK_LEAST", least)
+    rng, more = random.Random(least), []
+    base = [f"w{j}" for j in range(50)]
+    for i in range(160):
+        w = list(base)
+        for at in rng.sample(range(50), rng.choice([1, 3, 5, 6, 7, 9])):
+            w[at] = f"e{rng.randrange(12)}"
+        more.append((i, " ".join(w)))
+        if i % 4 == 0:
+            base[rng.randrange(50)] = f"b{i}"
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in neardup.near_duplicates(spark.createDataFrame(more, "doc_id long, text string"), 1).collect()}
+    want = components_by_force(more, 1, 80)
+    assert got == want and len({c for _, c in want.values()}) > 3
+
+
+def test_least_linked():
+    rng = np.random.default_rng(6)
+    hit = np.triu(rng.random((60, 60)) < 0.02, 1)
+    u = components.Union()
+    for a, b in np.argwhere(hit).tolist():
+        u.join(a, b)
+    assert neardup.least_linked(hit | hit.T).tolist() == [u.root(x) for x in range(60)]
+
+
+def test_near_duplicates_null_ids(spark):
+    rows = [(1, "a b c d"), (None, "a b c d"), (None, "a b c d"), (None, None), (2, "a b c d")]
+    got = sorted(((r.doc_id or 0, r.component_id, r.kept) for r in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 2).collect()), key=str)
+    assert got == [(0, None, True)] * 3 + [(1, 1, True), (2, 1, False)]
+
+
 def test_superminhash_estimates():
     rng, shares = np.random.default_rng(0), []
     for _ in range(60):
@@ -187,15 +242,25 @@ def contaminated_by_force(docs, bench, n=10):
     return out
 
 
-@pytest.mark.parametrize("most", [decontaminate.MOST_BROADCAST, 0])
-def test_decontamination(spark, rows, small, monkeypatch, most):
-    monkeypatch.setattr(decontaminate, "MOST_BROADCAST", most)  # 0: every join shuffles
+@pytest.mark.parametrize("threshold", ["10MB", "-1"])  # -1: every join shuffles
+def test_decontamination(spark, rows, small, threshold):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     docs = [*rows, (9001, "Alpha beta gamma"), (9002, None), (9003, ""), (9004, "one two three four five six seven eight nine ten eleven"), (9005, "x beta GAMMA beta gamma y"), (9006, "one " * 13), (9007, "É é")]
     bench = [*duckdb.sql(f"select item_id, text from '{small}/benchmark.parquet'").fetchall(), (901, "beta gamma"), (902, "zero one two three four five six seven eight nine ten"), (903, ""), (904, None), (905, "one " * 11), (906, "y"), (907, "é")]
     got = {r.doc_id: (r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in decontaminate.contamination(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(bench, "item_id long, text string")).collect()}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert got == contaminated_by_force(docs, bench)
 
 
+def test_decontamination_repeated_ids(spark):
+    bench = [(1, "a b c d e f g h i j k l"), (2, "a b c d e"), (3, "p q r s t u v w x y z"), (4, "p q r s t u v w x y z q")]
+    docs = [(1, "x A b c d e f g h i j y"), (1, "a b c d e"), (1, "nothing"), (1, "nothing"), (None, "a b c d e"), (2, "p q r s t u v w x y z p q r s t u v w x y Z q")]
+    got = sorted((str(r.doc_id), r.n_words, r.n_hit, r.n_items) for r in decontaminate.contamination(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(bench, "item_id long, text string")).collect())
+    want = [(str(i), *next(iter(contaminated_by_force([(i, t)], bench).values()))[:3]) for i, t in docs]
+    assert got == sorted((i, n, *((0, 0) if i == "None" else (hit, items))) for i, n, hit, items in want)
+
+
 def test_decontamination_edge(spark, edge, none):
     bench = spark.createDataFrame([(1, "one")], "item_id long, text string")
     got = decontaminate.contamination(edge, bench)
@@ -258,15 +323,74 @@ def test_edited_pairs_edge(spark, edge, none):
     assert alone.edited_sha256 == sha("abcdab") and alone.near_next == 1
 
 
-def test_radius_search(spark):
+@pytest.mark.parametrize(("radius", "free"), [(7, 1), (3, 2), (0, 2), (9, 3)])
+def test_radius_search(spark, radius, free):
     rng = np.random.default_rng(2)
     base = rng.integers(0, 256, (200, 16), dtype=np.uint8)
     for i in range(1, 60):
         base[i] = base[0] ^ np.packbits(np.isin(np.arange(128), rng.choice(128, i % 12, replace=False)))
+    base[60:70] = base[3]
+    base[70] = 0
     df = spark.createDataFrame([(i, x.tobytes().hex()) for i, x in enumerate(base)], "doc_id long, fingerprint string")
-    got = {(r.query_id, r.doc_id): r.distance for r in simhash.within(df, df.where("doc_id < 80"), 7).collect()}
+    got = {(r.query_id, r.doc_id): r.distance for r in simhash.within(df, df.where("doc_id < 80"), radius, free).collect()}
     want = {(a, b): int(np.bitwise_count(base[a] ^ base[b]).sum()) for a in range(80) for b in range(200)}
-    assert got == {k: d for k, d in want.items() if d <= 7}
+    want = {k: d for k, d in want.items() if d <= radius}
+    assert got == want
+    counted = {r.doc_id: r.n_near for r in simhash.neighbours(df, df.where("doc_id < 80"), radius, free).collect()}
+    assert counted == {a: sum(k[0] == a for k in want) for a in range(80)}
+
+
+def print_by_force(text):
+    """Votes of one text, term by term, in Python's own arithmetic."""
+    w = [x.encode() for x in words(low(text))]
+    if not w:
+        return "0" * 32
+    column = tk.Words(pa.array([" ".join(x.decode() for x in w)]))
+    h = column.hash()
+    pairs = [(int(g), min(len(a) + len(b) + gap, simhash.MOST_WEIGHT)) for g, a, b, gap in zip(tk.grams(h, 2), w[:-1], w[1:], gaps(low(text)), strict=True)] or [(int(h[0]), 1)]
+    seen, first = {}, {}
+    for g, size in pairs:
+        seen[g] = seen.get(g, 0) + 1
+        first.setdefault(g, size)
+    votes = [0.0] * 128
+    for g, n in seen.items():
+        both = np.array([g, int(tk.mix(np.array([g], np.uint64) ^ np.uint64(0xD6E8FEB86659FD93))[0])], np.uint64)
+        weight = first[g] * float(np.float32(1 + np.log(n)))
+        for i, bit in enumerate("".join(f"{x:08b}" for x in both.tobytes())):
+            votes[i] += weight if bit == "1" else -weight
+    return f"{int(''.join('1' if v > 0 else '0' for v in votes), 2):032x}"
+
+
+def gaps(text):
+    at = [m.span() for m in re.finditer(r"[^\x20\x09-\x0D]+", text)]
+    return [b[0] - a[1] for a, b in zip(at[:-1], at[1:], strict=True)]
+
+
+def test_fingerprint_votes(rows):
+    texts = [x for _, x in rows if x and len(x) < 4000][:60] + ["one", "two words", "a a a a", "", "x\t\ny  z x\t\ny"]
+    made = [x.tobytes().hex() for x in simhash.fingerprints(pa.array(texts))]
+    assert made == [print_by_force(x) for x in texts]
+
+
+def test_fingerprint_query(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    got = queries.op5_fingerprints(spark, small).collect()
+    prints = {r.doc_id: int(r.fingerprint, 16) for r in got}
+    assert len(got) == docs.count()
+    for r in got:
+        assert r.n_near == (sum((prints[r.doc_id] ^ x).bit_count() <= 3 for x in prints.values()) if r.doc_id % 100 == 0 else None)
+        differ = (int(r.fingerprint, 16) ^ int(r.edited_fingerprint, 16)).bit_count()
+        assert abs(r.near_edited - max(0, np.cos(np.pi * differ / 128))) < 1e-12
+
+
+def test_edited_pairs_of_named_ids(spark):
+    texts = [("b", "b text " * 9), ("a", "a word " * 7), (None, "nothing known"), ("c", None), ("aa", "é" * 10)]
+    got = {r.doc_id: r for r in simhash.edited_pairs(spark.createDataFrame(texts, "doc_id string, text string"), 3).collect()}
+    order = [("c", ""), ("b", texts[0][1]), ("aa", "é" * 10), ("a", texts[1][1]), (None, "nothing known")]
+    for n, (i, x) in enumerate(order):
+        k = len(x) // 3
+        assert got[i].edited_sha256 == sha(x[: len(x) - k] + order[(n + 1) % 5][1][:k])
+    assert simhash.fingerprint_query(spark.createDataFrame(texts, "doc_id string, text string")).count() == 5
 
 
 # -- 6 BPE
@@ -328,6 +452,45 @@ def test_licences(spark, edge, none):
     assert licences.scan(edge).count() == 13 and licences.scan(none).count() == 0
 
 
+BSD = [
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
+    "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+    "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+    "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+]
+GNU = "This {0} is free software: you can redistribute it and/or modify it under the terms of the GNU {1}General Public License as published by the Free Software Foundation, either version {2} of the License, or (at your option) any later version."
+HOPE = "This {0} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE."
+NOTICES = {
+    "BSD-3-Clause": "\n".join(BSD),
+    "BSD-2-Clause": "\n".join(BSD[:3]),
+    "GPL-3.0": "\n".join([GNU.format("program", "", "3"), HOPE.format("program")]),
+    "GPL-2.0": "\n".join([GNU.format("program", "", "2"), HOPE.format("program")]),
+    "LGPL-2.1": "\n".join([GNU.format("library", "Lesser ", "2.1"), HOPE.format("library")]),
+    "LGPL-3.0": "\n".join([GNU.format("library", "Lesser ", "3"), HOPE.format("library")]),
+    "AGPL-3.0": "\n".join([GNU.format("program", "Affero ", "3"), HOPE.format("program")]),
+    "Zlib": "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software.\n\nPermission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:",
+    "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
+    "ISC": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    "0BSD": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.",
+    "Apache-2.0": 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.',
+    "Artistic-2.0": "Available under the Artistic License 2.0.",
+    "EPL-2.0": "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/",
+    "CC-BY-SA-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+}
+
+
+def test_licence_notices(spark):
+    """Notices as their licences print them: each is told as itself, and as nothing else."""
+    texts = [(n, f"Preface\n{x}\nThe end of it") for n, x in NOTICES.items()] + [("MIT,BSD-2-Clause", "\n".join([*BSD[:3], "Released under the MIT License."])), ("", "no licence here"), ("BSD-3-Clause,BSD-2-Clause", "\n".join(BSD + BSD[:3]))]
+    got = {r.doc_id: r.licences for r in licences.scan(spark.createDataFrame(texts, "doc_id string, text string")).collect()}
+    assert got == {n: n for n, _ in texts}
+
+
+def test_licence_anchors():
+    assert all(any(w in said for w in licences.ANCHORS) for _, said in licences.SENTENCES) and len(licences.ANCHORS) < 12
+    assert len({i for i, _ in licences.SENTENCES}) == len(licences.SENTENCES) == len({s for _, s in licences.SENTENCES})
+
+
 def test_licence_sql(spark, small):
     con = duckdb.connect()
     con.sql(f"create view documents as from '{small}/documents.parquet'")
@@ -348,9 +511,54 @@ def test_language(spark, small, edge, none):
     assert {r.lang_pred for r in langid.language_query(edge.drop("score").withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
 
 
-def test_language_bound(spark, small):
-    m = langid.fit(spark.read.parquet(f"{small}/documents.parquet"), most_documents=50, most_entries=500)
-    assert len(m.words) <= 500 and len(m.grams) <= 500 and m.languages
+def test_language_sample(spark):
+    """A hot text counts once, a rare language is learned, and no word of the sample is left out."""
+    rows = [("der hund läuft nach haus", "de")] * 300 + [(f"wort nummer {'abcdefghij'[i % 10] * (1 + i // 10)} steht hier", "de") for i in range(100)] + [("kissa istuu katolla", "fi")] + [("x", None), (None, "sv")]
+    docs = spark.createDataFrame(rows, "text string, lang string")
+    assert {(r.lang, r["count"]) for r in langid.sample(docs.dropna(), 1000).groupBy("lang").count().collect()} == {("de", 101), ("fi", 1)}
+    some = langid.sample(docs.dropna(), 20).groupBy("lang").count().collect()
+    assert {r.lang for r in some} == {"de", "fi"} and all(r["count"] < 45 for r in some)
+    m = langid.fit(docs)
+    assert m.languages == ["de", "fi"] and len(m.words) == len({w for t, lang in rows if t and lang for w in t.split()})
+    assert m.predict(pa.array(["kissa", "hund", "katoll", "", None]))[0] == ["fi", "de", "fi", "und", "und"]
+
+
+def language_by_force(train, text, longest=5):
+    """Word-first backoff with dictionaries."""
+    words_of, grams_of, langs = {}, {}, sorted({lang for _, lang in train})
+    letters = lambda t: re.findall(r"[^\W\d_]+", (t or "").lower())
+    cut = lambda w, n: [p[i : i + n] for p in ["<" + w + ">"] for i in range(len(p) - n + 1)] if n > 1 else list(w)
+    for t, lang in train:
+        for w in letters(t):
+            words_of.setdefault(w, {}).setdefault(lang, 0)
+            words_of[w][lang] += 1
+            for n in range(1, longest + 1):
+                for g in cut(w, n):
+                    grams_of.setdefault(g, {}).setdefault(lang, 0)
+                    grams_of[g][lang] += 1
+    size = lambda of, lang: sum(c.get(lang, 0) for c in of.values())
+    log = lambda of, x, lang: np.log(of[x].get(lang, 0) / size(of, lang) + 0.1 / max(size(of, x) for x in langs))
+    total = dict.fromkeys(langs, 0.0)
+    for w in letters(text):
+        for lang in langs:
+            if w in words_of:
+                total[lang] += log(words_of, w, lang)
+                continue
+            for n in range(longest, 0, -1):
+                if known := [g for g in cut(w, n) if g in grams_of]:
+                    total[lang] += sum(log(grams_of, g, lang) for g in known) / len(known)
+                    break
+    top = max(total.values())
+    return next(x for x in langs if total[x] == top), 1 / sum(np.exp(v - top) for v in total.values())
+
+
+def test_language_by_force(spark):
+    train = [("the cat sat on the mat", "en"), ("a dog ran home", "en"), ("die katze sitzt auf der matte", "de"), ("ein hund lief heim", "de"), ("le chat est assis", "fr")]
+    m = langid.fit(spark.createDataFrame(train, "text string, lang string"))
+    for text in ["the hound", "katzen", "chats ran", "xyz qq", "der cat", "assise sitzt"]:
+        lang, score = m.predict(pa.array([text]))
+        want = language_by_force(train, text)
+        assert lang[0] == want[0] and abs(score[0] - want[1]) < 1e-5
 
 
 # -- 10 repeated passages
@@ -368,7 +576,7 @@ def kept_by_force(rows, n=50):
     return out
 
 
-@pytest.mark.parametrize("hot", [256, 3, 1])
+@pytest.mark.parametrize("hot", [512, 3, 1])
 def test_repeated_passages(spark, rows, monkeypatch, hot):
     monkeypatch.setattr(substrings, "HOT", hot)
     rng = random.Random(hot)
@@ -391,6 +599,47 @@ def test_repeated_passages_texts(spark, edge, none):
     assert substrings.removed(none, substrings.repeats(none)).count() == 0
 
 
+@pytest.mark.parametrize("hot", [512, 1])
+def test_repeated_passages_repeated_ids(spark, monkeypatch, hot):
+    monkeypatch.setattr(substrings, "HOT", hot)
+    w = [f"w{i}" for i in range(200)]
+    rows = [
+        (1, " ".join(w)), (5, " ".join(w)), (5, "x y " + " ".join(w[20:90]) + " z"), (5, "x y " + " ".join(w[20:90]) + " z"), (5, "  ".join(w)), (5, "none of it"), (None, " ".join(w)), (1, " ".join(w[60:130]) + " q r"),
+        (7, "z " + " ".join(w[60:130]) + " q r"), (3, " ".join(f"n{i}" for i in range(80))), (3, "n " + " ".join(f"n{i}" for i in range(80))), (4, "m " + " ".join(f"n{i}" for i in range(80))),
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((str(r.doc_id), r.n_words, r.n_removed, r.kept_sha256) for r in substrings.removed(df, substrings.settle(substrings.repeats(df)), digest=True).collect())
+    seen, want = {}, []
+    for i, x in rows:
+        for p in range(len(words(x)) - 49) if i else ():
+            key = tuple(words(x)[p : p + 50])
+            seen[key] = min(i, seen.get(key, i))
+    for i, x in rows:
+        t = words(x)
+        gone = {q for p in range(len(t) - 49) if i and seen[tuple(t[p : p + 50])] < i for q in range(p, p + 50)}
+        want.append((str(i), len(t), len(gone), sha(" ".join(a for q, a in enumerate(t) if q not in gone))))
+    assert got == sorted(want)
+
+
+def test_repeated_passages_of_one_word(spark, monkeypatch):
+    """A word or phrase again and again makes few segments, however long the text is, cut at any length."""
+    column = pa.array(["same " * 50_000, "a b c " * 9_000])
+    s = substrings.Segmented(column, 50, 16)
+    assert (s.b - s.a).sum() < 1.5 * 77_000 and len(s.a) < 77_000 / 100
+    monkeypatch.setattr(substrings, "LONGEST", 30)
+    rows = [(1, "same " * 300), (2, "x " + "same " * 500), (3, "a b c " * 80), (4, "c a b " * 90 + "d"), (5, "b c " + "a b c " * 20 + "q " + "same " * 49)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in substrings.removed(df, substrings.settle(substrings.repeats(df)), digest=True).collect()}
+    assert got == kept_by_force(rows)
+
+
+def test_repeated_passages_clashing_columns(spark):
+    w = " ".join(f"w{i}" for i in range(60))
+    df = spark.createDataFrame([(1, w, 7, "k", 5), (2, w, 8, "l", 6)], "doc_id long, text string, _text_key long, _spans string, n_words int")
+    got = {r.doc_id: r for r in substrings.removed(df, substrings.repeats(df)).collect()}
+    assert (got[2]._text_key, got[2]._spans, got[2].n_words, got[2].n_removed, got[1].text) == (8, "l", 60, 60, w)
+
+
 def test_fm_index_counts():
     rng = np.random.default_rng(3)
     seqs = [rng.integers(1, 4, rng.integers(5, 60)) for _ in range(30)]
