@@ -41,8 +41,9 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold ten consecutive words of a benchmark item (or all of a shorter item) go."""
-    hit = decontaminate.hits(docs, table(spark, sf_dir, "benchmark"), window=10).select("doc_id")
-    return docs.hint("merge").join(settle(hit), "doc_id", "left_anti").select(docs.columns)
+    hit = settle(decontaminate.hits(docs, table(spark, sf_dir, "benchmark"), window=10).select(F.col("doc_id").alias("_hit_id"), F.col("_text_key").alias("_hit_text")))
+    same = (F.col("doc_id") == F.col("_hit_id")) & (F.xxhash64(F.col("text").cast("string")) == F.col("_hit_text"))  # rows that repeat an id go by their own text
+    return docs.hint("merge").join(hit, same, "left_anti").select(docs.columns)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
