@@ -75,11 +75,11 @@ def source_topics(spark, sf):
 
 
 @query("s95_emotion_delta", sql("""d AS (SELECT source, day, """ + ", ".join(f"avg(emotion_{e}) AS {e}" for e in EMOTIONS) + """ FROM articles GROUP BY ALL)
-SELECT a.source, a.day, """ + ", ".join(f"round(round(a.{e} - b.{e}, 9), 4) + 0.0 AS {e}" for e in EMOTIONS) + " FROM d a JOIN d b ON b.source = a.source AND b.day = a.day - 7"))
+SELECT a.source, a.day, """ + ", ".join(f"round(a.{e} - b.{e}, 9) + 0.0 AS {e}" for e in EMOTIONS) + " FROM d a JOIN d b ON b.source = a.source AND b.day = a.day - 7"))
 def emotion_delta(spark, sf):
     d = articles(spark, sf).groupBy("source", "day").agg(*(F.avg(f"emotion_{e}").alias(e) for e in EMOTIONS))
     past = d.select("source", F.date_add("day", 7).alias("day"), *(F.col(e).alias(f"past_{e}") for e in EMOTIONS))
-    return d.join(past, ["source", "day"]).select("source", "day", *((F.round(F.round(F.col(e) - F.col(f"past_{e}"), 9), 4) + F.lit(0.0)).alias(e) for e in EMOTIONS))
+    return d.join(past, ["source", "day"]).select("source", "day", *((F.round(F.col(e) - F.col(f"past_{e}"), 9) + F.lit(0.0)).alias(e) for e in EMOTIONS))
 
 
 @query("s162_largest", sql("""n AS (SELECT topic_id, count(*) AS n FROM articles WHERE topic_id <> -1 GROUP BY topic_id ORDER BY n DESC, CAST(topic_id AS VARCHAR) LIMIT 3)

@@ -85,11 +85,15 @@ def coverage(spark, sf):
     return search.alike(v, v.where("vec_id % 100 = 0"))
 
 
-@query("a24_alike_but_opposed", """
-WITH r AS (SELECT label AS topic_id, vec_id, vec_id % 7 AS source, embedding::DOUBLE[] AS e, row_number() OVER (PARTITION BY label ORDER BY vec_id) AS k FROM embeddings WHERE label >= 0)
-SELECT x.topic_id, x.vec_id AS a, y.vec_id AS b, round(list_cosine_similarity(x.e, y.e), 6) AS similarity, round(list_cosine_similarity(x.e, y.e) / 2, 6) AS score FROM r x JOIN r y ON x.topic_id = y.topic_id AND y.k > x.k AND y.k < x.k + 20 AND x.source <> y.source WHERE list_cosine_similarity(x.e, y.e) >= 0.6""")
+_VEC = ", ".join(f"emotion_{e}" for e in S.EMOTIONS)
+
+
+@query("a24_alike_but_opposed", sql(f"""r AS (SELECT topic_id, article_id, source, [{_VEC}]::DOUBLE[] AS e, row_number() OVER (PARTITION BY topic_id ORDER BY article_id) AS k FROM articles WHERE topic_id >= 0),
+p AS (SELECT x.topic_id, x.article_id AS a, y.article_id AS b, list_cosine_similarity(x.e, y.e) AS s FROM r x JOIN r y ON x.topic_id = y.topic_id AND y.k > x.k AND y.k < x.k + 20 AND x.source <> y.source)
+SELECT topic_id, a, b, round(s, 6) AS similarity, round(s / 2, 6) AS score FROM p WHERE s >= 0.6 AND NOT isnan(s)"""))
 def alike_but_opposed(spark, sf):
-    v = table(spark, sf, "embeddings").select(F.col("label").alias("topic_id"), F.col("vec_id").alias("article_id"), (F.col("vec_id") % 7).alias("source"), F.lit("").alias("text"), F.col("embedding").cast("array<double>").alias("embedding"))
+    """Emotions stand for a vector."""
+    v = articles(spark, sf).select("topic_id", "article_id", "source", F.col("title").alias("text"), F.array(*(F.col(f"emotion_{e}") for e in S.EMOTIONS)).alias("embedding"))
     return features.alike_but_opposed(v).withColumn("similarity", F.round("similarity", 6)).withColumn("score", F.round("score", 6))
 
 
@@ -145,13 +149,11 @@ def unseen(spark, sf):
     return windows.unseen(e, e.where("event_type = 'error' and value > 99")).select("url_key")
 
 
-@query("a81_cross_lingual", """
-WITH c AS (SELECT label AS topic_id, vec_id % 3 AS l, unnest(range(64)) AS i, unnest(embedding::DOUBLE[]) AS x FROM embeddings), m AS (SELECT topic_id, l, i, avg(x) AS x FROM c GROUP BY ALL), v AS (SELECT topic_id, l, list(x ORDER BY i) AS v FROM m GROUP BY ALL),
-p AS (SELECT ['a', 'b', 'c'][a.l + 1] AS a, a.topic_id AS ta, ['a', 'b', 'c'][b.l + 1] AS b, b.topic_id AS tb, list_cosine_similarity(a.v, b.v) AS s FROM v a JOIN v b ON a.l < b.l)
-SELECT a, ta, b, tb, round(s, 6) AS cosine FROM p WHERE s >= CASE WHEN (SELECT max(s) FROM p) >= 0.7 THEN 0.7 ELSE 0.5 END""")
+@query("a81_cross_lingual", sql(f"""v AS (SELECT language AS l, topic_id AS t, [{', '.join(f'avg(emotion_{e})' for e in S.EMOTIONS)}] AS v FROM articles WHERE topic_id >= 0 GROUP BY ALL),
+p AS (SELECT x.l AS a, x.t AS ta, y.l AS b, y.t AS tb, list_cosine_similarity(x.v, y.v) AS s FROM v x JOIN v y ON x.l < y.l)
+SELECT a, ta, b, tb, round(s, 6) AS cosine FROM p WHERE s >= CASE WHEN (SELECT max(s) FROM p) >= 0.7 THEN 0.7 ELSE 0.5 END"""))
 def cross_lingual(spark, sf):
-    v = table(spark, sf, "embeddings").select(F.col("label").alias("topic_id"), F.get(F.array(*map(F.lit, "abc")), (F.col("vec_id") % 3).cast("int")).alias("language"), F.posexplode(F.col("embedding").cast("array<double>")).alias("i", "x"))
-    c = v.groupBy("topic_id", "language", "i").agg(F.avg("x").alias("x")).groupBy("topic_id", "language").agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "x"))), lambda s: s["x"]).alias("c"))
+    c = articles(spark, sf).where("topic_id >= 0").groupBy("language", "topic_id").agg(F.array(*(F.avg(f"emotion_{e}") for e in S.EMOTIONS)).alias("c"))
     return features.cross_lingual(c).withColumn("cosine", F.round("cosine", 6))
 
 

@@ -11,7 +11,7 @@ from corvane.plans import registry
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 QUERIES = registry.queries()
-SLOW = {"g19_pagerank", "g21_communities", "s6_causality", "s6_alignment"}
+SLOW = {"g19_pagerank", "g21_communities", "s6_causality", "s6_alignment", "a21_louvain"}
 
 
 def norm(v):
