@@ -9,7 +9,7 @@ before any text moves; equal segments, and documents with equal words, are strea
 Within a shard the index's suffix intervals tell for every window the smallest document that has it. An anchor of more
 than ``HOT`` different segments (a passage's edge in very many documents) is not one shard: its segments are cut again by anchors of longer
 grams, and what is too much there still goes by single windows, whose smallest document is an ordinary aggregate.
-All ways are exact (segments and windows are compared as 128-bit hashes).
+All ways are exact up to collisions of 64-bit hashes of words, segments and windows.
 
 Cases: null and empty texts have no words; texts shorter than the window keep all; a passage twice in one document
 stays if no smaller document has it; rows that repeat an id are rows of their own, each judged by its own text (none of
@@ -54,7 +54,10 @@ def sliding_least(g: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Segmented:
-    """Segments of a slice of texts: word positions ``a`` to ``b`` (flat), ``row`` and ``anchor`` of each."""
+    """Segments of a slice of texts: word positions ``a`` to ``b`` (flat), ``row`` and ``anchor`` of each.
+
+    With grams of ``k`` = ``window`` words each window is a segment of its own.
+    """
 
     def __init__(self, column: pa.Array, window: int, k: int):
         self.words = w = tk.Words(column)
@@ -70,6 +73,8 @@ class Segmented:
         same = np.r_[False, inside[1:] & inside[:-1] & (anchor[1:] == anchor[:-1])]
         run = np.flatnonzero(~same)
         same &= (np.arange(n) - np.repeat(run, np.diff(np.r_[run, n]))) % LONGEST != 0
+        if k >= window:  # each window by itself: equal windows in a row (of one word) are equal parts, not a longer one
+            same[:] = False
         first = np.flatnonzero(inside & ~same)
         last = np.flatnonzero(inside & ~np.r_[same[1:], False])
         self.a, self.b, self.row, self.anchor = first, last + window, row[first], anchor[first]

@@ -633,6 +633,27 @@ def test_repeated_passages_of_one_word(spark, monkeypatch):
     assert got == kept_by_force(rows)
 
 
+def runs_of_one_word(n=1500):
+    """Documents with a run of 55 to 119 times one word, whose grams hash low, between other words: a crowded anchor."""
+    rng = random.Random(1)
+    other = lambda: " ".join(f"u{rng.randrange(10**7)}" for _ in range(rng.randrange(3, 20)))
+    return [(i, f"{other()} {'261 ' * rng.randrange(55, 120)}{other()}") for i in range(n)]
+
+
+def test_repeated_passages_of_a_crowded_word(spark):
+    assert substrings.HOT == 512
+    rows = runs_of_one_word()
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in substrings.removed(df, substrings.settle(substrings.repeats(df)), digest=True).collect()}
+    assert got == kept_by_force(rows)
+
+
+def test_windows_are_parts_of_their_own():
+    s = substrings.Segmented(pa.array(["same " * 60, "same " * 49, "a b " * 30]), 50, 50)
+    assert s.a.tolist() == [*range(11), *range(109, 120)] and (s.b - s.a == 50).all() and s.row.tolist() == [0] * 11 + [2] * 11
+    assert len(set(s.content(s.a, s.b).tolist())) == 3
+
+
 def test_repeated_passages_clashing_columns(spark):
     w = " ".join(f"w{i}" for i in range(60))
     df = spark.createDataFrame([(1, w, 7, "k", 5), (2, w, 8, "l", 6)], "doc_id long, text string, _text_key long, _spans string, n_words int")

@@ -8,7 +8,7 @@ import corpus_pipeline as P
 from corvane.llm import langid
 from corvane.llm.store import settle
 
-from .test_ops import components_by_force, contaminated_by_force, kept_by_force, words
+from .test_ops import components_by_force, contaminated_by_force, kept_by_force, runs_of_one_word, words
 
 
 @pytest.fixture(scope="module")
@@ -50,6 +50,13 @@ def test_repeated_passages(stages):
     assert {i for i, _ in rows(after)} == {i for i, (n, gone, _) in want.items() if not gone or gone < n}
 
 
+def test_repeated_passages_of_a_crowded_word(spark, small):
+    told = runs_of_one_word()
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in told], "doc_id long, text string, lang string, source string, n_chars long")
+    want = {i: n - gone for i, (n, gone, _) in kept_by_force(told).items()}
+    assert {i: len(words(t)) for i, t in rows(P.repeated_passages(spark, docs, small))} == {i: n for i, n in want.items() if n}
+
+
 def test_decontaminated(stages, small):
     before, after = stages[3]
     bench = duckdb.sql(f"select item_id, text from '{small}/benchmark.parquet'").fetchall()
