@@ -83,11 +83,30 @@ def op10_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.removed(docs, store.settle(substrings.repeats(docs, window=50)), digest=True)
 
 
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import qualityrules
+
+    return qualityrules.filtered(table(spark, sf_dir, "documents"))
+
+
+def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import manifest
+
+    return manifest.manifest(table(spark, sf_dir, "documents"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import whitening
+
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality, op2_near_duplicates, op3_decontamination, op4_token_counts, op5_fingerprints, op6_bpe_roundtrip, op7_chat_format, op8_licence_scan, op9_language, op10_repeated_passages)}
+    first = (op1_quality, op2_near_duplicates, op3_decontamination, op4_token_counts, op5_fingerprints, op6_bpe_roundtrip, op7_chat_format, op8_licence_scan, op9_language, op10_repeated_passages)
+    return {f.__name__: f for f in (*first, op11_quality_rules, op12_manifest, op13_whitening)}
 
 
 def oracle_sql() -> dict[str, str]:
-    from . import licences
+    from . import licences, manifest, qualityrules
 
-    return {"op8_licence_scan": licences.oracle()}
+    return {"op8_licence_scan": licences.oracle(), "op11_quality_rules": qualityrules.oracle(), "op12_manifest": manifest.oracle()}
