@@ -151,14 +151,23 @@ def is_paywall(text: Column, phrases: list[str]) -> Column:
     return (F.length(text) < 50) | (hits >= 2) | ((hits == 1) & (F.length(text) < 2000))
 
 
+# What marks scores, closing prices, weather and notices, in all languages.
+SCORES = r"\b\d{1,3}\s*[-:]\s*\d{1,3}\b|(?:win|loss|defeat|beat|scored)\b|(?:승리|패배|득점|무승부|승|패)\b|(?:シュート|得点|勝|敗|引き分け)\b|(?:ganó|perdió|empate|gol)\b"
+CLOSING = r"(?:마감|종가|종합지수|코스피|코스닥|나스닥|다우)|(?:close[sd]|closing|market\s+wrap)|(?:\+|-)\s*\d+\.?\d*\s*%|(?:포인트|bp|bps)\s+(?:상승|하락|올랐|내렸)"
+WEATHER = r"(?:날씨|기온|강수|강설|맑음|흐림)|(?:weather\s+forecast|temperature)|(?:\d{1,2}°[CF])"
+NOTICES = r"(?:오늘의\s+일정|일정\s+안내|공고|고시|입찰공고)|(?:press\s+release|media\s+advisory|embargo)|(?:agenda\s+for|schedule\s+for\s+(?:today|tomorrow))"
+# Words of a title that tell of something new.
+SURPRISES = ["처음", "최초", "역대", "사상", "unprecedented", "first time", "new high", "new low", "reversal", "surprise", "unexpected", "반전", "충격", "돌파", "사상 최초", "전례없는"]
+
+
 def noise(title: Column, body: Column, quality: Column) -> Column:
-    """How much an article looks like scores, prices, weather or notices, 0 to 1."""
+    """How much an article looks like scores, prices, weather or notices, 0 to 1. Word ends are those of any script."""
     n, both = F.length(F.trim(body)), F.concat_ws(" ", title, F.substring(body, 1, 500))
     score = F.when(quality.isin("TITLE_ONLY", "PAYWALL") | (n < 150), 0.45).when(n < 400, 0.20).otherwise(0.0)
+    digits = F.length(F.regexp_replace(F.trim(title), r"[^0-9]", ""))
     rules = [
-        (both.rlike(r"(?i)\b\d{1,3}\s*[-:]\s*\d{1,3}\b|(?:win|loss|defeat|beat|scored)\b"), 0.35), (both.rlike(r"(?i)close[sd]|closing|market\s+wrap|[+-]\s*\d+\.?\d*\s*%"), 0.30),
-        (title.rlike(r"(?i)weather\s+forecast|temperature|\d{1,2}°[CF]"), 0.40), (title.rlike(r"(?i)press\s+release|media\s+advisory|embargo|agenda\s+for|schedule\s+for\s+(?:today|tomorrow)"), 0.35),
-        ((F.length(F.trim(title)) < 15) & (F.length(F.regexp_replace(F.trim(title), r"[^0-9]", "")) > 0.4 * F.length(F.trim(title))), 0.25),
+        (both.rlike(f"(?iU){SCORES}"), 0.35), (both.rlike(f"(?iU){CLOSING}"), 0.30), (title.rlike(f"(?iU){WEATHER}"), 0.40), (title.rlike(f"(?iU){NOTICES}"), 0.35),
+        ((F.length(F.trim(title)) < 15) & (digits > 0.4 * F.length(F.trim(title))), 0.25),
     ]
     return F.least(sum((F.when(hit, v).otherwise(0.0) for hit, v in rules), score), F.lit(1.0))
 
@@ -168,7 +177,7 @@ def novelty(title: Column, body: Column, quality: Column, codes: Column, places:
     n, geo = F.size(codes), F.size(F.array_except(F.array_distinct(places), F.array(*map(F.lit, ("UNKNOWN", "EU", "NATO", "UN")))))
     parts = [
         F.when(F.length(F.trim(body)) >= 800, 0.20).when(quality == "FULL", 0.10), F.when(F.array_contains(codes, "CRS") | (n >= 3), 0.25).when(n == 2, 0.10),
-        F.when(geo >= 3, 0.20).when(geo == 2, 0.10), F.when(named >= 6, 0.20).when(named >= 3, 0.10), F.when(title.rlike("(?i)unprecedented|first time|new high|new low|reversal|surprise|unexpected"), 0.15),
+        F.when(geo >= 3, 0.20).when(geo == 2, 0.10), F.when(named >= 6, 0.20).when(named >= 3, 0.10), F.when(F.lower(title).rlike("|".join(SURPRISES)), 0.15),
     ]
     return F.least(sum((F.coalesce(p, F.lit(0.0)) for p in parts), F.lit(0.0)), F.lit(1.0))
 

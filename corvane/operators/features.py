@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import stats
 from ..sources.tables import settle
 
-# A small lexicon, the fallback where no sentiment model is given.
+# A small lexicon of our own, the fallback where no sentiment model is given.
 POSITIVE = ["boom", "growth", "recovery", "gain", "success", "peace", "agreement", "win", "rise", "hope"]
 NEGATIVE = ["crisis", "crash", "war", "loss", "fear", "collapse", "attack", "decline", "uncertainty", "inflation"]
 
@@ -27,12 +27,22 @@ def lexicon_sentiment(text: Column) -> Column:
     return F.when(p + n > 0, (p - n) / (p + n)).otherwise(0.0)
 
 
-def hashed_embedding(text: Column, size: int = 64) -> Column:
-    """A deterministic stand-in for a sentence encoder: signed word hashes summed, of unit length; zeros without words."""
-    words = F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
-    raw = F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda i: F.aggregate(words, F.lit(0.0), lambda s, w: s + F.when(F.pmod(F.xxhash64(w), F.lit(size)) == i, F.when(F.hash(w) % 2 == 0, 1.0).otherwise(-1.0)).otherwise(0.0)))
-    norm = F.sqrt(F.aggregate(raw, F.lit(0.0), lambda s, x: s + x * x))
-    return F.when(norm > 0, F.transform(raw, lambda x: x / norm)).otherwise(raw)
+def hashed_embedding(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 64) -> DataFrame:
+    """``KEY, embedding``: a deterministic stand-in for a sentence encoder: signed word hashes summed, of unit length; zeros without words.
+
+    One pass over a text's words: each makes its place and sign as one number, sorted; a place's value is the sum of its run.
+    """
+    words = F.filter(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+    rows = docs.select(key, F.transform(words, lambda w: 2 * F.pmod(F.xxhash64(w), F.lit(size)) + F.pmod(F.hash(w), F.lit(2))).alias("_w"))
+    rows = rows.withColumn("_w", F.concat("_w", F.sequence(F.lit(0).cast("long"), F.lit(2 * size - 1).cast("long"))))  # each number once more, so that all are there
+    # sorted, numbers end where the next is larger: places of the ends, apart by how many there are of each
+    rows = rows.withColumn("_w", F.sort_array("_w")).withColumn("_n", F.concat(F.slice("_w", F.lit(2), F.size("_w")), F.array(F.lit(2 * size).cast("long"))))
+    ends = F.filter(F.zip_with(F.zip_with("_w", "_n", lambda a, b: a < b), F.sequence(F.lit(1), F.size("_w")), lambda last, i: F.when(last, i)), lambda i: i.isNotNull())
+    rows = rows.select(key, F.concat(F.array(F.lit(0)), ends).alias("_e"))
+    n = lambda i: F.get("_e", i + 1) - F.get("_e", i) - 1
+    raw = F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda i: (n(2 * i) - n(2 * i + 1)).cast("double"))
+    rows = rows.select(key, raw.alias("_v")).withColumn("_norm", F.sqrt(F.aggregate("_v", F.lit(0.0), lambda s, x: s + x * x)))
+    return rows.select(key, F.when(F.col("_norm") > 0, F.transform("_v", lambda x: x / F.col("_norm"))).otherwise(F.col("_v")).alias("embedding"))
 
 
 def terms(text: Column, longest: int = 1) -> Column:
@@ -166,15 +176,16 @@ def contradictions(articles: DataFrame, per_topic: int = 20, least: float = 0.6)
     return x.join(y, near & opposed).select(F.col("x.topic_id").alias("topic_id"), F.col("x.article_id").alias("a"), F.col("y.article_id").alias("b"), gap.alias("score"))
 
 
-def clusters(vectors: DataFrame, choices: tuple[int, ...] = (5, 10, 15), kind: str = "kmeans", seed: int = 42, vector: str = "embedding") -> DataFrame:
-    """``vectors`` with ``cluster``: k-means or bisecting k-means with the number of clusters of the best silhouette."""
+def clusters(vectors: DataFrame, choices: tuple[int, ...] = tuple(range(5, 51, 5)), kind: str = "kmeans", seed: int = 42, vector: str = "embedding") -> DataFrame:
+    """``vectors`` with ``cluster``: k-means or bisecting k-means with the number of clusters of the best silhouette (of ten from 5 to 50, if
+    there are that many rows)."""
     from pyspark.ml.clustering import BisectingKMeans, KMeans
     from pyspark.ml.evaluation import ClusteringEvaluator
     from pyspark.ml.functions import array_to_vector
 
     data = vectors.withColumn("features", array_to_vector(F.col(vector).cast("array<double>")))
-    best = None
-    for k in choices:
+    n, best = data.count(), None
+    for k in [k for k in choices if k < n] or choices[:1]:
         made = (KMeans if kind == "kmeans" else BisectingKMeans)(k=k, seed=seed, predictionCol="cluster").fit(data).transform(data)
         score = ClusteringEvaluator(predictionCol="cluster").evaluate(made)
         if best is None or score > best[0]:
@@ -182,14 +193,14 @@ def clusters(vectors: DataFrame, choices: tuple[int, ...] = (5, 10, 15), kind: s
     return best[1].drop("features")
 
 
-def topics(docs: DataFrame, k: int = 10, key: str = "doc_id", text: str = "text", seed: int = 42) -> DataFrame:
+def topics(docs: DataFrame, k: int = 20, key: str = "doc_id", text: str = "text", seed: int = 42) -> DataFrame:
     """``KEY, topic_id``: the likeliest topic of an LDA model."""
     from pyspark.ml.clustering import LDA
     from pyspark.ml.feature import CountVectorizer
     from pyspark.ml.functions import vector_to_array
 
     words = docs.select(key, F.regexp_extract_all(F.lower(text), F.lit(r"\p{L}{3,}"), 0).alias("w"))
-    counted = CountVectorizer(inputCol="w", outputCol="features", vocabSize=10_000, minDF=2, maxDF=0.95).fit(words).transform(words)
-    made = LDA(k=k, seed=seed, maxIter=10, optimizer="online").fit(counted).transform(counted)
+    counted = CountVectorizer(inputCol="w", outputCol="features", vocabSize=1 << 20, minDF=2, maxDF=0.95).fit(words).transform(words)
+    made = LDA(k=k, seed=seed, maxIter=20, optimizer="online").fit(counted).transform(counted)
     share = vector_to_array("topicDistribution")
     return made.select(key, (F.array_position(share, F.array_max(share)) - 1).cast("int").alias("topic_id"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -73,15 +75,15 @@ def density(edges: DataFrame, by: str) -> DataFrame:
     return out.withColumn("density_change", F.col("density") - F.lag("density").over(w)).withColumn("edges_change", F.col("edges") - F.lag("edges").over(w))
 
 
-def depth(spark: SparkSession, edges: DataFrame, most: int = 20) -> DataFrame:
-    """``root, depth``: the longest of the shortest paths, within ``most`` steps, from each node without edges in, along ``src, dst``.
+def depth(spark: SparkSession, edges: DataFrame) -> DataFrame:
+    """``root, depth``: the longest of the shortest paths from each node without edges in, along ``src, dst``.
 
     Rounds of frontiers: each (root, node) is met once, at its least depth, however many walks lead there.
     """
     e = settle(edges.select("src", "dst").where("src is not null and dst is not null").distinct())
     front = settle(e.select("src").distinct().join(e.select(F.col("dst").alias("src")).distinct(), "src", "left_anti").select(F.col("src").alias("root"), F.col("src").alias("node"), F.lit(0).alias("d")))
     seen = front
-    for d in range(1, most + 1):
+    for d in itertools.count(1):
         new = front.join(e, F.col("node") == F.col("src")).select("root", F.col("dst").alias("node")).distinct()
         front = settle(new.join(seen.select("root", "node"), ["root", "node"], "left_anti").withColumn("d", F.lit(d)))
         if front.isEmpty():
@@ -90,7 +92,7 @@ def depth(spark: SparkSession, edges: DataFrame, most: int = 20) -> DataFrame:
     return seen.groupBy("root").agg(F.max("d").cast("long").alias("depth"))
 
 
-def betweenness(edges: DataFrame, sources: int = 500, most: int = 50) -> DataFrame:
+def betweenness(edges: DataFrame, sources: int = 500) -> DataFrame:
     """``node, betweenness`` of an undirected graph, normalised, from shortest paths of ``sources`` nodes (chosen by a hash of the
     node; all of them if there are fewer, and then exact).
 
@@ -103,7 +105,7 @@ def betweenness(edges: DataFrame, sources: int = 500, most: int = 50) -> DataFra
     chosen = nodes.orderBy(F.xxhash64("node"), "node").limit(sources)
     levels = [settle(chosen.select(F.col("node").alias("s"), "node", F.lit(1.0).alias("paths")))]
     used = levels[0].count()
-    for _ in range(most):
+    while True:
         step = levels[-1].join(both, F.col("node") == F.col("a")).groupBy("s", F.col("b").alias("node")).agg(F.sum("paths").alias("paths"))
         for old in levels[-2:]:
             step = step.join(old.select("s", "node"), ["s", "node"], "left_anti")
@@ -136,7 +138,7 @@ def weekly_pagerank(edges: DataFrame, damping: float = 0.85) -> DataFrame:
     return ranks.withColumn("rank", F.col("rank") / F.sum("rank").over(Window.partitionBy("week")))
 
 
-def louvain(edges: DataFrame, levels: int = 10, rounds: int = 50, resolution: float = 1.0) -> DataFrame:
+def louvain(edges: DataFrame, resolution: float = 1.0) -> DataFrame:
     """``node, community`` (its smallest node) of weighted undirected edges ``a, b, n`` by modularity: nodes move to the community
     around them with the largest gain, then communities become nodes, until no move gains.
 
@@ -146,8 +148,8 @@ def louvain(edges: DataFrame, levels: int = 10, rounds: int = 50, resolution: fl
     e = settle(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.col("n").cast("double").alias("n")).groupBy("a", "b").agg(F.sum("n").alias("n")))
     total = e.agg(F.sum("n")).first()[0] or 0.0
     names = settle(e.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("community", F.col("node")))
-    for _ in range(levels):
-        moved = _moves(e, total, rounds, resolution)
+    while True:
+        moved = _moves(e, total, resolution)
         if moved is None:
             break
         names = settle(names.join(moved.select(F.col("node").alias("community"), F.col("community").alias("to")), "community").select("node", F.col("to").alias("community")))
@@ -157,14 +159,14 @@ def louvain(edges: DataFrame, levels: int = 10, rounds: int = 50, resolution: fl
     return names.join(least, "community").select("node", F.col("least").alias("community"))
 
 
-def _moves(e: DataFrame, total: float, rounds: int, resolution: float) -> DataFrame | None:
+def _moves(e: DataFrame, total: float, resolution: float) -> DataFrame | None:
     """One level of moves over edges (loops are inner weight): ``node, community``, or none if nothing gains."""
     both = settle(e.where("a <> b").unionByName(e.where("a <> b").select(F.col("b").alias("a"), F.col("a").alias("b"), "n")))
     ends = settle(e.select(F.explode(F.array(F.struct(F.col("a").alias("node"), "n"), F.struct(F.col("b").alias("node"), "n"))).alias("x")).groupBy("x.node").agg(F.sum("x.n").alias("k")))
     labels, best, any_move = settle(ends.select("node", F.col("node").alias("community"))), None, False
     value = lambda at: modularity(e, at.select("node", "community")).first()[0] or 0.0
     best, still = value(labels), 0
-    for i in range(rounds):
+    for i in itertools.count():  # modularity rises or the rounds end
         of = settle(labels.join(ends, "node"))
         sums = of.groupBy("community").agg(F.sum("k").alias("total"))
         near = both.join(of.select(F.col("node").alias("b"), "community"), "b").groupBy(F.col("a").alias("node"), "community").agg(F.sum("n").alias("w"))

@@ -4,6 +4,7 @@ cycles, causality, alignment. A group is a daily series, so its size is bounded
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
@@ -61,24 +62,42 @@ def bursts(series: DataFrame) -> DataFrame:
     return per_series(series, work, "day date, state long, burst_score double")
 
 
-def pelt(x: np.ndarray, least: int = 3, penalty: float | None = None) -> list[int]:
-    """Changepoints of the mean under a squared cost, exactly, by pruned dynamic programming."""
+def squared_cost(x: np.ndarray) -> Callable[[int, int], float]:
+    """The cost of a stretch as one level: its squared distances from its mean, of the standardised series."""
+    x = (x - x.mean()) / (x.std() or 1.0)
+    s1, s2 = np.r_[0, x.cumsum()], np.r_[0, (x**2).cumsum()]
+    return lambda a, b: s2[b] - s2[a] - (s1[b] - s1[a]) ** 2 / (b - a)
+
+
+def kernel_cost(x: np.ndarray) -> Callable[[int, int], float]:
+    """The cost of a stretch as one distribution: its rows' spread in the space of a Gaussian kernel, as wide as the median distance.
+
+    Sums of the Gram matrix over any square come from its double cumulative sum.
+    """
+    d = (x[:, None] - x[None, :]) ** 2
+    middle = float(np.median(d[np.triu_indices(len(x), 1)])) if len(x) > 1 else 0.0
+    gram = np.exp(-np.clip(d / (middle or 1.0), 1e-2, 1e2) * (d > 0))
+    total = np.zeros((len(x) + 1, len(x) + 1))
+    total[1:, 1:] = gram.cumsum(axis=0).cumsum(axis=1)
+    return lambda a, b: (b - a) - (total[b, b] - total[a, b] - total[b, a] + total[a, a]) / (b - a)
+
+
+def pelt(x: np.ndarray, least: int = 3, penalty: float | None = None, cost: Callable = squared_cost, jump: int = 1) -> list[int]:
+    """Changepoints that minimise cost and penalties, exactly, by pruned dynamic programming: stretches of ``least`` or more, cut at
+    multiples of ``jump``."""
     n = len(x)
     if n < 2 * least:
         return []
-    scale = x.std() or 1.0
-    x = (x - x.mean()) / scale
+    of = cost(x)
     penalty = math.log(n) if penalty is None else penalty
-    s1, s2 = np.r_[0, x.cumsum()], np.r_[0, (x**2).cumsum()]
-    cost = lambda a, b: s2[b] - s2[a] - (s1[b] - s1[a]) ** 2 / (b - a)
     best, last, open_ = np.full(n + 1, np.inf), np.zeros(n + 1, int), [0]
     best[0] = -penalty
-    for t in range(least, n + 1):
-        costs = [(best[s] + cost(s, t) + penalty, s) for s in open_ if t - s >= least]
+    for t in [*range(jump, n, jump), n]:
+        costs = [(best[s] + of(s, t) + penalty, s) for s in open_ if t - s >= least]
         if not costs:
             continue
         best[t], last[t] = min(costs)
-        open_ = [s for s in open_ if t - s < least or best[s] + cost(s, t) <= best[t]] + [t]
+        open_ = [s for s in open_ if t - s < least or best[s] + of(s, t) <= best[t]] + [t]
     out, t = [], n
     while t:
         t = int(last[t])
@@ -87,11 +106,11 @@ def pelt(x: np.ndarray, least: int = 3, penalty: float | None = None) -> list[in
     return out[::-1]
 
 
-def changepoints(series: DataFrame, permutations: int = 20, seed: int = 42, penalty: float | None = None) -> DataFrame:
+def changepoints(series: DataFrame, permutations: int = 20, seed: int = 42, penalty: float | None = None, cost: Callable = kernel_cost, jump: int = 5) -> DataFrame:
     """Changepoints with one significance a series: the share of shuffles that explain less variance."""
 
     def work(x, days):
-        at = pelt(x, penalty=penalty)
+        at = pelt(x, penalty=penalty, cost=cost, jump=jump)
         explained = lambda v, cuts: v.var() - sum(p.var() * len(p) for p in np.split(v, cuts)) / len(v)
         rng = np.random.default_rng(seed)
         significance = float(np.mean([explained(rng.permutation(x), at) < explained(x, at) for _ in range(permutations)])) if at else 0.0
@@ -102,34 +121,60 @@ def changepoints(series: DataFrame, permutations: int = 20, seed: int = 42, pena
 
 def shift_points(shifts: DataFrame, penalty: float = 3.0) -> DataFrame:
     """``shifts`` (``topic_id, day, kl``) with ``changed``: whether the topic's divergences change level on that day."""
-    at = changepoints(shifts.where("kl is not null").select(F.col("topic_id").cast("string").alias("series"), "day", F.col("kl").alias("value")), 1, penalty=penalty)
+    at = changepoints(shifts.where("kl is not null").select(F.col("topic_id").cast("string").alias("series"), "day", F.col("kl").alias("value")), 1, penalty=penalty, cost=squared_cost, jump=1)
     at = at.select(F.col("series").cast(shifts.schema["topic_id"].dataType).alias("topic_id"), "day", F.lit(True).alias("changed"))
     return shifts.join(at, ["topic_id", "day"], "left").select("topic_id", "day", "kl", F.coalesce("changed", F.lit(False)).alias("changed"))
 
 
-def loess(x: np.ndarray, y: np.ndarray, span: int) -> np.ndarray:
-    """Local linear fits with tricube weights over the ``span`` nearest points."""
-    out = np.empty(len(y))
-    for i, x0 in enumerate(x):
-        d = np.abs(x - x0)
-        near = np.argsort(d, kind="stable")[: min(span, len(x))]
-        w = np.clip(1 - (d[near] / max(d[near].max(), 1e-9)) ** 3, 0, None) ** 3 + 1e-9
-        a = np.column_stack([np.ones(len(near)), x[near] - x0]) * np.sqrt(w)[:, None]
-        out[i] = np.linalg.lstsq(a, y[near] * np.sqrt(w), rcond=None)[0][0]
-    return out
-
-
-def decompose(x: np.ndarray, period: int = 7, rounds: int = 2) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Trend, season and rest (they sum to ``x``); a straight line and no season under two periods."""
+def loess(x: np.ndarray, y: np.ndarray, span: int, at: np.ndarray | None = None, weights: np.ndarray | None = None) -> np.ndarray:
+    """Local linear fits, at ``at`` or each point, with tricube weights over the ``span`` nearest points (times ``weights``)."""
+    at = x if at is None else at
+    d = np.abs(at[:, None] - x[None, :])
+    width = np.sort(d, axis=1)[:, min(span, len(x)) - 1] + max(span - len(x), 0) / 2
+    w = np.clip(1 - (d / np.maximum(width * 1.001, 1e-9)[:, None]) ** 3, 0, None) ** 3 * (1 if weights is None else weights)
+    bare = w.sum(axis=1) <= 1e-12  # nothing there but outliers: as if they were none
+    if bare.any():
+        w[bare] = np.clip(1 - (d[bare] / np.maximum(width[bare] * 1.001, 1e-9)[:, None]) ** 3, 0, None) ** 3
+    w /= w.sum(axis=1, keepdims=True)
+    mx, my = w @ x, w @ y
+    away = x[None, :] - mx[:, None]
+    spread = (w * away**2).sum(axis=1)
+    slope = np.divide((w * away * (y[None, :] - my[:, None])).sum(axis=1), spread, out=np.zeros(len(at)), where=spread > 1e-9 * max(float(np.ptp(x)) ** 2, 1e-9))
+    return my + slope * (at - mx)
+
+
+def decompose(x: np.ndarray, period: int = 7, robust: int = 15, inner: int = 2, seasonal: int = 7) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Trend, season and rest (they sum to ``x``) by LOESS; a straight line and no season under two periods.
+
+    In an inner round each phase of the period (each weekday) is smoothed over its own points, the smooth part of that is taken out by moving
+    averages, and the trend is smoothed without the season. Up to ``robust`` outer rounds weigh down points far from the fit (bisquare).
+    """
     n, t = len(x), np.arange(len(x), dtype=float)
     if n < 2 * period:
         trend = np.polyval(np.polyfit(t, x, 1), t) if n > 1 else x.copy()
         return trend, np.zeros(n), x - trend
-    trend = np.zeros(n)
-    for _ in range(rounds):
-        season = np.array([np.mean((x - trend)[i % period :: period]) for i in range(n)])
-        season -= season[:period].mean()
-        trend = loess(t, x - season, 2 * period + 1)
+    odd = lambda v: int(v) + 1 - int(v) % 2
+    wide, low = odd(math.ceil(1.5 * period / (1 - 1.5 / seasonal))), odd(period + 1)
+    long = np.arange(-period, n + period)  # one period more on both sides
+    weights, trend, season = np.ones(n), np.zeros(n), np.zeros(n)
+    mean = lambda v, k: np.convolve(v, np.ones(k) / k, "valid")
+    for outer in range(robust + 1):
+        for _ in range(inner):
+            rest, cycle = x - trend, np.zeros(n + 2 * period)
+            for p in range(period):
+                own, places = t[p::period], long % period == p
+                cycle[places] = loess(own / period, rest[p::period], seasonal, long[places] / period, weights[p::period])
+            smooth = loess(t, mean(mean(mean(cycle, period), period), 3), low)
+            season = cycle[period:-period] - smooth
+            trend = loess(t, x - season, wide, weights=weights)
+        away = np.abs(x - trend - season)
+        scale = 6 * np.median(away)
+        if outer == robust or scale < 1e-9 * max(float(np.abs(x).max()), 1e-9):
+            break
+        new = np.clip(1 - (away / scale) ** 2, 0, None) ** 2
+        done, weights = np.abs(new - weights).max() < 1e-3, new
+        if done:
+            break
     return trend, season, x - trend - season
 
 

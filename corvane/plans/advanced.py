@@ -21,7 +21,9 @@ def bursts(spark, sf):
 
 @query("s5_changepoints")
 def changepoints(spark, sf):
-    return P.changepoints(_volume(spark, sf))
+    """Of every measure's daily series."""
+    daily = S.daily(articles(spark, sf)).select(F.concat_ws(":", "series", "metric").alias("series"), "day", "value")
+    return P.changepoints(daily)
 
 
 @query("s5_decomposition")

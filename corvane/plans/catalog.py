@@ -10,3 +10,4 @@ from . import naming  # noqa: F401
 from . import week  # noqa: F401
 from . import audit  # noqa: F401
 from . import network  # noqa: F401
+from . import learned  # noqa: F401

@@ -62,7 +62,7 @@ def lexicon(spark, sf):
 
 @query("a34_kmeans")
 def kmeans(spark, sf):
-    return features.clusters(table(spark, sf, "embeddings")).groupBy("cluster").agg(F.count("*").alias("n"))
+    return features.clusters(table(spark, sf, "embeddings")).select("vec_id", "cluster")
 
 
 @query("a33_topics")
@@ -72,25 +72,25 @@ def topics(spark, sf):
 
 @query("a25_hashed_embeddings")
 def embedded(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", features.hashed_embedding(F.col("text")).alias("embedding"))
+    return features.hashed_embedding(table(spark, sf, "documents"))
 
 
 @query("m7_findings", sql("""
 g AS (SELECT CAST(topic_id AS VARCHAR) AS subject, avg(sentiment_score) AS magnitude FROM articles GROUP BY topic_id), b AS (SELECT entity AS subject, count(*) / (SELECT count(*) FROM articles) AS magnitude FROM (SELECT unnest(entities_org) AS entity FROM articles) GROUP BY 1),
-u AS (SELECT 'mood' AS module, * FROM g WHERE abs(magnitude) >= 0.005 UNION ALL SELECT 'names', * FROM b WHERE abs(magnitude) >= 0.005), r AS (SELECT *, row_number() OVER (PARTITION BY module ORDER BY abs(magnitude) DESC, subject) AS k FROM u)
+u AS (SELECT 'mood' AS module, * FROM g WHERE abs(magnitude) >= 0.05 UNION ALL SELECT 'names', * FROM b WHERE abs(magnitude) >= 0.05), r AS (SELECT *, row_number() OVER (PARTITION BY module ORDER BY abs(magnitude) DESC, subject) AS k FROM u)
 SELECT module, subject, round(magnitude, 9) + 0.0 AS magnitude FROM r WHERE k <= 5"""))
 def findings(spark, sf):
     a = articles(spark, sf)
     mood = a.groupBy(F.col("topic_id").alias("subject")).agg(F.avg("sentiment_score").alias("magnitude"))
     n = a.agg(F.count("*").alias("c"))
     names = entities.mentions(a, {"entities_org": "org"}, []).groupBy(F.col("entity").alias("subject")).agg(F.count("*").alias("n")).crossJoin(F.broadcast(n)).select("subject", (F.col("n") / F.col("c")).alias("magnitude"))  # one row
-    return synthesis.findings({"mood": mood, "names": names}, least=0.005).select("module", "subject", _p("magnitude", 9))
+    return synthesis.findings({"mood": mood, "names": names}).select("module", "subject", _p("magnitude", 9))
 
 
 @query("m7_alerts")
 def alerts(spark, sf):
     a = articles(spark, sf)
-    return synthesis.alerts(entities.tensions(a), economy.uncertainty(a), economy.sector_sentiment(a), entities.weekly_trajectory(a), crisis=-0.05, epu=0.1, chaos=0.1)
+    return synthesis.alerts(entities.tensions(a), economy.uncertainty(a), economy.sector_sentiment(a), entities.weekly_trajectory(a))
 
 
 @query("m7_extremes", sql("m AS (SELECT topic_id, avg(importance_score) AS v FROM articles GROUP BY topic_id) SELECT round(avg(v), 6) AS mean, arg_max(topic_id, {'v': v, 't': topic_id}) AS most, arg_min(topic_id, {'v': v, 't': topic_id}) AS \"least\" FROM m"))

@@ -53,7 +53,7 @@ def stationarity(spark, sf):
 
 @query("a10_cascades")
 def cascades(spark, sf):
-    return grouped.cascades(_volume(spark, sf).where("series <> 'all'"), least_days=20).withColumn("p", F.round("p", 9))
+    return grouped.cascades(_volume(spark, sf).where("series <> 'all'")).withColumn("p", F.round("p", 9))
 
 
 @query("a4_shift_points")
@@ -97,14 +97,14 @@ def alike_but_opposed(spark, sf):
     return features.alike_but_opposed(v).withColumn("similarity", F.round("similarity", 6)).withColumn("score", F.round("score", 6))
 
 
-_TERMS = """w AS (SELECT doc_id, lang, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]{2,}') AS w FROM documents), e AS (SELECT doc_id, lang, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS term FROM w),
-t AS (SELECT doc_id, lang, term, count(*) AS tf FROM e GROUP BY ALL), n AS (SELECT lang, count(*) AS n FROM documents GROUP BY lang), d AS (SELECT t.lang, term, ln((1 + n) / (1 + count(*))) + 1 AS idf FROM t JOIN n ON n.lang IS NOT DISTINCT FROM t.lang GROUP BY t.lang, term, n HAVING count(*) >= 2 AND count(*) <= 0.95 * n),
+_TERMS = """w AS (SELECT doc_id, coalesce(lang, '') AS lang, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]{2,}') AS w FROM documents), e AS (SELECT doc_id, lang, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS term FROM w),
+t AS (SELECT doc_id, lang, term, count(*) AS tf FROM e GROUP BY ALL), n AS (SELECT coalesce(lang, '') AS lang, count(*) AS n FROM documents GROUP BY 1), d AS (SELECT t.lang, term, ln((1 + n) / (1 + count(*))) + 1 AS idf FROM t JOIN n ON n.lang IS NOT DISTINCT FROM t.lang GROUP BY t.lang, term, n HAVING count(*) >= 2 AND count(*) <= 0.95 * n),
 x AS (SELECT doc_id, t.term, (1 + ln(tf)) * idf AS w FROM t JOIN d ON d.term = t.term AND d.lang = t.lang), y AS (SELECT doc_id, term, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS weight FROM x),
 r AS (SELECT *, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY round(weight, 9) DESC, term) AS INT) AS rank FROM y)"""
 
 
 def _pairs_of_words(spark, sf, top):
-    return features.tfidf(table(spark, sf, "documents").where("lang is not null"), longest=2, by=F.col("lang"), top=top)
+    return features.tfidf(table(spark, sf, "documents"), longest=2, by=F.coalesce("lang", F.lit("")), top=top)
 
 
 @query("a26_word_pairs", "WITH " + _TERMS + " SELECT doc_id, term, round(weight, 6) AS weight, rank FROM r WHERE rank <= 20")
@@ -140,7 +140,7 @@ def topics_over_time(spark, sf):
 @query("t5_breakers")
 def breakers(spark, sf):
     e = table(spark, sf, "events").select(F.col("user_id").alias("site"), F.col("ts").cast("timestamp").alias("ts"), (F.col("event_type") != "error").alias("ok"))
-    return windows.breakers(e, failures=3)
+    return windows.breakers(e)
 
 
 @query("t4_unseen", "SELECT DISTINCT user_id AS url_key FROM events WHERE user_id NOT IN (SELECT user_id FROM events WHERE event_type = 'error' AND value > 99)")

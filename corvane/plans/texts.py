@@ -58,16 +58,43 @@ def body_quality(spark, sf):
     return table(spark, sf, "documents").groupBy(text.body_quality(F.col("text"), F.lit(False)).alias("quality")).agg(F.count("*").alias("n"))
 
 
-@query("f17_noise_score", """
-WITH d AS (SELECT doc_id, left(text, 12) AS t, text AS b FROM documents),
+# The same rules for an engine whose word ends know ASCII alone: a word ends before what is no letter, digit or underscore.
+_END, _START = r"(?:[^\p{L}\p{N}_]|$)", r"(?:^|[^\p{L}\p{N}_])"
+_SCORES = rf"(?i){_START}\d{{1,3}}\s*[-:]\s*\d{{1,3}}{_END}|(?:win|loss|defeat|beat|scored|승리|패배|득점|무승부|승|패|シュート|得点|勝|敗|引き分け|ganó|perdió|empate|gol){_END}"
+_CLOSING = r"(?i)마감|종가|종합지수|코스피|코스닥|나스닥|다우|close[sd]|closing|market\s+wrap|[+-]\s*\d+\.?\d*\s*%|(?:포인트|bp|bps)\s+(?:상승|하락|올랐|내렸)"
+_WEATHER = r"(?i)날씨|기온|강수|강설|맑음|흐림|weather\s+forecast|temperature|\d{1,2}°[CF]"
+_NOTICES = r"(?i)오늘의\s+일정|일정\s+안내|공고|고시|press\s+release|media\s+advisory|embargo|agenda\s+for|schedule\s+for\s+(?:today|tomorrow)"
+
+
+def _noise_sql(key, source):
+    """SQL over a table ``d`` of the key, a title ``t`` and a body ``b``."""
+    return f"""{source},
 q AS (SELECT *, CASE WHEN length(trim(b)) >= 500 THEN 'FULL' WHEN length(trim(b)) >= 100 THEN 'PARTIAL' ELSE 'TITLE_ONLY' END AS q, t || ' ' || left(b, 500) AS c FROM d)
-SELECT doc_id, round(least(1, CASE WHEN q = 'TITLE_ONLY' OR length(trim(b)) < 150 THEN 0.45 WHEN length(trim(b)) < 400 THEN 0.20 ELSE 0 END
-  + CASE WHEN regexp_matches(c, '(?i)\\b\\d{1,3}\\s*[-:]\\s*\\d{1,3}\\b|(?:win|loss|defeat|beat|scored)\\b') THEN 0.35 ELSE 0 END + CASE WHEN regexp_matches(c, '(?i)close[sd]|closing|market\\s+wrap|[+-]\\s*\\d+\\.?\\d*\\s*%') THEN 0.30 ELSE 0 END
-  + CASE WHEN regexp_matches(t, '(?i)weather\\s+forecast|temperature|\\d{1,2}°[CF]') THEN 0.40 ELSE 0 END + CASE WHEN regexp_matches(t, '(?i)press\\s+release|media\\s+advisory|embargo|agenda\\s+for|schedule\\s+for\\s+(?:today|tomorrow)') THEN 0.35 ELSE 0 END
-  + CASE WHEN length(trim(t)) < 15 AND length(regexp_replace(trim(t), '[^0-9]', '', 'g')) > 0.4 * length(trim(t)) THEN 0.25 ELSE 0 END), 6) + 0.0::DOUBLE AS noise FROM q""")
+SELECT {key}, round(least(1, CASE WHEN q = 'TITLE_ONLY' OR length(trim(b)) < 150 THEN 0.45 WHEN length(trim(b)) < 400 THEN 0.20 ELSE 0 END
+  + CASE WHEN regexp_matches(c, '{_SCORES}') THEN 0.35 ELSE 0 END + CASE WHEN regexp_matches(c, '{_CLOSING}') THEN 0.30 ELSE 0 END
+  + CASE WHEN regexp_matches(t, '{_WEATHER}') THEN 0.40 ELSE 0 END + CASE WHEN regexp_matches(t, '{_NOTICES}') THEN 0.35 ELSE 0 END
+  + CASE WHEN length(trim(t)) < 15 AND length(regexp_replace(trim(t), '[^0-9]', '', 'g')) > 0.4 * length(trim(t)) THEN 0.25 ELSE 0 END), 6) + 0.0::DOUBLE AS noise FROM q"""
+
+
+def _noise(d, key):
+    return d.select(key, F.round(text.noise(F.col("t"), F.col("b"), text.body_quality(F.col("b"), F.lit(False))), 6).alias("noise"))
+
+
+@query("f17_noise_score", _noise_sql("doc_id", "WITH d AS (SELECT doc_id, left(text, 12) AS t, text AS b FROM documents)"))
 def noise_score(spark, sf):
-    d = table(spark, sf, "documents").select("doc_id", F.substring("text", 1, 12).alias("t"), F.col("text").alias("b"))
-    return d.select("doc_id", F.round(text.noise(F.col("t"), F.col("b"), text.body_quality(F.col("b"), F.lit(False))), 6).alias("noise"))
+    return _noise(table(spark, sf, "documents").select("doc_id", F.substring("text", 1, 12).alias("t"), F.col("text").alias("b")), "doc_id")
+
+
+#: What articles in several languages add to their headline, by id.
+_ADDED = ["", "팀이 3:1 승리", "승리했다", "코스피 마감", "10 bps 상승", "FCが得点", "El equipo ganó", "오늘의  일정", "25°C 맑음", "the team scored.", "GANÓ", "공고 12", "Press  Release", "7-0x"]
+_ADDING = "CASE article_id % 14 " + " ".join(f"WHEN {i} THEN '{x}'" for i, x in enumerate(_ADDED)) + " END"
+
+
+@query("f17_noise_headlines", sql(_noise_sql("article_id", f"d AS (SELECT article_id, headline || ' ' || {_ADDING} AS t, repeat(headline || ' ', CAST(article_id % 40 AS INT)) AS b FROM articles)")))
+def noise_headlines(spark, sf):
+    """Korean, Japanese, Spanish and English headlines."""
+    a = articles(spark, sf)
+    return _noise(a.select("article_id", F.concat_ws(" ", "headline", F.expr(_ADDING)).alias("t"), F.expr("repeat(headline || ' ', CAST(article_id % 40 AS INT))").alias("b")), "article_id")
 
 
 _NOV = """round(least(1, CASE WHEN word_count >= 800 THEN 0.10 ELSE 0 END + CASE WHEN list_contains(steeps_all, 'CRS') OR len(steeps_all) >= 3 THEN 0.25 WHEN len(steeps_all) = 2 THEN 0.10 ELSE 0 END
@@ -81,6 +108,17 @@ def novelty_score(spark, sf):
     return a.select("article_id", F.round(text.novelty(F.col("title"), F.lit(""), F.when(F.col("word_count") >= 800, "FULL").otherwise("PARTIAL"), F.col("steeps_all"), F.col("geo_focus_all"), named), 6).alias("novelty"))
 
 
+_TITLED = "headline || CASE article_id % 6 WHEN 0 THEN ' 사상 최초' WHEN 1 THEN ' FIRST TIME' WHEN 2 THEN ' 반전' ELSE '' END"
+
+
+@query("f18_novelty_headlines", sql(f"""n AS (SELECT *, {_TITLED} AS t FROM articles)
+SELECT article_id, {_NOV.replace("regexp_matches(title, '(?i)surprise')", "regexp_matches(t, '(?i)처음|최초|역대|사상|unprecedented|first time|new high|new low|reversal|surprise|unexpected|반전|충격|돌파|전례없는')")} + 0.0::DOUBLE AS novelty FROM n"""))
+def novelty_headlines(spark, sf):
+    a = articles(spark, sf)
+    named = F.size("entities_person") + F.size("entities_org") + F.size("entities_location")
+    return a.select("article_id", F.round(text.novelty(F.expr(_TITLED), F.lit(""), F.when(F.col("word_count") >= 800, "FULL").otherwise("PARTIAL"), F.col("steeps_all"), F.col("geo_focus_all"), named), 6).alias("novelty"))
+
+
 @query("f14_steeps_scores", sql("""
 h AS (SELECT article_id, 3 * len(regexp_extract_all(title, '(?i)\\b(bank|market|budget)\\b')) AS e, 3 * len(regexp_extract_all(title, '(?i)\\b(chip)\\b')) AS t, 3 * len(regexp_extract_all(title, '(?i)\\b(election|policy|war)\\b')) AS p FROM articles)
 SELECT article_id, CASE WHEN e + t + p = 0 THEN 'ECO' WHEN e >= p AND e >= t THEN 'ECO' WHEN p >= t THEN 'POL' ELSE 'TEC' END AS code, CASE WHEN e + t + p = 0 THEN 0 ELSE round(greatest(e, t, p) / (e + t + p), 6) END + 0.0::DOUBLE AS score FROM h"""))

@@ -1,6 +1,7 @@
 """From raw rows, feeds and logs to articles."""
 
 import datetime
+import re
 
 from pyspark.sql import functions as F
 
@@ -76,9 +77,19 @@ def test_outliers_and_states(spark):
 def test_provider(spark):
     df = spark.createDataFrame([("boom and growth",), ("crisis",), ("nothing",)], "text string")
     assert [r.s for r in features.provide(df, "s", "double", None, features.lexicon_sentiment(F.col("text"))).collect()] == [1.0, -1.0, 0.0]
-    e = features.hashed_embedding(F.col("text"), 8)
-    norms = df.select(F.aggregate(e, F.lit(0.0), lambda s, x: s + x * x).alias("n")).collect()
-    assert all(abs(r.n - 1) < 1e-9 for r in norms)
+
+
+def test_hashed_embedding(spark):
+    texts = ["boom and growth", "", None, "word " * 70_000, "Äpfel, äpfel; und-birnen 12", "..."] + [" ".join(f"w{i * j % 97}" for i in range(300)) for j in range(1, 6)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    hashed = spark.createDataFrame([(i, w) for i, t in enumerate(texts) for w in re.split(r"[\W_]+", (t or "").lower()) if w], "doc_id int, w string").select("doc_id", F.xxhash64("w").alias("x"), F.hash("w").alias("h")).collect()
+    want = [[0.0] * 8 for _ in texts]
+    for r in hashed:
+        want[r.doc_id][r.x % 8] += -1.0 if r.h % 2 else 1.0
+    for r in features.hashed_embedding(df, size=8).collect():
+        v = want[r.doc_id]
+        n = sum(x * x for x in v) ** 0.5
+        assert r.embedding == [x / n if n else 0.0 for x in v]
 
 
 def test_deduplicate_loses_no_pair(spark):

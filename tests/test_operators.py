@@ -163,3 +163,47 @@ def test_streams_equal_batches(spark, small, tmp_path):
     seen = live.select(F.col("event_type").alias("signal"), F.col("ts").cast("date").alias("day"))
     states = windows.run_once(windows.portfolio(seen), "states", "update").groupBy("signal").agg(F.max("days").alias("days"))
     assert all(r.days >= 7 for r in states.collect())
+
+
+def test_loess_by_least_squares():
+    rng = np.random.default_rng(0)
+    x, y, w = np.arange(40.0), rng.normal(size=40), rng.uniform(0.1, 1, 40)
+    got = grouped.loess(x, y, 9, weights=w)
+    for i in range(40):
+        d = np.abs(x - i)
+        near = np.argsort(d, kind="stable")[:9]
+        k = np.sqrt(np.clip(1 - (d / (d[near].max() * 1.001)) ** 3, 0, None) ** 3 * w)
+        a = np.column_stack([np.ones(40), x - i])
+        assert abs(got[i] - np.linalg.lstsq(a * k[:, None], y * k, rcond=None)[0][0]) < 1e-8
+
+
+def test_robust_decomposition():
+    t = np.arange(84.0)
+    week = np.tile([4, 1, 0, 0, -1, -1, -3.0], 12)
+    x = 50 + 0.3 * t + week + np.random.default_rng(1).normal(size=84) * 0.2
+    spoilt = x.copy()
+    spoilt[[20, 45]] += [60, -80]
+    trend, season, rest = grouped.decompose(spoilt)
+    assert np.allclose(trend + season + rest, spoilt)
+    assert np.abs(rest[[20, 45]] - [60, -80]).max() < 2 and np.abs(trend - (50 + 0.3 * t)).max() < 1.5 and np.abs(season - week).max() < 1.5
+    plain = grouped.decompose(spoilt, robust=0)
+    assert np.abs(plain[1] - week).max() > 5  # without weights the outliers bend the season
+    flat = grouped.decompose(np.full(30, 5.0))
+    assert np.allclose(flat[0], 5) and np.allclose(flat[1], 0) and np.allclose(flat[2], 0)
+
+
+def test_kernel_pelt_is_optimal():
+    import itertools
+
+    rng = np.random.default_rng(4)
+    for x in (np.r_[rng.normal(size=10), rng.normal(size=10) * 6, rng.normal(size=11) + 3], rng.normal(size=23), np.ones(30)):
+        of, n, penalty = grouped.kernel_cost(x), len(x), np.log(len(x))
+        d = (x[:, None] - x[None]) ** 2
+        gram = np.exp(-np.clip(d / (np.median(d[np.triu_indices(n, 1)]) or 1), 1e-2, 1e2) * (d > 0))
+        assert abs(of(3, 14) - (np.trace(gram[3:14, 3:14]) - gram[3:14, 3:14].sum() / 11)) < 1e-9
+        total = lambda cuts: sum(of(a, b) for a, b in itertools.pairwise([0, *cuts, n])) + penalty * len(cuts)  # noqa: B023, E731
+        choices = [c for k in range(5) for c in itertools.combinations(range(5, n, 5), k) if all(b - a >= 3 for a, b in itertools.pairwise([0, *c, n]))]
+        got = grouped.pelt(x, cost=grouped.kernel_cost, jump=5)
+        assert total(got) <= min(map(total, choices)) + 1e-9 and all(c % 5 == 0 for c in got)
+    spread = np.r_[rng.normal(size=60) * 0.2, rng.normal(size=60) * 5]  # same mean, other spread: a kernel sees it
+    assert grouped.pelt(spread, cost=grouped.kernel_cost, jump=5) == [60]
