@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import stats
-from ..sources.tables import settle
+from ..sources.tables import numbered, settle
 
 # A small lexicon of our own, the fallback where no sentiment model is given.
 POSITIVE = ["boom", "growth", "recovery", "gain", "success", "peace", "agreement", "win", "rise", "hope"]
@@ -66,7 +66,7 @@ def tfidf(docs: DataFrame, key: str = "doc_id", text: str = "text", top: int = 2
     n = docs.groupBy("_by").agg(F.count("*").alias("n"))  # a row for each vocabulary
     df = tf.groupBy("_by", "term").agg(F.count("*").alias("df"), F.sum("tf").alias("all")).join(F.broadcast(n), "_by").where((F.col("df") >= least) & (F.col("df") <= most * F.col("n")))
     if vocabulary:
-        df = df.withColumn("_k", F.row_number().over(Window.partitionBy("_by").orderBy(F.desc("all"), "term"))).where(F.col("_k") <= vocabulary)
+        df = numbered(df.withColumn("_all", -F.col("all")), "_by", ["_all", "term"], "_k").where(F.col("_k") <= vocabulary)
     idf = df.select("_by", "term", (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1).alias("idf"))
     w = tf.join(idf, ["_by", "term"]).select(key, "term", ((1 + F.log("tf")) * F.col("idf")).alias("w"))
     each = Window.partitionBy(key)
@@ -114,11 +114,16 @@ def cooccurring(items: DataFrame, key: str = "article_id", labels: str = "labels
 
 def frame_divergence(counts: DataFrame, smooth: float = 1e-10) -> DataFrame:
     """Symmetric divergence of sources' term shares (``source, term, n``) and its strength: ``a, b, kl, strength``."""
-    p = counts.withColumn("p", F.col("n") / F.sum("n").over(Window.partitionBy("source"))).select("source", "term", "p")
-    src, terms = counts.select("source").distinct(), counts.select("term").distinct()
-    full = src.join(terms, how="cross").join(p, ["source", "term"], "left").select("source", "term", (F.coalesce("p", F.lit(0.0)) + smooth).alias("p"))  # sources are few
-    x = full.alias("x").join(full.alias("y"), (F.col("x.term") == F.col("y.term")) & (F.col("x.source") < F.col("y.source")))
-    kl = x.groupBy(F.col("x.source").alias("a"), F.col("y.source").alias("b")).agg((F.sum((F.col("x.p") - F.col("y.p")) * F.log(F.col("x.p") / F.col("y.p"))) / 2).alias("kl"))
+    p = settle(counts.withColumn("p", F.col("n") / F.sum("n").over(Window.partitionBy("source"))).select("source", "term", "p"))
+    # a term that neither has adds nothing; one that a single source has adds the same beside any other source
+    alone = lambda p: p * F.log((p + smooth) / smooth)
+    each = settle(p.groupBy("source").agg(F.sum(alone(F.col("p"))).alias("alone")))
+    x, y = F.col("x.p"), F.col("y.p")
+    both = p.alias("x").join(p.alias("y"), (F.col("x.term") == F.col("y.term")) & (F.col("x.source") < F.col("y.source")))
+    both = both.groupBy(F.col("x.source").alias("a"), F.col("y.source").alias("b")).agg(F.sum((x - y) * F.log((x + smooth) / (y + smooth)) - alone(x) - alone(y)).alias("shared"))
+    left, right = each.toDF("a", "of_a"), each.toDF("b", "of_b")
+    kl = left.join(right, F.col("a") < F.col("b")).join(both, ["a", "b"], "left")  # sources, no terms
+    kl = kl.select("a", "b", ((F.col("of_a") + F.col("of_b") + F.coalesce("shared", F.lit(0.0))) / 2).alias("kl"))
     return kl.withColumn("strength", F.log1p("kl") / F.log1p(F.lit(25.0)))
 
 
@@ -140,7 +145,7 @@ def evidence_chains(articles: DataFrame, least: int = 3, top: int = 5) -> DataFr
 
 def _near_pairs(rows: DataFrame, by: str, order: str, reach: int) -> tuple[DataFrame, DataFrame, Column]:
     """Two sides ``x``, ``y`` of a group's rows and the condition that they are less than ``reach`` apart in order, joined by buckets."""
-    r = rows.withColumn("k", F.row_number().over(Window.partitionBy(by).orderBy(order)))
+    r = settle(numbered(rows, by, [order]))
     x = r.withColumn("bucket", F.floor(F.col("k") / reach))
     y = r.withColumn("bucket", F.explode(F.array(F.floor(F.col("k") / reach), F.floor(F.col("k") / reach) - 1)))
     near = (F.col(f"x.{by}") == F.col(f"y.{by}")) & (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.k") < F.col("y.k")) & (F.col("y.k") < F.col("x.k") + reach)

@@ -58,6 +58,13 @@ def best(signals: DataFrame) -> DataFrame:
     return signals.withColumn("k", F.row_number().over(w)).where("k = 1").drop("k")
 
 
+def index_rows(signals: DataFrame) -> DataFrame:
+    """Rows of the signals index, one a signal: its id from layer, topic and day, and how many articles it names (``article_ids``)."""
+    key = F.concat_ws("|", "signal_layer", F.col("topic_id").cast("string"), F.col("day").cast("string"))
+    n = F.coalesce(F.size("article_ids"), F.lit(0)).cast("long")
+    return signals.select(F.sha2(key, 256).alias("signal_id"), "signal_layer", "topic_id", "day", "confidence", n.alias("article_count"))
+
+
 def bertrend(count: Column, growth: Column) -> Column:
     """State of a trend: noise up to 3 articles, weak up to 10, then by growth."""
     return F.when(count <= 3, "noise").when((count <= 10) & (growth < 0.5), "weak").when(growth >= 0.5, "emerging").otherwise("strong")

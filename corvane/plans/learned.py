@@ -1,14 +1,17 @@
 """Queries of operators that learn from whole tables: density clusters, outliers, causal links, factors, names and key phrases.
 
-SQL can express none of them; ``tests/test_density.py`` and ``tests/test_learned.py`` hold them against brute force.
+SQL can express none of them but the signals index; ``tests/test_density.py`` and ``tests/test_learned.py`` hold them against brute force.
 """
 
+import uuid
+
 from pyspark.sql import functions as F
 
-from ..operators import causal, density, factors, features, phrases
+from ..operators import causal, density, factors, features, phrases, signals
 from ..operators import series as S
+from ..sources import tables
 from .registry import query
-from .standins import articles, table
+from .standins import articles, sql, table
 
 
 @query("a32_density")
@@ -59,3 +62,20 @@ def names(spark, sf):
 @query("a28_key_phrases")
 def key_phrases(spark, sf):
     return phrases.key_phrases(_weights(spark, sf))
+
+
+def _signals(spark, sf):
+    """A signal for each topic, kind and day."""
+    a = articles(spark, sf).groupBy(F.col("signal_type").alias("signal_layer"), "topic_id", "day")
+    return a.agg(F.max("novelty_score").alias("confidence"), F.collect_set("article_id").alias("article_ids"))
+
+
+@query("s30_signals_index", sql("""s AS (SELECT signal_type, topic_id, day, max(novelty_score) AS confidence, count(DISTINCT article_id) AS article_count FROM articles GROUP BY ALL)
+SELECT sha256(signal_type || '|' || CAST(topic_id AS VARCHAR) || '|' || CAST(day AS VARCHAR)) AS signal_id, signal_type AS signal_layer, topic_id, day, round(confidence, 6) AS confidence, article_count FROM s"""))
+def signals_index(spark, sf):
+    """The index after a first run that knew half of the confidence, and a second one over the later days and the same signals."""
+    rows = tables.settle(signals.index_rows(_signals(spark, sf)))
+    path = f"{tables.folder(spark)}/index-{uuid.uuid4().hex}"
+    tables.upsert(rows.withColumn("confidence", F.col("confidence") / 2).withColumn("article_count", F.lit(0).cast("long")), path, ["signal_id"], "day")
+    tables.upsert(rows, path, ["signal_id"], "day")
+    return spark.read.schema(rows.schema).parquet(path).withColumn("confidence", F.round("confidence", 6))

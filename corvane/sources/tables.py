@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,18 +13,22 @@ from pyspark.sql import types as T
 RAW = T.StructType([T.StructField(n, T.StringType()) for n in ("url", "source_domain", "title", "body", "source_id", "source_name", "language", "published_at", "crawled_at", "author", "category", "content_hash")] + [T.StructField("crawl_tier", T.IntegerType()), T.StructField("crawl_method", T.StringType()), T.StructField("is_paywall_truncated", T.BooleanType()), T.StructField("evidence_id", T.StringType())])
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """Write a table into the folder that all nodes share and read it again: cuts the lineage for iterations."""
-    spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not folder:
+def folder(spark: SparkSession) -> str:
+    """The folder that all nodes share: the session's ``spark.checkpoint.dir``; one of its own only with a local master that has none."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not found:
         if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
             raise RuntimeError("spark.checkpoint.dir has to name a folder that all nodes share")
-        folder = tempfile.mkdtemp(prefix="corvane-")
-        spark.sparkContext.setCheckpointDir(folder)
-    path = f"{folder.rstrip('/')}/table-{uuid.uuid4().hex}"
+        found = tempfile.mkdtemp(prefix="corvane-")
+        spark.sparkContext.setCheckpointDir(found)
+    return found.rstrip("/")
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """Write a table into the folder that all nodes share and read it again: cuts the lineage for iterations."""
+    path = f"{folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def read_jsonl(spark: SparkSession, path: str | list[str], schema: T.StructType = RAW, dated: bool = False) -> DataFrame:
@@ -86,6 +91,35 @@ def keep_one(df: DataFrame, key: list[str], order: list[Column]) -> DataFrame:
     return df.withColumn("_at", F.row_number().over(Window.partitionBy(*key).orderBy(*order))).where("_at = 1").drop("_at")
 
 
+def numbered(df: DataFrame, by: str, order: list[str], name: str = "k") -> DataFrame:
+    """``df`` with the place of each row (from 1) in ``order`` within ``by``: ranges are sorted apart and the counts of the ranges before are
+    added, so that no group is one task. ``by`` and ``order`` are not null."""
+    rows = settle(df.repartitionByRange(by, *order).sortWithinPartitions(by, *order).withColumn("_at", F.monotonically_increasing_id())).withColumn("_part", F.shiftright("_at", 33))
+    each = Window.partitionBy(by).orderBy("_part")
+    n = rows.groupBy("_part", by).agg(F.min("_at").alias("_first"), F.count("*").alias("_c"))  # a row for each range and group in it
+    shift = settle(n.select("_part", by, (F.sum("_c").over(each) - F.col("_c") - F.col("_first") + 1).alias("_shift")))
+    return rows.join(shift, ["_part", by]).select(*df.columns, (F.col("_at") + F.col("_shift")).alias(name))
+
+
+def upsert(df: DataFrame, path: str, key: list[str], by: str) -> None:
+    """Put rows into a Parquet table that is partitioned by ``by``: rows of equal ``key`` (and ``by``) are replaced, others stay.
+
+    Only partitions that ``df`` touches are read and written, each replaced as a whole when the job commits: a run that fails before leaves
+    the table as it was, and the same run again changes no row. Rows of ``df`` that share a key are one of them, by all their columns.
+    """
+    spark = df.sparkSession
+    keys = [by, *key]
+    new = settle(keep_one(df.where(F.col(by).isNotNull()), keys, [F.to_json(F.struct(*df.columns))]))
+    try:
+        old = spark.read.schema(df.schema).parquet(path)
+    except AnalysisException:  # no table yet
+        old = None
+    if old is not None:
+        here = old.join(new.select(by).distinct(), by, "left_semi").join(new.select(*keys), keys, "left_anti").select(df.columns)
+        new = settle(new.unionByName(here))
+    new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
+
+
 def left_join_first(base: DataFrame, more: DataFrame, key: str, columns: list[str], order: list[Column]) -> DataFrame:
     """Left join with the first row of each key on the right; a null key meets nothing."""
     return base.join(keep_one(more.where(F.col(key).isNotNull()), [key], order).select(key, *columns), key, "left")
