@@ -186,20 +186,6 @@ def decomposition(series: DataFrame, period: int = 7) -> DataFrame:
     return per_series(series, work, "day date, trend double, seasonal double, residual double")
 
 
-def forecast(series: DataFrame, period: int = 7, horizon: int = 7) -> DataFrame:
-    """A provider's stand-in: last trend carried on with its season, and 95 % bounds from the rest."""
-
-    def work(x, days):
-        trend, season, rest = decompose(x, period)
-        slope = (trend[-1] - trend[-min(period, len(trend))]) / max(min(period, len(trend)) - 1, 1)
-        step = np.arange(1, horizon + 1)
-        value = trend[-1] + slope * step + season[(len(x) - period + (step - 1) % period) % len(x)]
-        day = [pd.Timestamp(days[-1]).date() + pd.Timedelta(days=int(i)) for i in step]
-        return pd.DataFrame({"day": day, "forecast": value, "lower": value - 1.96 * rest.std(), "upper": value + 1.96 * rest.std()})
-
-    return per_series(series, work, "day date, forecast double, lower double, upper double")
-
-
 def cycles(series: DataFrame, least: int = 14, ratio: float = 3.0) -> DataFrame:
     """The strongest period of each series and whether it stands out of the mean power."""
 

@@ -31,11 +31,6 @@ def decomposition(spark, sf):
     return P.decomposition(_volume(spark, sf)).select("series", "day", *(F.round(c, 6).alias(c) for c in ("trend", "seasonal", "residual")))
 
 
-@query("s5_forecast")
-def forecast(spark, sf):
-    return P.forecast(_volume(spark, sf)).select("series", "day", *(F.round(c, 6).alias(c) for c in ("forecast", "lower", "upper")))
-
-
 @query("m4_cycles")
 def cycles(spark, sf):
     return P.cycles(_volume(spark, sf))

@@ -1,13 +1,13 @@
 """Queries of operators that learn from whole tables: density clusters, outliers, causal links, factors, names and key phrases.
 
-SQL can express none of them but the signals index; ``tests/test_density.py`` and ``tests/test_learned.py`` hold them against brute force.
+SQL can express none of them but the signals index; ``tests/test_density.py``, ``tests/test_models.py`` and ``tests/test_learned.py`` hold them against brute force.
 """
 
 import uuid
 
 from pyspark.sql import functions as F
 
-from ..operators import causal, density, factors, features, phrases, signals
+from ..operators import causal, density, factors, features, models, phrases, signals
 from ..operators import series as S
 from ..sources import tables
 from .registry import query
@@ -40,6 +40,19 @@ def pcmci(spark, sf):
     return causal.pcmci(volume)
 
 
+@query("s5_forecast")
+def forecast(spark, sf):
+    """The 20 largest topics and the aggregate, the days of the series and seven more."""
+    volume = S.largest(S.daily(articles(spark, sf)), 20).where("metric = 'volume'").select("series", "day", "value")
+    return models.forecast(volume).select("series", "day", *(F.round(c, 6).alias(c) for c in ("forecast", "lower", "upper")), "future")
+
+
+@query("a6_series_models")
+def series_models(spark, sf):
+    """Of every measure's daily series."""
+    return models.metrics(S.daily(articles(spark, sf)).select(F.concat_ws(":", "series", "metric").alias("series"), "day", "value"))
+
+
 def _weights(spark, sf):
     return features.tfidf(table(spark, sf, "documents"), longest=2, by=F.coalesce("lang", F.lit("")))
 
