@@ -1,13 +1,13 @@
 """Queries of operators that learn from whole tables: density clusters, outliers, causal links, factors, names and key phrases.
 
-SQL can express none of them but the signals index; ``tests/test_density.py``, ``tests/test_models.py`` and ``tests/test_learned.py`` hold them against brute force.
+SQL can express none of them but the signals index; ``tests/test_density.py``, ``tests/test_models.py``, ``tests/test_ward.py`` and ``tests/test_learned.py`` hold them against brute force.
 """
 
 import uuid
 
 from pyspark.sql import functions as F
 
-from ..operators import causal, density, factors, features, models, phrases, signals
+from ..operators import causal, density, factors, features, models, phrases, signals, ward
 from ..operators import series as S
 from ..sources import tables
 from .registry import query
@@ -19,6 +19,11 @@ def density_clusters(spark, sf):
     return density.density_clusters(table(spark, sf, "embeddings"))
 
 
+@query("a35_ward")
+def ward_clusters(spark, sf):
+    return ward.ward_clusters(table(spark, sf, "embeddings"))
+
+
 def _outliers(spark, sf):
     return density.outliers(table(spark, sf, "embeddings"))
 
