@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -138,27 +139,102 @@ def weekly_pagerank(edges: DataFrame, damping: float = 0.85) -> DataFrame:
     return ranks.withColumn("rank", F.col("rank") / F.sum("rank").over(Window.partitionBy("week")))
 
 
+#: Edges whose communities one task finds.
+FEW_EDGES = 200_000
+
+
 def louvain(edges: DataFrame, resolution: float = 1.0) -> DataFrame:
     """``node, community`` (its smallest node) of weighted undirected edges ``a, b, n`` by modularity: nodes move to the community
     around them with the largest gain, then communities become nodes, until no move gains.
 
     Rounds are synchronous: in each another half of the nodes, by a hash, may move, so that neighbours do not swap for ever; a round's
-    moves are kept while modularity rises. Results depend on the hash as a seeded run depends on its seed.
+    moves are kept while modularity rises. Results depend on the hash as a seeded run depends on its seed. Once no more than
+    ``FEW_EDGES`` edges are left, of the graph or between its communities, one task goes on with them, node by node.
     """
     e = settle(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.col("n").cast("double").alias("n")).groupBy("a", "b").agg(F.sum("n").alias("n")))
     total = e.agg(F.sum("n")).first()[0] or 0.0
     names = settle(e.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("community", F.col("node")))
-    while True:
-        moved = _moves(e, total, resolution)
+    few = False
+    while not few:
+        few = e.count() <= FEW_EDGES
+        moved = _moves_in_one(e, resolution) if few else _moves(e, total, resolution)
         if moved is None:
             break
         names = settle(names.join(moved.select(F.col("node").alias("community"), F.col("community").alias("to")), "community").select("node", F.col("to").alias("community")))
+        if few:
+            break
         left, right = moved.toDF("a", "ca"), moved.toDF("b", "cb")
         e = settle(e.join(left, "a").join(right, "b").select(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b"), "n").groupBy("a", "b").agg(F.sum("n").alias("n")))
     least = names.groupBy("community").agg(F.min("node").alias("least"))
     return names.join(least, "community").select("node", F.col("least").alias("community"))
 
 
+def moved_in_turn(links: list[dict[int, float]], loops: list[float], resolution: float = 1.0) -> list[int]:
+    """The community of each node (numbers of nodes) of an undirected weighted graph: nodes move in turn to the best community around them
+    (the own one, then the smallest among equals) until none gains, then communities are the nodes of the next level."""
+    total = sum(loops) + sum(sum(near.values()) for near in links) / 2
+    names = list(range(len(links)))
+    while total > 0:
+        k = [sum(near.values()) + 2 * loop for near, loop in zip(links, loops, strict=True)]
+        at, size, any_move, moving = list(range(len(links))), list(k), False, True
+        while moving:
+            moving = False
+            for v, near in enumerate(links):
+                own, weight = at[v], {}
+                for u, w in near.items():
+                    weight[at[u]] = weight.get(at[u], 0.0) + w
+                size[own] -= k[v]
+                gain = lambda c: weight.get(c, 0.0) - resolution * k[v] * size[c] / (2 * total)  # noqa: B023, E731
+                best, most = own, gain(own)
+                for c in sorted(weight):
+                    if gain(c) > most + 1e-9:
+                        best, most = c, gain(c)
+                size[best] += k[v]
+                if best != own:
+                    at[v], moving, any_move = best, True, True
+        if not any_move:
+            break
+        new = {c: i for i, c in enumerate(sorted(set(at)))}
+        names = [new[at[v]] for v in names]
+        merged: list[dict[int, float]] = [{} for _ in new]
+        inner = [0.0] * len(new)
+        for v, near in enumerate(links):
+            a = new[at[v]]
+            inner[a] += loops[v]
+            for u, w in near.items():
+                b = new[at[u]]
+                if a == b:
+                    inner[a] += w / 2
+                else:
+                    merged[a][b] = merged[a].get(b, 0.0) + w
+        links, loops = merged, inner
+    return names
+
+
+def _moves_in_one(e: DataFrame, resolution: float) -> DataFrame:
+    """All levels of a graph of few edges: ``node, community``, by one task."""
+    kind = e.schema["a"].dataType.simpleString()
+
+    def work(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["a", "b"])
+        nodes = sorted(set(pdf["a"]) | set(pdf["b"]))
+        number = {v: i for i, v in enumerate(nodes)}
+        links: list[dict[int, float]] = [{} for _ in nodes]
+        loops = [0.0] * len(nodes)
+        for a, b, n in zip(pdf["a"].map(number), pdf["b"].map(number), pdf["n"], strict=True):
+            if a == b:
+                loops[a] += n
+            else:
+                links[a][b] = links[b][a] = n
+        of = moved_in_turn(links, loops, resolution)
+        first: dict[int, int] = {}
+        for i, c in enumerate(of):
+            first.setdefault(c, i)
+        return pd.DataFrame({"node": nodes, "community": [nodes[first[c]] for c in of]})
+
+    return settle(e.groupBy().applyInPandas(work, f"node {kind}, community {kind}"))
+
+
 def _moves(e: DataFrame, total: float, resolution: float) -> DataFrame | None:
     """One level of moves over edges (loops are inner weight): ``node, community``, or none if nothing gains."""
     both = settle(e.where("a <> b").unionByName(e.where("a <> b").select(F.col("b").alias("a"), F.col("a").alias("b"), "n")))

@@ -1,17 +1,17 @@
 """Queries of operators that learn from whole tables: density clusters, outliers, causal links, factors, names and key phrases.
 
-SQL can express none of them but the signals index; ``tests/test_density.py``, ``tests/test_models.py``, ``tests/test_ward.py`` and ``tests/test_learned.py`` hold them against brute force.
+SQL can express none of them but the signals index and the drift of vectors; ``tests/test_density.py``, ``tests/test_models.py``, ``tests/test_ward.py``, ``tests/test_topicfeatures.py`` and ``tests/test_learned.py`` hold them against brute force.
 """
 
 import uuid
 
 from pyspark.sql import functions as F
 
-from ..operators import causal, density, factors, features, models, phrases, signals, ward
+from ..operators import causal, density, entities, factors, features, grouped, models, narrative, phrases, signals, topicfeatures, ward
 from ..operators import series as S
 from ..sources import tables
 from .registry import query
-from .standins import articles, sql, table
+from .standins import CODES, articles, sql, table
 
 
 @query("a32_density")
@@ -97,3 +97,28 @@ def signals_index(spark, sf):
     tables.upsert(rows.withColumn("confidence", F.col("confidence") / 2).withColumn("article_count", F.lit(0).cast("long")), path, ["signal_id"], "day")
     tables.upsert(rows, path, ["signal_id"], "day")
     return spark.read.schema(rows.schema).parquet(path).withColumn("confidence", F.round("confidence", 6))
+
+
+def _vectors(spark, sf):
+    """An article's vector is the one with its id."""
+    return table(spark, sf, "embeddings").select(F.col("vec_id").alias("article_id"), "embedding")
+
+
+@query("a39_drift", sql("""v AS (SELECT topic_id, embedding, row_number() OVER (PARTITION BY topic_id ORDER BY day, article_id) - 1 AS k, count(*) OVER (PARTITION BY topic_id) // 2 AS middle, count(*) OVER (PARTITION BY topic_id) AS n
+  FROM articles JOIN embeddings ON vec_id = article_id WHERE topic_id >= 0 AND embedding IS NOT NULL),
+e AS (SELECT topic_id, n, k >= middle AS late, unnest(range(len(embedding))) AS i, CAST(unnest(embedding) AS DOUBLE) AS x FROM v),
+m AS (SELECT topic_id, n, i, avg(x) FILTER (NOT late) AS a, avg(x) FILTER (late) AS b FROM e GROUP BY ALL)
+SELECT topic_id, round(CASE WHEN n >= 4 AND sqrt(sum(a * a)) > 1e-10 AND sqrt(sum(b * b)) > 1e-10 THEN 1 - sum(a * b) / (sqrt(sum(a * a)) * sqrt(sum(b * b))) ELSE 0 END, 6) AS embedding_drift FROM m GROUP BY topic_id, n"""))
+def drift(spark, sf):
+    return topicfeatures.drift(articles(spark, sf), _vectors(spark, sf)).withColumn("embedding_drift", F.round("embedding_drift", 6))
+
+
+@query("a39_topic_features")
+def topic_features(spark, sf):
+    """All features of every topic, with the layer of those that make a signal."""
+    a = tables.settle(articles(spark, sf))
+    scores = _outliers(spark, sf).select(F.col("vec_id").alias("article_id"), "ood_score")
+    edges = entities.cooccurrence(a, ["entities_person", "entities_org"])
+    shifts = grouped.shift_points(narrative.frame_shift(narrative.frame_shares(a, CODES), CODES))
+    told = tables.settle(topicfeatures.topic_features(a, _vectors(spark, sf), scores, edges, shifts))
+    return told.join(signals.best(signals.classify(told)), "topic_id", "left")

@@ -56,8 +56,10 @@ def test_betweenness(spark):
     assert got.keys() == want.keys() and all(abs(got[v] - want[v]) < 1e-9 for v in nodes)
 
 
-def test_louvain(spark):
-    """Planted groups are found, and no single move of a node gains."""
+@pytest.mark.parametrize("few", [0, 20, graph.FEW_EDGES])
+def test_louvain(spark, few, monkeypatch):
+    """Planted groups are found by rounds, by one task, and by one task after a round's contraction."""
+    monkeypatch.setattr(graph, "FEW_EDGES", few)
     edges = [(i, j, 1) for g in range(4) for i, j in itertools.combinations(range(6 * g, 6 * g + 6), 2)] + [(0, 6, 1), (7, 12, 1), (13, 18, 1)]
     df = spark.createDataFrame(edges, "a int, b int, n int")
     made = {r.node: r.community for r in graph.louvain(df).collect()}
@@ -65,6 +67,28 @@ def test_louvain(spark):
     assert graph.louvain(df.where("false")).count() == 0
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_moves_in_turn(seed):
+    """At the end no node gains by moving to another community or out of all."""
+    edges = made_edges(seed, 30, 0.15)
+    links, loops = [{} for _ in range(30)], [float(v % 3) for v in range(30)]
+    for a, b, n in edges:
+        links[a][b] = links[b][a] = float(n)
+    of = graph.moved_in_turn(links, loops)
+    total = sum(loops) + sum(n for _, _, n in edges)
+    k = [2 * loop + sum(near.values()) for near, loop in zip(links, loops, strict=True)]
+
+    def modularity(of):
+        inside = sum(n for a, b, n in edges if of[a] == of[b]) + sum(loops)
+        return inside / total - sum((sum(k[v] for v in range(30) if of[v] == c) / (2 * total)) ** 2 for c in set(of))
+
+    best = modularity(of)
+    assert best > modularity(list(range(30))) and len(set(of)) < 30
+    parts = sorted(set(of))
+    for a, b in itertools.combinations(parts, 2):  # nor does a merger of two
+        assert modularity([a if c == b else c for c in of]) <= best + 1e-9
+
+
 def test_weekly_pagerank(spark):
     rows = [(w, a, b, n) for w, seed in ((1, 3), (2, 4)) for a, b, n in made_edges(seed, 10, 0.3)]
     got = {(r.week, r.node): r["rank"] for r in graph.weekly_pagerank(spark.createDataFrame(rows, "week int, a int, b int, n int")).collect()}
