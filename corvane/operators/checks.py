@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.stats import label
@@ -69,6 +69,51 @@ def analysis_report(articles: DataFrame, emotions: list[str], codes: list[str])
     return out.unionByName(more.select(F.explode(both).alias("x")).select("x.*"))
 
 
+# What an enriched article needs, what its codes may be, and the columns whose commonest values are told.
+ENRICHED_NEEDED = ["evidence_id", "url", "source_id", "title", "language", "body_quality", "source_tier", "geo_focus_primary", "steeps_primary", "sentiment_label", "signal_type"]
+ENRICHED_ALLOWED = {
+    "EN4": ("body_quality", ["FULL", "PARTIAL", "TITLE_ONLY", "PAYWALL"]),
+    "EN5": ("steeps_primary", ["SOC", "TEC", "ECO", "ENV", "POL", "SEC", "SPI", "CRS"]),
+    "EN6": ("signal_type", ["BREAKING", "TREND", "WEAK_SIGNAL", "NOISE", "UNCLASSIFIED"]),
+}
+ENRICHED_TOLD = ["steeps_primary", "signal_type", "source_tier", "body_quality", "geo_focus_primary", "sentiment_label"]
+
+
+def enriched_report(enriched: DataFrame | None) -> DataFrame:
+    """``rule, column, value, level, passed`` of the enriched articles (none: no such table, which only EN1 tells). One pass.
+
+    EN1 there is a table, EN2 it has rows, EN3 no nulls in what is needed (``value`` is null for a column that is not there),
+    EN4 to EN6 rows with a code that is not known (or none), EN7 at most 70 % of unknown places, EN8 at most 50 % without a sentiment. The
+    last two warn. Of an empty table only the first two are told; EN4 to EN8 need their column.
+    """
+    schema = "rule string, column string, value double, level string, passed boolean"
+    if enriched is None:
+        return SparkSession.active().createDataFrame([("EN1", None, 0.0, "error", False)], schema)
+    have, null = set(enriched.columns), F.lit(None).cast("double")
+    count = lambda bad: F.coalesce(F.sum(F.coalesce(bad, F.lit(True)).cast("double")), F.lit(0.0))
+    rules: list[tuple[str, str | None, Column, str, float]] = [("EN1", None, F.lit(0.0), "error", 0.0), ("EN2", None, (F.count("*") == 0).cast("double"), "error", 0.0)]
+    rules += [("EN3", c, count(F.col(c).isNull()) if c in have else null, "error", 0.0) for c in ENRICHED_NEEDED]
+    rules += [(rule, c, count(~F.col(c).isin(allowed)), "error", 0.0) for rule, (c, allowed) in ENRICHED_ALLOWED.items() if c in have]
+    if "geo_focus_primary" in have:
+        rules.append(("EN7", "geo_focus_primary", F.avg(F.coalesce(F.col("geo_focus_primary") == "UNKNOWN", F.lit(False)).cast("double")), "warning", 0.70))
+    if "sentiment_score" in have:
+        rules.append(("EN8", "sentiment_score", F.avg(F.col("sentiment_score").isNull().cast("double")), "warning", 0.50))
+    one = enriched.agg(F.count("*").alias("_n"), *(value.alias(f"_{i}") for i, (_, _, value, _, _) in enumerate(rules)))
+    rows = [
+        F.struct(F.lit(rule).alias("rule"), F.lit(c).cast("string").alias("column"), F.col(f"_{i}").alias("value"), F.lit(level).alias("level"), F.coalesce(F.col(f"_{i}") <= most, F.lit(False)).alias("passed"))
+        for i, (rule, c, _, level, most) in enumerate(rules)
+    ]
+    return one.select("_n", F.explode(F.array(*rows)).alias("x")).where("_n > 0 or x.rule in ('EN1', 'EN2')").select("x.*")
+
+
+def commonest(df: DataFrame, columns: list[str], top: int = 8) -> DataFrame:
+    """``column, value, n``: the ``top`` values of each column that is there (nulls and empty texts do not count, ties by value). One pass."""
+    pairs = F.array(*(F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns if c in df.columns))
+    n = df.select(F.explode(pairs).alias("x")).select("x.*").where("value <> ''").groupBy("column", "value").agg(F.count("*").alias("n"))
+    place = F.row_number().over(Window.partitionBy("column").orderBy(F.desc("n"), "value"))  # a row a value
+    return n.withColumn("place", place).where(F.col("place") <= top).drop("place")
+
+
 def success(sites: DataFrame, expected: int = EXPECTED_SITES) -> DataFrame:
     """``metric, value, mark, passed`` of a crawl, from ``site, before, after, seconds, memory`` (articles before and after
     deduplication); a metric without data has no value and does not pass."""

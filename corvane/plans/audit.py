@@ -120,3 +120,39 @@ def four_way(spark, sf):
 @query("s33_checksum", "SELECT count(*) AS n FROM lineitem")
 def checksum(spark, sf):
     return tables.checksum(table(spark, sf, "lineitem")).select("n")
+
+
+# An enriched table with what goes wrong in one: missing addresses, codes that nobody knows, places that are not told.
+_ENRICHED = """SELECT CONCAT('e', article_id) AS evidence_id, CASE WHEN article_id % 50 <> 0 THEN CONCAT('https://', source, '.org/', article_id) END AS url, source AS source_id, title, language,
+  CASE article_id % 11 WHEN 0 THEN 'BROKEN' WHEN 1 THEN NULL WHEN 2 THEN 'PAYWALL' WHEN 3 THEN 'TITLE_ONLY' WHEN 4 THEN 'PARTIAL' ELSE 'FULL' END AS body_quality, source_tier,
+  CASE WHEN article_id % 4 < 3 THEN 'UNKNOWN' ELSE geo_focus_primary END AS geo_focus_primary, steeps_primary, CASE WHEN article_id % 3 <> 1 THEN sentiment_score END AS sentiment_score,
+  CASE WHEN sentiment_score > 0.1 THEN 'positive' WHEN sentiment_score < -0.1 THEN 'negative' ELSE 'neutral' END AS sentiment_label, signal_type FROM articles"""
+
+
+def _enriched(spark, sf):
+    return spark.sql(_ENRICHED.replace("FROM articles", "FROM {articles}"), articles=articles(spark, sf))
+
+
+def _rules():
+    """The eight rules, each as a SELECT of its own."""
+    row = "SELECT '{}' AS rule, {} AS \"column\", CAST({} AS DOUBLE) AS value, '{}' AS level, {} <= {} AS passed FROM e"
+    parts = [row.format("EN1", "NULL", "0", "error", "0", 0), row.format("EN2", "NULL", "CAST(count(*) = 0 AS INT)", "error", "CAST(count(*) = 0 AS INT)", 0)]
+    for c in K.ENRICHED_NEEDED:
+        parts.append(row.format("EN3", f"'{c}'", f"count(*) - count({c})", "error", f"count(*) - count({c})", 0))
+    for rule, (c, allowed) in K.ENRICHED_ALLOWED.items():
+        known = "count(*) - count(*) FILTER ({} IN ({}))".format(c, ", ".join(f"'{v}'" for v in allowed))
+        parts.append(row.format(rule, f"'{c}'", known, "error", known, 0))
+    for rule, c, share, most in (("EN7", "geo_focus_primary", "count(*) FILTER (geo_focus_primary = 'UNKNOWN') / count(*)", 0.7), ("EN8", "sentiment_score", "1 - count(sentiment_score) / count(*)", 0.5)):
+        parts.append(row.format(rule, f"'{c}'", f"round({share}, 9)", "warning", share, most))
+    return " UNION ALL ".join(parts).replace("SELECT 'EN1' AS rule, NULL AS", "SELECT 'EN1' AS rule, CAST(NULL AS VARCHAR) AS").replace("FROM e", "FROM (SELECT count(*) FROM e)", 1)
+
+
+@query("v60_enriched_rules", sql(f"e AS ({_ENRICHED}) {_rules()}"))
+def enriched_rules(spark, sf):
+    return K.enriched_report(_enriched(spark, sf)).withColumn("value", F.round("value", 9))
+
+
+@query("v60_enriched_values", sql(f"e AS ({_ENRICHED}), u AS (" + " UNION ALL ".join(f"SELECT '{c}' AS \"column\", {c} AS value FROM e" for c in K.ENRICHED_TOLD) + """),
+n AS (SELECT "column", value, count(*) AS n FROM u WHERE value <> '' GROUP BY ALL) SELECT "column", value, n FROM n QUALIFY row_number() OVER (PARTITION BY "column" ORDER BY n DESC, value) <= 8"""))
+def enriched_values(spark, sf):
+    return K.commonest(_enriched(spark, sf), K.ENRICHED_TOLD)

@@ -110,3 +110,25 @@ def test_deduplicate_loses_no_pair(spark):
     assert kept.count() == 2
     late = pipeline.accept(raw(spark, [{"url": "http://x.org/z", "title": "zalpha budget passes after long debate today", "body": ""}, {"url": "http://x.org/y", "title": "nothing like it", "body": ""}]))
     assert [r.url for r in pipeline.deduplicate(late, kept.select("url_key", "form", "fingerprint")).collect()] == ["http://x.org/y"]
+
+
+def test_enriched_rules(spark):
+    from corvane.operators import checks
+
+    good = {c: "x" for c in checks.ENRICHED_NEEDED} | {"body_quality": "FULL", "steeps_primary": "ECO", "signal_type": "TREND", "sentiment_score": 0.1, "extra": 1}
+    schema = ", ".join(f"{c} {'double' if c == 'sentiment_score' else 'int' if c == 'extra' else 'string'}" for c in good)
+    make = lambda *rows: spark.createDataFrame([tuple((good | r).values()) for r in rows], schema)
+    told = lambda df: {(r.rule, r.column): (r.value, r.passed) for r in checks.enriched_report(df).collect()}
+    fine = told(make({}, {}))
+    assert len(fine) == 2 + 11 + 3 + 2 and all(passed for _, passed in fine.values())
+    bad = told(make({"url": None}, {"body_quality": None}, {"body_quality": "?", "geo_focus_primary": "UNKNOWN"}, {"sentiment_score": None}))
+    assert {k: v for k, v in bad.items() if not v[1]} == {("EN3", "url"): (1, False), ("EN3", "body_quality"): (1, False), ("EN4", "body_quality"): (2, False)}
+    assert bad["EN7", "geo_focus_primary"] == (0.25, True) and bad["EN8", "sentiment_score"] == (0.25, True)
+    most = told(make(*[{"geo_focus_primary": "UNKNOWN", "sentiment_score": None}] * 3, {}))
+    assert not most["EN7", "geo_focus_primary"][1] and not most["EN8", "sentiment_score"][1]
+    assert told(make({}).where("false")) == {("EN1", None): (0, True), ("EN2", None): (1, False)}
+    assert told(None) == {("EN1", None): (0, False)}
+    less = told(make({}).drop("url", "signal_type", "sentiment_score"))
+    assert less["EN3", "url"] == (None, False) and ("EN6", "signal_type") not in less and ("EN8", "sentiment_score") not in less
+    values = spark.createDataFrame([(v, None) for v in "aabbbccddeeffgghhiij"] + [("", "")], "a string, b string")
+    assert [(r.value, r.n) for r in checks.commonest(values, ["a", "b", "none"]).orderBy(F.desc("n"), "value").collect()] == [("b", 3)] + [(v, 2) for v in "acdefgh"]
