@@ -12,6 +12,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.tables import settle
+from .pairs import by_blocks, names
+
+#: Series in a block where a pair is dear, so that few series still make several tasks.
+FEW = 4
 
 
 def per_series(series: DataFrame, work, schema: str, by: tuple[str, ...] = ("series",)) -> DataFrame:
@@ -226,15 +230,15 @@ def f_tail(f: float, d1: int, d2: int) -> float:
 
 
 def granger(x: np.ndarray, y: np.ndarray, lag: int) -> float:
-    """The p-value of "x does not help to foretell y" with ``lag`` lags."""
+    """The p-value of "x does not help to foretell y" with ``lag`` lags; 0 where it leaves nothing to tell."""
     n = len(y) - lag
     if n <= 2 * lag + 1:
         return 1.0
     own = np.column_stack([np.ones(n)] + [y[lag - k : len(y) - k] for k in range(1, lag + 1)])
     both = np.column_stack([own] + [x[lag - k : len(x) - k] for k in range(1, lag + 1)])
     rss = [float(((y[lag:] - a @ np.linalg.lstsq(a, y[lag:], rcond=None)[0]) ** 2).sum()) for a in (own, both)]
-    if rss[1] <= 1e-12:
-        return 1.0
+    if rss[1] <= 1e-12 * max(1.0, float(y @ y)):  # an exact fit: told by x, unless y tells itself
+        return 0.0 if rss[0] > 1e-9 * max(1.0, float(y @ y)) else 1.0
     d2 = n - 2 * lag - 1
     return f_tail((rss[0] - rss[1]) / lag / (rss[1] / d2), lag, d2)
 
@@ -304,35 +308,32 @@ def cascades(series: DataFrame, top: int = 10, least_days: int = 30, lags: int =
     return causality(series.join(F.broadcast(best.select("series")), "series", "left_semi"), lags).where(F.col("p") < level).select("cause", "effect", "lag", "p")
 
 
-def _pairs(series: DataFrame, ordered: bool) -> DataFrame:
-    whole = series.groupBy("series").agg(F.transform(F.array_sort(F.collect_list(F.struct("day", F.coalesce("value", F.lit(0.0)).alias("v")))), lambda s: s["v"]).alias("x"))
-    return whole.toDF("a", "x").join(whole.toDF("b", "y"), F.col("a") != F.col("b") if ordered else F.col("a") < F.col("b"))
-
-
 def causality(series: DataFrame, lags: int = 7, level: float = 0.05) -> DataFrame:
     """Granger tests of all ordered pairs: the best lag's p-value, significant after Bonferroni over the pairs."""
 
-    def work(batches):
-        for pdf in batches:
-            out = []
-            for a, b, x, y in pdf[["a", "b", "x", "y"]].itertuples(index=False):
-                p, lag = min((granger(np.asarray(x, float), np.asarray(y, float), k), k) for k in range(1, lags + 1))
-                out.append((a, b, lag, p, min(1.0, max(0.0, -math.log10(max(p, 1e-300)) / 10))))
-            yield pd.DataFrame(out, columns=["cause", "effect", "lag", "p", "strength"])
+    def work(some: dict, others: dict) -> pd.DataFrame:
+        every, out = some | others, []
+        for a, b in names(some, others, ordered=True):
+            p, lag = min((granger(every[a][1], every[b][1], k), k) for k in range(1, lags + 1))
+            out.append((a, b, lag, p, min(1.0, max(0.0, -math.log10(max(p, 1e-300)) / 10))))
+        return pd.DataFrame(out, columns=["cause", "effect", "lag", "p", "strength"])
 
-    pairs = _pairs(series, True)
-    out = pairs.mapInPandas(work, "cause string, effect string, lag long, p double, strength double")
+    out = by_blocks(series, work, "cause string, effect string, lag long, p double, strength double", FEW)
     n = series.select("series").distinct().count()
     return out.withColumn("significant", F.col("p") < level / max(1, n * (n - 1)))
 
 
 def alignment(series: DataFrame) -> DataFrame:
-    """DTW distance of all pairs, and its strength against the largest one."""
+    """DTW distance of all pairs, its strength against the largest one, and ``lag``: by how many days the peak of ``a`` comes after that of
+    ``b`` (the first day of each largest value)."""
 
-    def work(batches):
-        for pdf in batches:
-            yield pd.DataFrame([(a, b, dtw(np.asarray(x, float), np.asarray(y, float))) for a, b, x, y in pdf[["a", "b", "x", "y"]].itertuples(index=False)], columns=["a", "b", "distance"])
+    def work(some: dict, others: dict) -> pd.DataFrame:
+        every, out = some | others, []
+        for a, b in names(some, others):
+            (d, x), (e, y) = every[a], every[b]
+            out.append((a, b, dtw(x, y), int(d[x.argmax()] - e[y.argmax()])))
+        return pd.DataFrame(out, columns=["a", "b", "distance", "lag"])
 
-    d = settle(_pairs(series, False).mapInPandas(work, "a string, b string, distance double"))  # read twice below
+    d = settle(by_blocks(series, work, "a string, b string, distance double, lag int", FEW))  # read twice below
     most = d.agg(F.max("distance").alias("most"))
-    return d.crossJoin(F.broadcast(most)).select("a", "b", "distance", F.when(F.col("most") > 0, 1 - F.col("distance") / F.col("most")).otherwise(0.0).alias("strength"))  # one row
+    return d.crossJoin(F.broadcast(most)).select("a", "b", "distance", F.when(F.col("most") > 0, 1 - F.col("distance") / F.col("most")).otherwise(0.0).alias("strength"), "lag")  # one row

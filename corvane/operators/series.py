@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import pairs
+
 EMOTIONS = ["joy", "trust", "fear", "surprise", "sadness", "disgust", "anger", "anticipation"]
 METRICS = ["volume", "sentiment", *EMOTIONS]
 
@@ -85,12 +87,7 @@ def decay_fit(series: DataFrame, least: float = 0.7) -> DataFrame:
 
 def lead_lag(series: DataFrame, most: int = 7, least: float = 0.1) -> DataFrame:
     """Per pair of series the lag (days, within ``most``) of the largest absolute correlation over ``least``, and who leads."""
-    v = series.where("metric = 'volume' and series <> 'all'").select("series", "day", "value")
-    lags = F.explode(F.sequence(F.lit(-most), F.lit(most)))
-    a = v.select(F.col("series").alias("a"), F.col("day"), F.col("value").alias("x")).select("*", lags.alias("lag")).withColumn("at", F.date_add("day", F.col("lag")))
-    b = v.select(F.col("series").alias("b"), F.col("day").alias("at"), F.col("value").alias("y"))
-    c = a.join(b, "at").where("a < b").groupBy("a", "b", "lag").agg(F.corr("x", "y").alias("r"), F.count("*").alias("n")).where("n >= 3 and r is not null and not isnan(r)")
-    best = c.groupBy("a", "b").agg(F.min(F.struct((-F.abs(F.round("r", 9))).alias("k"), F.abs("lag").alias("d"), "lag", "r")).alias("m")).select("a", "b", "m.lag", "m.r").where(F.abs(F.col("r")) > least)
+    best = pairs.lead_lag(series.where("metric = 'volume' and series <> 'all'"), most, least)
     return best.withColumn("leader", F.when(F.col("lag") > 0, F.col("a")).when(F.col("lag") < 0, F.col("b")))
 
 
