@@ -202,9 +202,24 @@ def title_form(title: Column) -> Column:
     return F.regexp_replace(F.trim(F.lower(x)), r"\s+", " ")
 
 
+# Kana, Han and Hangul, by code point, and the share of a text's letters from which it is cut by characters.
+CJK, CJK_SHARE = r"\x{3040}-\x{30FF}\x{3400}-\x{4DBF}\x{4E00}-\x{9FFF}\x{AC00}-\x{D7AF}", 0.4
+
+
+def mostly_cjk(text: Column) -> Column:
+    """Whether over ``CJK_SHARE`` of the letters are kana, Han or Hangul."""
+    letters = F.length(F.regexp_replace(text, r"[^\p{L}]", ""))
+    return F.length(F.regexp_replace(text, f"[^{CJK}]", "")) > CJK_SHARE * letters
+
+
+def title_words(form: Column) -> Column:
+    """The set that a title is compared by: its words, or its single letters where most are kana, Han or Hangul."""
+    return F.array_distinct(F.when(mostly_cjk(form), F.split(F.regexp_replace(form, r"[^\p{L}]", ""), "")).otherwise(F.split(form, " ")))
+
+
 def titles_alike(a: Column, b: Column, jaccard: float = 0.8, edit: float = 0.2) -> Column:
-    """Word Jaccard, normalised edit distance, or a prefix of more than 10 characters and 70 %; of normal forms."""
-    x, y = F.split(a, " "), F.split(b, " ")
+    """Jaccard of ``title_words``, normalised edit distance, or a prefix of more than 10 characters and 70 %; of normal forms."""
+    x, y = title_words(a), title_words(b)
     j = F.size(F.array_intersect(x, y)) / F.size(F.array_union(x, y))
     most, least = F.greatest(F.length(a), F.length(b)), F.least(F.length(a), F.length(b))
     prefix = (least > 10) & (F.substring(a, F.lit(1), least) == F.substring(b, F.lit(1), least)) & (least > 0.7 * most)
@@ -212,23 +227,31 @@ def titles_alike(a: Column, b: Column, jaccard: float = 0.8, edit: float = 0.2)
 
 
 def simhash64(text: Column, n: int = 3) -> Column:
-    """64-bit SimHash of word ``n``-grams, whose hashes are the first eight bytes of SHA-256; 0 under 50 characters.
+    """64-bit SimHash of word ``n``-grams, or of pairs of characters where most letters are kana, Han or Hangul; 0 under 50 characters.
 
-    Words and hashes are named once by a fold over one entry each, so that a text is cut once and its grams are hashed once,
+    Case and punctuation don't count; a gram's hash is the first eight bytes of SHA-256. With fewer than ``n`` words each word is a gram.
+    Texts, words and hashes are named once by a fold over one entry each, so that a text is cut once and its grams are hashed once,
     and not for every gram and bit.
     """
     long = lambda x: F.lit(x).cast("long")
     named = lambda value, f: F.get(F.transform(F.array(value), f), F.lit(0))
-
-    def grams(w: Column) -> Column:
-        return F.when(F.size(w) >= n, F.transform(F.sequence(F.lit(1), F.size(w) - n + 1), lambda i: F.array_join(F.slice(w, i, n), " "))).otherwise(F.array(F.array_join(w, " ")))
-
-    def all_bits(hashes: Column) -> Column:
-        on = lambda i: F.aggregate(hashes, F.lit(0), lambda s, h: s + F.when(F.shiftrightunsigned(h, i).bitwiseAND(F.lit(1)) == 1, 1).otherwise(-1)) > 0
-        return sum((F.when(on(i), long(1 << i if i < 63 else -(1 << 63))).otherwise(long(0)) for i in range(1, 64)), F.when(on(0), long(1)).otherwise(long(0)))
-
-    hashes = named(words(F.lower(text)), lambda w: F.transform(grams(w), lambda g: F.conv(F.substring(F.sha2(g, 256), 1, 16), 16, -10).cast("long")))
-    return F.when(F.length(text) < 50, long(0)).otherwise(named(hashes, all_bits))
+    runs = lambda w, k, by: F.when(F.size(w) >= k, F.transform(F.sequence(F.lit(1), F.size(w) - k + 1), lambda i: F.array_join(F.slice(w, i, k), by))).otherwise(w)
+
+    def grams(t: Column) -> Column:
+        characters = F.filter(F.split(F.regexp_replace(t, r"\s", ""), ""), lambda c: c != "")
+        return F.when(mostly_cjk(t), named(characters, lambda c: runs(c, 2, ""))).otherwise(named(words(t), lambda w: runs(w, n, " ")))
+
+    def all_bits(hashes: Column, width: int) -> Column:
+        """A long counts 64 / ``width`` bits at once, each in ``width`` of its own bits."""
+        mask = long(sum(1 << k for k in range(0, 64, width)))
+        sums = F.array(*(F.aggregate(hashes, long(0), lambda s, h: s + F.shiftrightunsigned(h, i).bitwiseAND(mask)) for i in range(width)))
+        count = lambda c, i: F.shiftrightunsigned(F.get(c, F.lit(i % width)), i - i % width).bitwiseAND(long((1 << width) - 1))
+        value = lambda i: long(1 << i if i < 63 else -(1 << 63))
+        return named(sums, lambda c: sum((F.when(2 * count(c, i) > F.size(hashes), value(i)).otherwise(long(0)) for i in range(1, 64)), F.when(2 * count(c, 0) > F.size(hashes), long(1)).otherwise(long(0))))
+
+    plain = F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}_\s\x{3001}-\x{9FFF}\x{AC00}-\x{D7AF}]", " ")
+    hashes = named(plain, lambda t: F.transform(grams(t), lambda g: F.conv(F.substring(F.sha2(g, 256), 1, 16), 16, -10).cast("long")))
+    return F.when(F.length(text) < 50, long(0)).otherwise(named(hashes, lambda h: F.when(F.size(h) < 1 << 16, all_bits(h, 16)).otherwise(all_bits(h, 32))))
 
 
 def hamming(a: Column, b: Column) -> Column:

@@ -5,7 +5,7 @@ import datetime
 from pyspark.sql import functions as F
 
 from ..operators import checks as K
-from ..operators import entities, pipeline
+from ..operators import entities, pipeline, rollups
 from ..operators import series as S
 from ..sources import tables
 from .registry import query
@@ -65,21 +65,19 @@ def success(spark, sf):
 def group_sums(spark, sf):
     groups = spark.createDataFrame([("src0", "A"), ("src1", "A"), ("src2", "B")], "source string, group string")
     n = articles(spark, sf).groupBy("source").agg(F.count("*").alias("n"))
-    return n.join(groups, "source", "left").groupBy(F.coalesce("group", F.lit("?")).alias("group")).agg(F.sum("n").alias("n"))
+    return rollups.group_sums(n, groups)
 
 
 @query("s93_source_topics", sql("SELECT source, topic_id, count(*) AS n, min(article_id) AS \"first\", CAST(sum(article_id) AS BIGINT) AS ids FROM articles WHERE topic_id <> -1 GROUP BY ALL"))
 def source_topics(spark, sf):
-    """What the nesting of articles in topics in sources holds: an aggregate by both keys, since a topic's list has no bound."""
-    return articles(spark, sf).where("topic_id <> -1").groupBy("source", "topic_id").agg(F.count("*").alias("n"), F.min("article_id").alias("first"), F.sum("article_id").alias("ids"))
+    return rollups.source_topics(articles(spark, sf))
 
 
 @query("s95_emotion_delta", sql("""d AS (SELECT source, day, """ + ", ".join(f"avg(emotion_{e}) AS {e}" for e in EMOTIONS) + """ FROM articles GROUP BY ALL)
 SELECT a.source, a.day, """ + ", ".join(f"round(a.{e} - b.{e}, 9) + 0.0 AS {e}" for e in EMOTIONS) + " FROM d a JOIN d b ON b.source = a.source AND b.day = a.day - 7"))
 def emotion_delta(spark, sf):
-    d = articles(spark, sf).groupBy("source", "day").agg(*(F.avg(f"emotion_{e}").alias(e) for e in EMOTIONS))
-    past = d.select("source", F.date_add("day", 7).alias("day"), *(F.col(e).alias(f"past_{e}") for e in EMOTIONS))
-    return d.join(past, ["source", "day"]).select("source", "day", *((F.round(F.col(e) - F.col(f"past_{e}"), 9) + F.lit(0.0)).alias(e) for e in EMOTIONS))
+    d = rollups.emotion_delta(articles(spark, sf))
+    return d.select("source", "day", *((F.round(e, 9) + F.lit(0.0)).alias(e) for e in EMOTIONS))
 
 
 @query("s162_largest", sql("""n AS (SELECT topic_id, count(*) AS n FROM articles WHERE topic_id <> -1 GROUP BY topic_id ORDER BY n DESC, CAST(topic_id AS VARCHAR) LIMIT 3)
@@ -94,7 +92,7 @@ SELECT t.entity, n, coalesce(languages, 0) AS languages FROM t LEFT JOIN r ON r.
 def with_reach(spark, sf):
     m = entities.mentions(articles(spark, sf), {"entities_org": "org"}, ["day", "language"])
     reach = m.where("day >= date'2024-01-20' and language <> 'es'").groupBy("entity").agg(F.countDistinct("language").alias("languages"))
-    return m.groupBy("entity").agg(F.count("*").alias("n")).join(reach, "entity", "left").na.fill(0, ["languages"])
+    return rollups.filled(m.groupBy("entity").agg(F.count("*").alias("n")), [reach], "entity", {"languages": 0})
 
 
 @query("s63_views", sql("SELECT source, topic_id, count(*) AS n FROM articles WHERE language = 'ko' AND source IN ('src1', 'src5', 'src9') AND day BETWEEN DATE '2024-01-08' AND DATE '2024-01-14' GROUP BY ALL"))
@@ -122,6 +120,13 @@ def checksum(spark, sf):
     return tables.checksum(table(spark, sf, "lineitem")).select("n")
 
 
+@query("s34_digest", """
+WITH r AS (SELECT ('0x' || substr(sha256(concat_ws('|', coalesce(CAST(c_custkey AS VARCHAR), '-'), coalesce(c_name, '-'), coalesce(CAST(c_nationkey AS VARCHAR), '-'), coalesce(c_mktsegment, '-'))), 1, 12))::BIGINT AS h FROM customer)
+SELECT count(*) AS n, CAST(sum(h) AS VARCHAR) AS digest FROM r""")
+def digest(spark, sf):
+    return tables.digest(table(spark, sf, "customer"), ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"])
+
+
 # An enriched table with what goes wrong in one: missing addresses, codes that nobody knows, places that are not told.
 _ENRICHED = """SELECT CONCAT('e', article_id) AS evidence_id, CASE WHEN article_id % 50 <> 0 THEN CONCAT('https://', source, '.org/', article_id) END AS url, source AS source_id, title, language,
   CASE article_id % 11 WHEN 0 THEN 'BROKEN' WHEN 1 THEN NULL WHEN 2 THEN 'PAYWALL' WHEN 3 THEN 'TITLE_ONLY' WHEN 4 THEN 'PARTIAL' ELSE 'FULL' END AS body_quality, source_tier,

@@ -6,7 +6,7 @@ from ..functions import text, urls
 from ..operators import names as N
 from ..operators import pipeline, titles
 from .registry import query
-from .standins import articles, sql, table
+from .standins import HEADLINES, articles, sql, table
 
 _VALID = f"""length(name) BETWEEN 2 AND 50 AND length(regexp_replace(name, '[^0-9]', '', 'g')) <= 0.8 * length(name)
   AND NOT (language = 'ko' AND (regexp_matches(name, '{N.KO_ENDINGS}') OR regexp_matches(name, '{N.KO_PARTICLES}') OR (contains(name, ' ') AND length(name) > 20)))"""
@@ -90,6 +90,16 @@ def decoded(spark, sf):
     return table(spark, sf, "documents").select("doc_id", F.sha2(text.decoded(F.coalesce("text", F.lit("")).cast("binary")), 256).alias("sha256"))
 
 
+_KOREAN = "CASE headline " + " ".join(f"WHEN '{h}' THEN unhex('{h.encode('euc-kr').hex()}')" for h in HEADLINES["ko"]) + " END"
+
+
+@query("f2_decoded_headlines", sql("SELECT article_id, headline AS body FROM articles"))
+def decoded_headlines(spark, sf):
+    """Korean in EUC-KR, Spanish in Latin-1, others in UTF-8."""
+    raw = F.expr(f"CASE language WHEN 'ko' THEN {_KOREAN} WHEN 'es' THEN encode(headline, 'ISO-8859-1') ELSE encode(headline, 'UTF-8') END")
+    return articles(spark, sf).select("article_id", text.decoded(raw).alias("body"))
+
+
 @query("f3_language")
 def language(spark, sf):
     d = table(spark, sf, "documents")
@@ -193,6 +203,25 @@ def _raw(spark, sf):
     )
 
 
+# Raw rows as feeds give them: odd categories, times and languages, walls, rows without a title or address.
+_RAW = """SELECT CASE WHEN article_id % 41 = 0 THEN '' WHEN article_id % 43 = 0 THEN NULL ELSE CONCAT('https://', source, '.org/', article_id) END AS url, CASE article_id % 37 WHEN 0 THEN '  ' WHEN 1 THEN NULL ELSE CONCAT('<b>', title, '</b>  &amp; more ') END AS title,
+  CASE WHEN article_id % 31 <> 0 THEN CONCAT(headline, ' <i>', title, '</i>') END AS body, source AS source_id, CONCAT('Name of ', source) AS source_name,
+  CASE article_id % 5 WHEN 0 THEN 'xx' WHEN 1 THEN NULL ELSE language END AS language,
+  CASE article_id % 4 WHEN 0 THEN '2024-01-05T06:07:08Z' WHEN 1 THEN '2024-01-05 06:07:08' WHEN 2 THEN 'yesterday' END AS published_at, '2024-01-29T00:00:00Z' AS crawled_at, CAST(NULL AS {text}) AS author,
+  CASE article_id % 6 WHEN 0 THEN CONCAT(chr(123), '"name": "World"', chr(125)) WHEN 1 THEN '["Sports", "Local"]' WHEN 2 THEN ' economy ' WHEN 3 THEN ' ' WHEN 4 THEN NULL ELSE 'news' END AS category,
+  CASE WHEN article_id % 7 = 0 THEN CONCAT('e', article_id) ELSE 'e' END AS evidence_id, CASE article_id % 9 WHEN 0 THEN true WHEN 1 THEN NULL ELSE false END AS is_paywall_truncated FROM articles"""
+
+
+@query("s39_accepted_rows", sql(f"""r AS ({_RAW.format(text="VARCHAR")}), a AS (SELECT *, rtrim(regexp_replace(title, '</?b>', '', 'g')) AS t FROM r WHERE trim(title) <> '' AND url <> ''),
+b AS (SELECT *, replace(replace(t, '&amp;', '&'), '  ', ' ') AS title_, CASE WHEN coalesce(is_paywall_truncated, false) OR body IS NULL THEN '' ELSE regexp_replace(body, '</?i>', '', 'g') END AS body_ FROM a)
+SELECT sha256(url) AS article_id, evidence_id, url, title_ AS title, body_ AS body, source_name AS source, CASE WHEN category LIKE '{{%' THEN 'World' WHEN category LIKE '[%' THEN 'Sports' WHEN trim(category) <> '' THEN trim(category) ELSE 'uncategorized' END AS category,
+  CASE WHEN language IN ('ko', 'en', 'ja', 'es') THEN language WHEN source_id = 'src1' THEN 'de' ELSE 'en' END AS language, CASE WHEN published_at <> 'yesterday' THEN TIMESTAMP '2024-01-05 06:07:08' END AS published_at, TIMESTAMP '2024-01-29 00:00:00' AS crawled_at,
+  author, CAST(len(list_filter(string_split(title_ || ' ' || body_, ' '), lambda x: x <> '')) AS INT) AS word_count, CASE WHEN body_ = '' THEN '' ELSE sha256(lower(body_)) END AS content_hash FROM b"""))
+def accepted_rows(spark, sf):
+    raw = spark.sql(_RAW.format(text="STRING").replace("FROM articles", "FROM {articles}"), articles=articles(spark, sf))
+    return pipeline.accept(raw, {"src1": "de"})
+
+
 @query("s44_fresh", r"""
 WITH p AS (SELECT page_id, url, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title FROM pages) SELECT sha256(url) AS article_id, count(*) AS n FROM p WHERE trim(title) <> '' AND url <> '' AND page_id % 28 + 1 >= 14 GROUP BY 1""")
 def fresh(spark, sf):

@@ -61,6 +61,19 @@ _S = _T + ", s AS (SELECT DISTINCT language, geo_focus_primary || '/' || steeps_
 _daily("q13_exclusive", _S + " SELECT min(language) AS language, subject FROM s GROUP BY subject HAVING count(*) = 1", Q.exclusive)
 _daily("q13_overlap", _S + """, l AS (SELECT DISTINCT language FROM s) SELECT a.language AS a, b.language AS b,
   round((SELECT count(*) FROM s x JOIN s y ON x.subject = y.subject WHERE x.language = a.language AND y.language = b.language) / (SELECT count(DISTINCT subject) FROM s WHERE language IN (a.language, b.language)), 6) AS jaccard FROM l a JOIN l b ON a.language < b.language""", Q.agenda_overlap, ("jaccard",))
+# Places that today alone has, each in one language.
+_PLANTED = "CASE WHEN day = DATE '2024-01-30' AND article_id % 7 = 0 THEN CONCAT('new-', language) ELSE geo_focus_primary END"
+_N = f"p AS (SELECT * REPLACE ({_PLANTED} AS geo_focus_primary) FROM articles), "
+
+
+def _planted(a):
+    return a.withColumn("geo_focus_primary", F.expr(_PLANTED))
+
+
+_daily("q11_new_places", _N + """o AS (SELECT DISTINCT geo_focus_primary, unnest(steeps_all) AS code FROM p WHERE day BETWEEN DATE '2023-12-31' AND DATE '2024-01-29'),
+t AS (SELECT source, source_tier, geo_focus_primary, unnest(steeps_all) AS code FROM p WHERE day = DATE '2024-01-30')
+SELECT source, source_tier, count(*) AS n FROM t WHERE (geo_focus_primary, code) NOT IN (SELECT (geo_focus_primary, code) FROM o) GROUP BY 1, 2""", lambda a, t: Q.setters(_planted(a), t))
+_daily("q13_own_places", _N + "s AS (SELECT DISTINCT language, geo_focus_primary || '/' || steeps_primary AS subject FROM p WHERE day = DATE '2024-01-30') SELECT min(language) AS language, subject FROM s GROUP BY subject HAVING count(*) = 1", lambda a, t: Q.exclusive(_planted(a), t))
 _daily("q14_coverage_gap", _T + """, n AS (SELECT language, count(DISTINCT source) AS s FROM today GROUP BY 1) SELECT a.language AS a, b.language AS b, a.s AS x, b.s AS y, round(abs(a.s - b.s) / greatest(a.s, b.s), 6) AS gap FROM n a JOIN n b ON a.language < b.language""", Q.coverage_gap, ("gap",))
 _daily("q15_economic_series", """e AS (SELECT * FROM articles WHERE day BETWEEN DATE '2024-01-01' AND DATE '2024-01-30' AND steeps_primary = 'ECO') SELECT day, round(avg(sentiment_score), 9) + 0.0 AS sentiment, count(*) AS n FROM e GROUP BY day""", Q.economic_series, ("sentiment",), 9)
 _daily("q16_code_pairs", """s AS (SELECT DISTINCT source, day, steeps_primary AS c FROM articles WHERE day BETWEEN DATE '2024-01-23' AND DATE '2024-01-30' AND steeps_primary <> 'CRS'),

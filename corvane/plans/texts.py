@@ -25,6 +25,21 @@ def hosts(spark, sf):
     return table(spark, sf, "pages").groupBy(F.lower(F.regexp_extract("url", "^[a-z]+://([^/?#]*)", 1)).alias("host")).agg(F.count("*").alias("n"))
 
 
+_BARE = "regexp_replace(regexp_replace(url, '#.*$', ''), '^https?://(www[.])?', '')"  # address without a scheme and fragment
+_SAME, _OTHER = f"'HTTP://WWW.' || {_BARE} || CASE WHEN contains(url, '?') THEN '&' ELSE '/./?' END || 'utm_source=feed&fbclid=1#top'", f"'https://' || {_BARE} || CASE WHEN contains(url, '?') THEN '&' ELSE '?' END || 'more=1'"
+
+
+@query("f30_url_keys", """
+WITH p AS (SELECT page_id, regexp_replace(url, '#.*$', '') AS u FROM pages),
+x AS (SELECT page_id, regexp_replace(lower(regexp_extract(u, '^[a-z]+://([^/?]*)', 1)), '^www\\.', '') AS host, rtrim(regexp_extract(u, '^[a-z]+://[^/?]*([^?]*)', 1), '/') AS path,
+  list_sort(list_filter(string_split(regexp_extract(u, '\\?(.*)$', 1), '&'), lambda q: q <> '' AND NOT list_contains([""" + ", ".join(f"'{t}'" for t in urls.TRACKING) + """], split_part(q, '=', 1)))) AS q FROM p)
+SELECT page_id, sha256('https://' || host || path || CASE WHEN len(q) > 0 THEN '?' || array_to_string(q, '&') ELSE '' END) AS url_key, true AS same, false AS other FROM x""")
+def url_keys(spark, sf):
+    """Keys, and whether another spelling of an address, and another address, is equivalent to it."""
+    p = table(spark, sf, "pages")
+    return p.select("page_id", urls.key(F.col("url")).alias("url_key"), urls.equivalent(F.col("url"), F.expr(_SAME)).alias("same"), urls.equivalent(F.col("url"), F.expr(_OTHER)).alias("other"))
+
+
 @query("s19_page_links", """SELECT page_id, CAST(len(regexp_extract_all(html, '(?i)href\\s*=\\s*["'']([^"''#][^"'']*)["'']')) AS INT) AS n FROM pages""")
 def page_links(spark, sf):
     return table(spark, sf, "pages").select("page_id", F.size(urls.links(F.col("html"))).alias("n"))
@@ -127,15 +142,33 @@ def steeps_scores(spark, sf):
     return articles(spark, sf).select("article_id", s[0]["code"].alias("code"), F.round(s[0]["score"], 6).alias("score"))
 
 
-@query("f22_simhash", """
-WITH w AS (SELECT doc_id, text, list_filter(regexp_split_to_array(lower(text), '[ \\t\\n\\x0B\\f\\r]+'), lambda x: x <> '') AS w FROM documents), g AS (SELECT doc_id, unnest(CASE WHEN len(w) >= 3 THEN list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' ')) ELSE [array_to_string(w, ' ')] END) AS g FROM w WHERE length(text) >= 50),
-h AS (SELECT doc_id, ('0x' || substr(sha256(g), 1, 16))::UBIGINT AS h FROM g), b AS (SELECT doc_id, i, sum(CASE WHEN (h >> i) & 1 = 1 THEN 1 ELSE -1 END) AS v FROM h, range(64) r(i) GROUP BY ALL),
-s AS (SELECT doc_id, sum(CASE WHEN v > 0 THEN CASE WHEN i = 63 THEN -9223372036854775808::HUGEINT ELSE (1::HUGEINT << i) END ELSE 0 END) AS s FROM b GROUP BY doc_id)
-SELECT d.doc_id, CAST(coalesce(s, CASE WHEN text IS NOT NULL THEN 0 END) AS BIGINT) AS simhash FROM documents d LEFT JOIN s ON s.doc_id = d.doc_id""")
+def _simhash_sql(key, source):
+    """SQL over a table ``d`` of the key and a ``text``."""
+    return source + rf""",
+t AS (SELECT {key}, text, regexp_replace(lower(text), '[^\p{{L}}\p{{N}}_\s\x{{3001}}-\x{{9FFF}}\x{{AC00}}-\x{{D7AF}}]', ' ', 'g') AS t FROM d WHERE length(text) >= 50),
+w AS (SELECT *, list_filter(regexp_split_to_array(t, '[ \t\n\x0B\f\r]+'), lambda x: x <> '') AS w, regexp_replace(t, '[ \t\n\x0B\f\r]', '', 'g') AS c,
+  length(regexp_replace(t, '[^{text.CJK}]', '', 'g')) > {text.CJK_SHARE} * length(regexp_replace(t, '[^\p{{L}}]', '', 'g')) AS cjk FROM t),
+g AS (SELECT {key}, unnest(CASE WHEN cjk THEN CASE WHEN length(c) > 1 THEN list_transform(range(1, length(c)), lambda i: substr(c, i, 2)) ELSE [c] END
+  WHEN len(w) >= 3 THEN list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' ')) ELSE w END) AS g FROM w),
+h AS (SELECT {key}, ('0x' || substr(sha256(g), 1, 16))::UBIGINT AS h FROM g), b AS (SELECT {key}, i, sum(CASE WHEN (h >> i) & 1 = 1 THEN 1 ELSE -1 END) AS v FROM h, range(64) r(i) GROUP BY ALL),
+s AS (SELECT {key}, sum(CASE WHEN v > 0 THEN CASE WHEN i = 63 THEN -9223372036854775808::HUGEINT ELSE (1::HUGEINT << i) END ELSE 0 END) AS s FROM b GROUP BY {key})
+SELECT d.{key}, CAST(coalesce(s, CASE WHEN text IS NOT NULL THEN 0 END) AS BIGINT) AS simhash FROM d LEFT JOIN s ON s.{key} = d.{key}"""
+
+
+@query("f22_simhash", _simhash_sql("doc_id", "WITH d AS (SELECT doc_id, text FROM documents)"))
 def simhash(spark, sf):
     return table(spark, sf, "documents").select("doc_id", text.simhash64(F.col("text")).alias("simhash"))
 
 
+_REPEATED = "repeat(headline || ' ' || title || '!' || headline || '、' || headline, CAST(1 + article_id % 3 AS INT))"
+
+
+@query("f22_simhash_headlines", sql(_simhash_sql("article_id", f"d AS (SELECT article_id, {_REPEATED} AS text FROM articles)")))
+def simhash_headlines(spark, sf):
+    """Korean, Japanese, Spanish and English, with English and punctuation between."""
+    return articles(spark, sf).select("article_id", F.expr(_REPEATED).alias("text")).select("article_id", text.simhash64(F.col("text")).alias("simhash"))
+
+
 @query("f21_titles_alike")
 def titles_alike(spark, sf):
     """All titles of all documents; f21_similar_titles has the names of all parts, which SQL can follow."""

@@ -142,3 +142,11 @@ def quality(df: DataFrame, key: str, parent: DataFrame | None = None, parent_key
 def checksum(df: DataFrame) -> DataFrame:
     """One row: rows and an order-independent hash of the contents."""
     return df.agg(F.count("*").alias("n"), F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)")).alias("hash"))
+
+
+def digest(df: DataFrame, columns: list[str] | None = None, null: str = "-") -> DataFrame:
+    """One row: rows and an order-independent digest that any engine can tell: the sum, as text, of the first 12 hexadecimal digits of the
+    SHA-256 of each row's values, as text between bars, ``null`` for nulls."""
+    row = F.concat_ws("|", *(F.coalesce(F.col(c).cast("string"), F.lit(null)) for c in columns or df.columns))
+    first = F.conv(F.substring(F.sha2(row, 256), 1, 12), 16, 10).cast("decimal(38,0)")
+    return df.agg(F.count("*").alias("n"), F.coalesce(F.sum(first), F.lit(0).cast("decimal(38,0)")).cast("string").alias("digest"))
