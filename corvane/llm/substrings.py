@@ -299,7 +299,7 @@ def removed(docs: DataFrame, found: DataFrame, digest: bool = False) -> DataFram
             # words with a space behind, except the last of a row
             last = np.zeros(len(w), bool)
             row = w.row[keep]
-            last[keep[np.flatnonzero(np.r_[row[1:] != row[:-1], True])]] = True if len(keep) else False
+            last[keep[np.flatnonzero(np.r_[row[1:] != row[:-1], len(row) > 0])]] = True  # a slice may keep no word
             size = (w.end - w.start)[keep] + ~last[keep]
             to = np.cumsum(size)
             data = np.full(to[-1] if len(to) else 0, 0x20, np.uint8)
