@@ -18,6 +18,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a letter, or whose likeliest language has a probability under a half, go.
 
     Learns from the labelled documents but those of part 2 of 4; a missing ``lang`` is filled in, others stay.
+    Where none of these has a label there is no language to tell, and nothing is kept.
     """
     model = langid.fit(docs.where(F.coalesce(langid.part(4) != 2, F.lit(True))))
     told = langid.identify(docs, model).where((F.col("lang_pred") != "und") & (F.col("score") >= 0.5))
