@@ -138,3 +138,10 @@ def test_clusters_and_lags_are_the_operators_own(spark, small, monkeypatch):
     registry.queries()["a34_kmeans"](spark, small)
     registry.queries()["s6_causality"](spark, small)
     assert seen == [((), {}), ((), {})]
+
+
+def test_findings_have_all_leanings_of_half_a_percent(spark, small):
+    """Means between 0.005 and 0.05 are findings too."""
+    got = registry.queries()["m7_findings"](spark, small).collect()
+    assert sorted(r.module for r in got) == ["mood"] * 5 + ["names"] * 5
+    assert any(abs(r.magnitude) < 0.05 for r in got)
