@@ -65,6 +65,7 @@ CHUNK = 500
 
 def indexed(weights: DataFrame, key: str, vocabulary: int) -> tuple[list[str], DataFrame]:
     """The ``vocabulary`` heaviest terms, and ``KEY, at, w`` of each document: indexes and weights of its terms. Settled."""
+    weights = settle(weights)  # read twice
     heavy = weights.groupBy("term").agg(F.sum("weight").alias("all")).orderBy(F.desc(F.round("all", 9)), "term").limit(vocabulary)
     heavy = settle(heavy.withColumn("i", F.row_number().over(Window.orderBy("term")) - 1).select("term", "i"))  # at most the vocabulary
     docs = weights.join(heavy, "term").groupBy(key).agg(F.sort_array(F.collect_list(F.struct("i", "weight"))).alias("x"))  # a document's leading terms
