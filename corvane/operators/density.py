@@ -2,12 +2,14 @@
 
 Vectors are dealt to cells around pivots (a bounded sample), cells are cut into blocks of about ``BLOCK`` rows. What a block
 cannot hold nearer than what is known already is not compared: the distance of two pivots less the blocks' radii bounds the
-distance of their rows, so only pairs of blocks that the bound lets through meet, by one matrix product each.
+distance of their rows, so only pairs of blocks that the bound lets through meet, by one matrix product each. They meet in
+tasks of two tiles of blocks.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
@@ -20,6 +22,8 @@ from . import graph
 
 #: Rows of a block; pivots at the most.
 BLOCK, MOST_PIVOTS = 1000, 1024
+#: Blocks of a tile, about; a task holds two tiles. Tiles at the least, if there are as many blocks.
+TILE, LEAST_TILES = 32, 10
 #: Points whose tree one task condenses (24 bytes each); more raise.
 MOST_POINTS = 20_000_000
 #: Trees of an isolation forest, rows a tree sees, and rows that the trees draw from.
@@ -86,6 +90,21 @@ def _nearest(q: np.ndarray, v: np.ndarray, k: int, same: bool) -> tuple[np.ndarr
     return row, at, between(q[row], v[at])
 
 
+def _by_tiles(pairs: DataFrame, rows: DataFrame, work: Callable[[dict, list], pd.DataFrame], schema: str) -> DataFrame:
+    """``work`` on all ``pairs`` (``a, b``) of blocks, by pairs of tiles: a block's row is sent once to each pair of tiles that needs it, not once
+    for each pair. ``work`` takes the rows by block and its pairs. ``rows``: one a block, settled."""
+    n = rows.count()
+    tiles = max(1, min(n, max(LEAST_TILES, -(-n // TILE))))
+    a, b = (F.pmod(F.xxhash64(c), F.lit(tiles)).cast("int") for c in ("a", "b"))
+    pairs = settle(pairs.select("a", "b", F.least(a, b).alias("p"), F.greatest(a, b).alias("q")))
+    sent = rows.join(pairs.select(F.explode(F.array("a", "b")), "p", "q").distinct().toDF("block", "s", "t"), "block")
+
+    def run(blocks: pd.DataFrame, met: pd.DataFrame) -> pd.DataFrame:
+        return work({r["block"]: r for r in blocks.to_dict("records")}, list(zip(met["a"], met["b"], strict=True)))
+
+    return sent.groupBy("s", "t").cogroup(pairs.groupBy("p", "q")).applyInPandas(run, schema)
+
+
 def neighbours(of: DataFrame, k: int) -> DataFrame:
     """``id, other, distance, rank``: the ``k`` nearest of every row, exactly, from ``blocks``. Among equally far ones those of the own
     block come first. Settled."""
@@ -104,15 +123,21 @@ def neighbours(of: DataFrame, k: int) -> DataFrame:
     meta = told.select("block", "cell", "pivot", "lo", "hi", F.array_max("theta").alias("most"))
     pairs = meta.alias("a").join(meta.alias("b"), (F.col("a.block") == F.col("b.block")) | (_apart("a", "b") < F.col("a.most"))).select(F.col("a.block").alias("a"), F.col("b.block").alias("b"))  # a row a block, not a row a vector
 
-    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for a, b, ids, vs, theta, others, ws in pdf[["a", "b", "ids", "vs", "theta", "others", "ws"]].itertuples(index=False):
-                row, at, d = _nearest(np.array(vs.tolist()), np.array(ws.tolist()), k, a == b)
-                fits = (d < np.asarray(theta)[row]) | (a == b)
-                yield pd.DataFrame({"id": np.asarray(ids)[row[fits]], "other": np.asarray(others)[at[fits]], "distance": d[fits], "away": int(a != b)})
-
-    left, right = told.select(F.col("block").alias("a"), "ids", "vs", "theta"), told.select(F.col("block").alias("b"), F.col("ids").alias("others"), F.col("vs").alias("ws"))
-    met = settle(pairs).join(left, "a").join(right, "b").repartition("a", "b").mapInPandas(search, f"id {kind}, other {kind}, distance double, away int")
+    def search(rows: dict, met: list) -> pd.DataFrame:
+        vectors = {c: np.array(r["vs"].tolist()) for c, r in rows.items()}
+        out = []
+        for a, group in groupby(sorted(met), key=lambda x: x[0]):
+            theta, found = np.asarray(rows[a]["theta"]), []
+            for _, b in group:
+                row, at, d = _nearest(vectors[a], vectors[b], k, a == b)
+                fits = (d < theta[row]) | (a == b)
+                found.append(pd.DataFrame({"row": row[fits], "other": np.asarray(rows[b]["ids"])[at[fits]], "distance": d[fits], "away": int(a != b)}))
+            found = pd.concat(found).sort_values(["row", "distance", "away", "other"])
+            found = found[found.groupby("row").cumcount() < k]
+            out.append(found.assign(id=np.asarray(rows[a]["ids"])[found["row"].to_numpy()])[["id", "other", "distance", "away"]])
+        return pd.concat(out)
+
+    met = _by_tiles(pairs, told.select("block", "ids", "vs", "theta"), search, f"id {kind}, other {kind}, distance double, away int")
     order = Window.partitionBy("id").orderBy("distance", "away", "other")
     return settle(met.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("id", "other", "distance", "rank"))
 
@@ -175,24 +200,25 @@ def spanning_tree(of: DataFrame, near: DataFrame, samples: int) -> DataFrame:
         here = settle(here.groupBy("block").agg(F.collect_list(F.struct("id", "v", "core", "c", "bound")).alias("p"), F.max("bound").alias("most"), F.min("core").alias("core"), F.min("c").alias("c0"), F.max("c").alias("c1")))
         m = here.select("block", "most", "core", "c0", "c1").join(meta, "block")
         may = (F.col("a.block") <= F.col("b.block")) & (F.greatest(_apart("a", "b"), F.col("a.core"), F.col("b.core")) <= F.greatest("a.most", "b.most")) & ~((F.col("a.c0") == F.col("a.c1")) & (F.col("b.c0") == F.col("b.c1")) & (F.col("a.c0") == F.col("b.c0")))
-        pairs = settle(m.alias("a").join(m.alias("b"), may).select(F.col("a.block").alias("a"), F.col("b.block").alias("b")))  # rows are blocks
-
-        def lightest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for pdf in batches:
-                for p, q in pdf[["p", "q"]].itertuples(index=False):
-                    (i, v, e, c, s), (j, u, f, d, t) = (tuple(np.array([r[k] for r in rows]) for k in ("id", "v", "core", "c", "bound")) for rows in (p, q))
-                    w = np.maximum(np.maximum(_rough(v, u), e[:, None]), f[None, :])
-                    w[c[:, None] == d[None, :]] = np.inf
-                    # of each row and column what is least, but for rounding, and not beyond what its component has
-                    fits = ((w <= w.min(axis=1, keepdims=True) + 1e-9) & (w <= s[:, None] + 1e-9)) | ((w <= w.min(axis=0, keepdims=True) + 1e-9) & (w <= t[None, :] + 1e-9))
-                    row, col = np.nonzero(fits & np.isfinite(w))
-                    exact = np.maximum(np.maximum(between(v[row], u[col]), e[row]), f[col])
-                    lo, hi = np.minimum(i[row], j[col]), np.maximum(i[row], j[col])
-                    both = pd.DataFrame({"c": np.r_[c[row], d[col]], "w": np.r_[exact, exact], "x": np.r_[lo, lo], "y": np.r_[hi, hi], "o": np.r_[d[col], c[row]]})
-                    yield both.sort_values(["c", "w", "x", "y"]).drop_duplicates("c")
-
-        met = pairs.join(here.select(F.col("block").alias("a"), "p"), "a").join(here.select(F.col("block").alias("b"), F.col("p").alias("q")), "b").repartition("a", "b")
-        more = met.mapInPandas(lightest, f"c {kind}, w double, x {kind}, y {kind}, o {kind}").select("c", F.struct("w", "x", "y", "o").alias("m"))
+        pairs = m.alias("a").join(m.alias("b"), may).select(F.col("a.block").alias("a"), F.col("b.block").alias("b"))  # rows are blocks
+
+        def lightest(rows: dict, met: list) -> pd.DataFrame:
+            sides = {b: tuple(np.array([x[k] for x in r["p"]]) for k in ("id", "v", "core", "c", "bound")) for b, r in rows.items()}
+            out = []
+            for p, q in met:
+                (i, v, e, c, s), (j, u, f, d, t) = sides[p], sides[q]
+                w = np.maximum(np.maximum(_rough(v, u), e[:, None]), f[None, :])
+                w[c[:, None] == d[None, :]] = np.inf
+                # of each row and column what is least, but for rounding, and not beyond what its component has
+                fits = ((w <= w.min(axis=1, keepdims=True) + 1e-9) & (w <= s[:, None] + 1e-9)) | ((w <= w.min(axis=0, keepdims=True) + 1e-9) & (w <= t[None, :] + 1e-9))
+                row, col = np.nonzero(fits & np.isfinite(w))
+                exact = np.maximum(np.maximum(between(v[row], u[col]), e[row]), f[col])
+                lo, hi = np.minimum(i[row], j[col]), np.maximum(i[row], j[col])
+                both = pd.DataFrame({"c": np.r_[c[row], d[col]], "w": np.r_[exact, exact], "x": np.r_[lo, lo], "y": np.r_[hi, hi], "o": np.r_[d[col], c[row]]})
+                out.append(both.sort_values(["c", "w", "x", "y"]).drop_duplicates("c"))
+            return pd.concat(out).sort_values(["c", "w", "x", "y"]).drop_duplicates("c")
+
+        more = _by_tiles(pairs, here.select("block", "p"), lightest, f"c {kind}, w double, x {kind}, y {kind}, o {kind}").select("c", F.struct("w", "x", "y", "o").alias("m"))
         best = settle(found.unionByName(more).groupBy("c").agg(F.min("m").alias("m")).select("c", "m.*"))
         if best.isEmpty():
             break

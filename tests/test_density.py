@@ -193,3 +193,20 @@ def test_outliers(spark):
     told = {r.topic_id: r for r in density.topic_outliers(density.outliers(frame(spark, x)), topics).collect()}
     assert told[7].n == 2 and told[8].ood_max == told[8].ood_mean == rows[120].ood_score
     assert {r.ood_score for r in density.outliers(frame(spark, x[:20])).collect()} == {0.0}
+
+
+def test_blocks_go_once_to_each_pair_of_tiles(spark):
+    """Not once for each pair of blocks; every pair is met once."""
+    import pandas as pd
+
+    n = 40
+    rows = spark.createDataFrame([(f"{i}", i) for i in range(n)], "block string, v int")
+    pairs = spark.createDataFrame([(f"{i}", f"{j}") for i in range(n) for j in range(n)], "a string, b string")
+
+    def work(blocks, met):
+        return pd.DataFrame({"a": [a for a, _ in met], "b": [b for _, b in met], "sent": [len(blocks)] + [0] * (len(met) - 1), "v": [blocks[a]["v"] * 1000 + blocks[b]["v"] for a, b in met]})
+
+    got = density._by_tiles(pairs, rows, work, "a string, b string, sent int, v int").collect()
+    assert sorted((r.a, r.b) for r in got) == sorted((f"{i}", f"{j}") for i in range(n) for j in range(n))
+    assert all(r.v == int(r.a) * 1000 + int(r.b) for r in got)
+    assert n < sum(r.sent for r in got) <= n * density.LEAST_TILES
