@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -56,15 +58,48 @@ def credibility(articles: DataFrame, singles: bool = False) -> DataFrame:
     return claims.groupBy("source").agg(F.count("*").alias("claims"), F.sum(F.col("shared").cast("int")).alias("corroborated")).withColumn("credibility", F.col("corroborated") / F.col("claims"))
 
 
-def information_flow(articles: DataFrame, similar: Column, hours: int = 24) -> DataFrame:
+def information_flow(articles: DataFrame, similar: Column | None = None, hours: int = 24, same: list[str] | None = None) -> DataFrame:
     """``src, dst, weight``: how often ``dst`` follows ``src`` on a topic within ``hours`` with a similar article.
 
     ``similar`` is a predicate over the sides ``a`` (earlier) and ``b``. A band join: articles meet by topic and time
-    bucket (their own and the one before), not all articles of a topic.
+    bucket (their own and the one before), not all articles of a topic. Where articles are similar if they are equal in the columns
+    ``same``, pairs are counted and not made.
     """
+    if similar is None:
+        return _flow_counts(articles, hours * 3600, same or [])
     bucket = F.floor(F.unix_timestamp("published_at") / (hours * 3600))
     b = articles.where("topic_id >= 0").withColumn("bucket", bucket).alias("b")
     a = articles.where("topic_id >= 0").withColumn("bucket", F.explode(F.array(bucket, bucket + 1))).alias("a")
     near = (F.col("a.topic_id") == F.col("b.topic_id")) & (F.col("a.bucket") == F.col("b.bucket")) & (F.col("a.source") != F.col("b.source"))
     later = (F.col("a.published_at") < F.col("b.published_at")) & (F.unix_timestamp("b.published_at") - F.unix_timestamp("a.published_at") <= hours * 3600)
     return a.join(b, near & later & similar).groupBy(F.col("a.source").alias("src"), F.col("b.source").alias("dst")).agg(F.count("*").alias("weight"))
+def _flow_counts(articles: DataFrame, reach: int, same: list[str]) -> DataFrame:
+    """Each article counts the earlier ones of every other source by places in sorted times."""
+    known = F.col("topic_id") >= 0
+    for c in ("source", "published_at", *same):
+        known = known & F.col(c).isNotNull()
+    keys = [F.col(c).alias(f"same_{i}") for i, c in enumerate(same)]
+    at = F.col("published_at").cast("timestamp")
+    n = articles.where(known).select("topic_id", *keys, "source", F.unix_timestamp(at).alias("s"), F.unix_micros(at).alias("t")).groupBy("topic_id", *(f"same_{i}" for i in range(len(same))), "source", "s", "t").agg(F.count("*").alias("n"))
+    bucket = F.floor(F.col("s") / reach)
+    sides = F.array(F.struct(bucket.alias("bucket"), F.lit(True).alias("own")), F.struct((bucket + 1).alias("bucket"), F.lit(False).alias("own")))
+    dealt = n.withColumn("k", F.explode(sides)).select("*", "k.*").drop("k")
+
+    def work(g: pd.DataFrame) -> pd.DataFrame:
+        g = g.sort_values("t")
+        out = []
+        later = {x: (p["s"].to_numpy(), p["t"].to_numpy(), p["n"].to_numpy()) for x, p in g[g["own"]].groupby("source")}
+        for src, p in g.groupby("source"):
+            s, t, sums = p["s"].to_numpy(), p["t"].to_numpy(), np.r_[0, np.cumsum(p["n"].to_numpy())]
+            for dst, (bs, bt, m) in later.items():
+                if src != dst:
+                    many = int(((sums[np.searchsorted(t, bt)] - sums[np.searchsorted(s, bs - reach)]) * m).sum())
+                    if many:
+                        out.append((src, dst, many))
+        return pd.DataFrame(out, columns=["src", "dst", "weight"])
+
+    kind = articles.schema["source"].dataType.simpleString()
+    found = dealt.groupBy("topic_id", "bucket", *(f"same_{i}" for i in range(len(same)))).applyInPandas(work, f"src {kind}, dst {kind}, weight long")
+    return found.groupBy("src", "dst").agg(F.sum("weight").alias("weight"))
+
+

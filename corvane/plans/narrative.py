@@ -70,7 +70,7 @@ f AS (SELECT a.source AS src, b.source AS dst, count(*) AS weight FROM articles
 
 @query("m2_information_flow", sql(_FLOW + " SELECT * FROM f"))
 def flow(spark, sf):
-    return N.information_flow(articles(spark, sf).select("topic_id", "source", "published_at", "title"), F.col("a.title") == F.col("b.title"))
+    return N.information_flow(articles(spark, sf).select("topic_id", "source", "published_at", "title"), same=["title"])
 
 
 _M = """

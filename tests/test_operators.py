@@ -146,6 +146,16 @@ def test_flow_crosses_buckets(spark):
     assert [tuple(r) for r in narrative.information_flow(a, F.lit(True)).collect()] == [("x", "y", 1)]
 
 
+def test_flow_of_equal_titles_is_counted_without_pairs(spark):
+    t = lambda s: datetime.datetime(2024, 1, 1) + datetime.timedelta(seconds=s, microseconds=s % 7)
+    rows = [(i % 3 - 1, None if i % 41 == 0 else f"s{i * 7 % 4}", None if i % 37 == 0 else t(i * 7919 % 200 * 2160), None if i % 43 == 0 else f"t{i % 2}") for i in range(400)]
+    a = spark.createDataFrame(rows, "topic_id int, source string, published_at timestamp, title string")
+    want = {(r.src, r.dst): r.weight for r in narrative.information_flow(a, F.col("a.title") == F.col("b.title")).collect()}
+    counted = narrative.information_flow(a, same=["title"])
+    assert {(r.src, r.dst): r.weight for r in counted.collect()} == want and len(want) == 4
+    assert "Join" not in counted._jdf.queryExecution().executedPlan().toString()
+
+
 def test_portfolio(spark):
     day = datetime.date(2024, 1, 30)
     rows = [("a", day - datetime.timedelta(i)) for i in range(8)] + [("b", day - datetime.timedelta(i)) for i in range(3)] + [("c", day)] + [("d", day - datetime.timedelta(20))]
