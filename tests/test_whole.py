@@ -36,6 +36,39 @@ def test_alike_titles_are_all_found(spark, monkeypatch):
     assert len(want) > 100 and len(got) == len(set(got)) and set(got) == want
 
 
+def test_long_titles_meet_by_hashes(spark):
+    """Lines of 40,000 characters: before, each of 12,000 beginnings was a row with the whole title (0.5 GB a title), and each word one too."""
+    rng = random.Random(5)
+    longs = [" ".join("".join(rng.choices("abcdeghilmnorst", k=6)) for _ in range(5700)) for _ in range(3)]
+    forms = [*longs, longs[0][:36_000], "z" + longs[1][1:]]
+    t = spark.createDataFrame([(f,) for f in forms], "form string").select(F.xxhash64("form").alias("id"), "form")
+    assert titles._by_words(t, 0.8).columns == titles._by_prefix(t).columns == ["i", "j"]
+    got = {tuple(r) for r in titles.alike(t.select("form")).collect()}
+    assert got == {tuple(sorted(p)) for p in ((forms[0], forms[3]), (forms[1], forms[4]))}
+
+
+def test_pieces_never_exceed_the_distance():
+    """What is left out is further apart: against edit distance in full."""
+    rng = random.Random(1)
+
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            new = [i]
+            for k, y in enumerate(b, 1):
+                new.append(min(row[k] + 1, new[-1] + 1, row[k - 1] + (x != y)))
+            row = new
+        return row[-1]
+
+    a, b = [], []
+    for n in (1, 3, 20, 63, 64, 65, 130, 200) * 4:
+        a.append("".join(rng.choices("abc ", k=n)))
+        b.append("".join(c if rng.random() > 0.2 else rng.choice(["", "x", c + "y"]) for c in a[-1]) or "x")
+    i, j = (x.ravel() for x in np.meshgrid(range(len(a)), range(0, len(a), 4), indexing="ij"))
+    d = np.array([distance(a[x], b[y]) for x, y in zip(i, j, strict=True)])
+    assert len(titles._within(a, b, i, j, d)[0]) == len(i) and len(titles._within(a, b, i, j, d // 2)[0]) < len(i) / 2
+
+
 def test_titles_of_all_documents(spark, small):
     first = F.regexp_extract("text", "^[^\n]*", 0)
     forms = [r[0] for r in table(spark, small, "documents").select(text.title_form(first)).collect()]
