@@ -267,3 +267,24 @@ def test_checks(spark):
 
 def test_entries_are_registered():
     assert network.louvain and network.breakers
+
+
+def test_alike_pairs_are_made_inside_runs(spark, monkeypatch):
+    """No join makes rows of pairs, and pairs across the ends of runs are there; nulls and vectors of another length meet nothing."""
+    rows = [(i % 2, i, f"s{i % 3}" if i % 11 else None, "t", [1.0, float(i % 5)] if i % 7 else [[1.0], None][i % 2]) for i in range(120)]
+    df = spark.createDataFrame(rows, "topic_id int, article_id long, source string, text string, embedding array<double>")
+    want = set()
+    for topic in (0, 1):
+        own = [r for r in rows if r[0] == topic]
+        for n, x in enumerate(own):
+            for y in own[n + 1 : n + 5]:
+                if x[2] and y[2] and x[2] != y[2] and x[4] and y[4] and len(x[4]) == len(y[4]):
+                    u, v = np.array(x[4]), np.array(y[4])
+                    if u @ v / np.linalg.norm(u) / np.linalg.norm(v) >= 0.6:
+                        want.add((topic, x[1], y[1]))
+    for run in (6, 5000):
+        monkeypatch.setattr(features, "RUN", run)
+        out = features.alike_but_opposed(df, reach=5)
+        assert "Join" not in out._jdf.queryExecution().executedPlan().toString()
+        got = [(r.topic_id, r.a, r.b) for r in out.collect()]
+        assert len(got) == len(set(got)) and set(got) == want
