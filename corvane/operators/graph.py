@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import itertools
+from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType
 
 from ..sources.tables import settle
 
@@ -50,9 +54,61 @@ def pagerank(edges: DataFrame, damping: float = 0.85, rounds: int = 100, toleran
     return new.select("node", "rank")
 
 
+#: Edges that a task unites at once; a longer partition is united piece by piece.
+AT_ONCE = 1_000_000
+
+
+def roots(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
+    """For each of the nodes 0 to n - 1 the smallest node of its component under the edges ``a, b``."""
+    up = np.arange(n)
+    while len(a):
+        a, b = up[a], up[b]
+        apart = a != b
+        a, b = a[apart], b[apart]
+        np.minimum.at(up, np.maximum(a, b), np.minimum(a, b))
+        while not np.array_equal(further := up[up], up):
+            up = further
+    return up
+
+
+def forest(edges: DataFrame) -> DataFrame:
+    """Edges ``a, b`` of one atomic type, without nulls, with the same nodes and components: each task unites its own, ``AT_ONCE`` at a time, and
+    passes on one edge for each of their nodes, to a node of its component (itself if it has no other)."""
+
+    def united(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+        ends = pa.chunked_array([b.column(i) for i in (0, 1) for b in batches]).combine_chunks().dictionary_encode()
+        at, names = ends.indices.to_numpy(zero_copy_only=False), ends.dictionary
+        up = roots(at[: len(at) // 2], at[len(at) // 2 :], len(names))
+        node = np.flatnonzero((up != np.arange(len(up))) | (np.bincount(up, minlength=len(up)) == 1))
+        return pa.RecordBatch.from_arrays([names.take(pa.array(node)), names.take(pa.array(up[node]))], schema=batches[0].schema)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        some: list[pa.RecordBatch] = []
+        for b in batches:
+            some.append(b)
+            if sum(x.num_rows for x in some) >= AT_ONCE:
+                yield united(some)
+                some = []
+        if sum(x.num_rows for x in some):
+            yield united(some)
+
+    return edges.mapInArrow(work, edges.schema)
+
+
 def components(edges: DataFrame, rounds: int = 200) -> DataFrame:
-    """``node, component`` (its smallest node) of undirected edges ``a, b``: labels move along edges and then jump to their own label's."""
-    both = settle(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    """``node, component`` (its smallest node) of undirected edges ``a, b``: labels move along edges and then jump to their own label's.
+
+    Tasks first unite the edges they have, so that the rounds go over few edges for each node where many are near each other. Edges may be
+    repeated; those with a null link nothing.
+    """
+    e = edges.select("a", "b").where("a is not null and b is not null")
+    both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    if isinstance(kind := both.schema["a"].dataType, AtomicType):
+        e = settle(forest(e.select(F.col("a").cast(kind).alias("a"), F.col("b").cast(kind).alias("b"))))
+        both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    else:
+        both = both.distinct()
+    both = settle(both)
     labels = settle(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("component")))
     for _ in range(rounds):
         near = both.join(labels, both.b == labels.node).groupBy(F.col("a").alias("n")).agg(F.min("component").alias("m"))
