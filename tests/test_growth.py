@@ -1,10 +1,13 @@
 """Steps whose memory or time grew with all rows: what they pass on, and that results stay the same."""
 
+import hashlib
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from corvane.functions import text
 from corvane.operators import graph
 
 
@@ -55,3 +58,41 @@ def test_components_of_pieces(spark, monkeypatch, kind):
 def test_components_of_no_edges(spark):
     assert graph.components(spark.createDataFrame([], "a long, b int")).count() == 0
     assert graph.components(spark.createDataFrame([(1, None)], "a long, b int")).count() == 0
+
+
+def _simhash(texts):
+    """What the fingerprint is, for plain lower case words and for characters."""
+    out = []
+    for t, by_characters in texts:
+        w = t.split()
+        c = "".join(w)
+        grams = [c[i : i + 2] for i in range(len(c) - 1)] if by_characters else [" ".join(w[i : i + 3]) for i in range(len(w) - 2)] if len(w) >= 3 else w
+        sums = [0] * 64
+        for g in grams:
+            h = int.from_bytes(hashlib.sha256(g.encode()).digest()[:8], "big")
+            for i in range(64):
+                sums[i] += 1 if h >> i & 1 else -1
+        v = sum(1 << i for i in range(64) if sums[i] > 0)
+        out.append(v - (1 << 64) if v >> 63 else v)
+    return out
+
+
+def test_fingerprints_over_arrow_batches(spark):
+    """Words, characters, few words, no words, very many grams, and scripts that share letters of both kinds."""
+    rng = random.Random(5)
+    many = " ".join(rng.choices(["a", "bc", "déf", "ghij", "klm"], k=70_000))
+    plain = [(many, False), ("x" * 60, False), ("ab " * 20 + "ñandú", False), ("반도체 수출이 크게 늘어 경제가 성장했다 " * 3, True), ("𠀀漢字かな交じり文 " * 8, True), ("latin letters and only some 漢字 here, as in most of this text".replace(",", ""), False), ("one\ttwo\nthree\x0bfour\x0cfive\rsix " * 4, False)]
+    odd = [("!?…" * 30, 0), (None, None), ("short", 0), ("", 0), ("ONE, two;  THREE four! " * 5, _simhash([("one two three four " * 5, False)])[0])]
+    rows = [(i, t) for i, (t, _) in enumerate([*plain, *odd])]
+    df = spark.createDataFrame(rows, "i int, t string").select("i", text.simhash64(F.col("t")).alias("s"))
+    assert {r.i: r.s for r in df.collect()} == dict(enumerate([*_simhash(plain), *(x for _, x in odd)]))
+    said = df._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in said and "transform" not in said and "aggregate(" not in said
+
+
+def test_letters_are_those_of_java(spark):
+    """Python and Java agree on which characters that a fingerprint keeps are letters, but for three of Han that Java 17 does not know yet."""
+    df = spark.createDataFrame(pa.table({"id": (ids := [i for i in range(0x110000) if not 0xD800 <= i <= 0xDFFF]), "c": [chr(i) for i in ids]}))
+    df = df.where(F.col("c").rlike(r"^[\p{L}\p{N}_\s\x{3001}-\x{9FFF}\x{AC00}-\x{D7AF}]$")).select("id", "c", F.col("c").rlike(r"^\p{L}$").alias("letter"))
+    ids, _, letters = df.toArrow().to_pydict().values()
+    assert len(ids) > 100_000 and {i for i, letter in zip(ids, letters, strict=True) if letter != chr(i).isalpha()} <= {0x9FFD, 0x9FFE, 0x9FFF}
