@@ -96,3 +96,31 @@ def test_letters_are_those_of_java(spark):
     df = df.where(F.col("c").rlike(r"^[\p{L}\p{N}_\s\x{3001}-\x{9FFF}\x{AC00}-\x{D7AF}]$")).select("id", "c", F.col("c").rlike(r"^\p{L}$").alias("letter"))
     ids, _, letters = df.toArrow().to_pydict().values()
     assert len(ids) > 100_000 and {i for i, letter in zip(ids, letters, strict=True) if letter != chr(i).isalpha()} <= {0x9FFD, 0x9FFE, 0x9FFF}
+
+
+OLD_SCORES = r"\b\d{1,3}\s*[-:]\s*\d{1,3}\b|(?:win|loss|defeat|beat|scored)\b|(?:승리|패배|득점|무승부|승|패)\b|(?:シュート|得点|勝|敗|引き分け)\b|(?:ganó|perdió|empate|gol)\b"
+OLD_CLOSING = r"(?:마감|종가|종합지수|코스피|코스닥|나스닥|다우)|(?:close[sd]|closing|market\s+wrap)|(?:\+|-)\s*\d+\.?\d*\s*%|(?:포인트|bp|bps)\s+(?:상승|하락|올랐|내렸)"
+
+
+def test_noise_rules_are_those_of_one_pattern_each(spark):
+    """Against the patterns as one each, over texts of pieces of their words in all cases; rules are not tried where nothing begins."""
+    rng = random.Random(6)
+    words = [*"win loss defeat beat scored ganó perdió empate gol closes closed closing market wrap bp bps 승리 패배 득점 무승부 승 패 シュート 得点 勝 敗 引き分け 마감 종가 종합지수 코스피 코스닥 나스닥 다우 포인트 상승 하락 올랐 내렸".split(), "3:1", "12 - 7", "-2.5 %", "+3%", "٣:٤", "ſcored", "wın", "WİN", "marKet  wrap", "cloſed"]
+    pieces = [*words, *(w[:-1] for w in words), *(w.upper() for w in words), *(w.title() for w in words), "é", "x", "_", "7", "%", "-", ":", ".", "\n", "\u00a0", "\u3000", "\u2028"]
+    rows = [(i, "".join(rng.choice(pieces) + rng.choice(["", " ", "  ", "의", "s"]) for _ in range(rng.randrange(1, 4))), "") for i in range(3000)]
+    rows += [(i + 3000, w, rng.choice(["", None, " a"])) for i, w in enumerate(pieces)]
+    df = spark.createDataFrame(rows, "i int, t string, b string")
+    got = df.select(text.noise(F.col("t"), F.col("b"), F.lit("FULL")).alias("n"), "t", "b")
+    both = F.concat_ws(" ", "t", F.substring("b", 1, 500))
+    hit = lambda c, p: F.when(c.rlike(f"(?iU){p}"), 1).otherwise(0)
+    short = (F.length(F.trim("t")) < 15) & (F.length(F.regexp_replace(F.trim("t"), "[^0-9]", "")) > 0.4 * F.length(F.trim("t")))
+    n = F.length(F.trim("b"))
+    want = 0.35 * hit(both, OLD_SCORES) + 0.30 * hit(both, OLD_CLOSING) + 0.40 * hit(F.col("t"), text.WEATHER) + 0.35 * hit(F.col("t"), text.NOTICES) + F.when(short, 0.25).otherwise(0) + F.when(n < 150, 0.45).when(n < 400, 0.2).otherwise(0)
+    said = got.withColumn("w", F.least(want, F.lit(1.0))).collect()
+    assert [(r.t, r.b, r.n, r.w) for r in said if abs(r.n - r.w) > 1e-9] == [] and len({round(r.n, 6) for r in said}) > 5
+    assert "(?=[" in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_letters_that_java_takes_for_those_that_words_begin_with(spark):
+    df = spark.createDataFrame(pa.table({"c": [chr(i) for i in range(0x20, 0x110000) if not 0xD800 <= i <= 0xDFFF]}))
+    assert {r.c for r in df.where(F.col("c").rlike("(?iU)^[wldbgpescoaim]$")).collect()} == set("wldbgpescoaimWLDBGPESCOAIM\u017f\u0130\u0131")
