@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corvane.functions import text
-from corvane.operators import graph
+from corvane.operators import entities, graph
 
 
 def _union(edges):
@@ -124,3 +124,34 @@ def test_noise_rules_are_those_of_one_pattern_each(spark):
 def test_letters_that_java_takes_for_those_that_words_begin_with(spark):
     df = spark.createDataFrame(pa.table({"c": [chr(i) for i in range(0x20, 0x110000) if not 0xD800 <= i <= 0xDFFF]}))
     assert {r.c for r in df.where(F.col("c").rlike("(?iU)^[wldbgpescoaim]$")).collect()} == set("wldbgpescoaimWLDBGPESCOAIM\u017f\u0130\u0131")
+
+
+def test_profiles_make_groups_before_anything_is_sorted(spark):
+    """Against sums in Python, with nulls; mentions are neither sorted nor repeated below the first exchange."""
+    rng = random.Random(7)
+    some = lambda *x: rng.choice([*x, None])
+    rows = [(some(*range(400)), some(-0.5, -0.1, 0.0, 0.1, 0.7) if i % 5 else None, some(1, 2, 3), some("s", "t"), [some("a", "b", "c"), some("d", "e")], [some("a", "d"), f"o{i % 40}"] if i % 7 else None) for i in range(600)]
+    rows += [(i, None, None, None, ["quiet"], []) for i in range(12)]
+    df = spark.createDataFrame(rows, "article_id long, sentiment_score double, topic_id int, source string, entities_person array<string>, entities_org array<string>").repartition(3)
+    found = entities.profiles(df)
+    m = {}
+    for a, s, t, o, p, g in rows:
+        for kind, names in (("person", p), ("org", g)):
+            for e in names or []:
+                if e is not None:
+                    m.setdefault(e, []).append((a, s, t, o, kind))
+    want = {}
+    for e, x in m.items():
+        s, n = [y[1] for y in x if y[1] is not None], len(x)
+        share = lambda f: sum(map(f, s)) / len(s) if s else None  # noqa: B023, E731
+        first = min((y[0] is not None, y[0] or 0, y[4]) for y in x)
+        want[e] = (n, share(float), share(lambda v: v < -0.1), share(lambda v: v > 0.1), len({y[2] for y in x} - {None}), len({y[3] for y in x} - {None}), first[2])
+    want = {e: v for e, v in want.items() if v[0] >= 10}
+    got = {r.entity: tuple(r)[1:] for r in found.collect()}
+    assert set(got) == set(want) and "quiet" in got
+    for e, v in want.items():
+        assert all(x == y or abs(x - y) < 1e-9 for x, y in zip(got[e], v, strict=True)), e
+    lines = found._jdf.queryExecution().sparkPlan().toString().split("\n")
+    at = next(i for i, x in enumerate(lines) if "Generate" in x)
+    below = lines[max(i for i, x in enumerate(lines[:at]) if "Aggregate" in x) : at]
+    assert not any("Expand" in x or "SortAggregate" in x for x in below) and any("HashAggregate" in x for x in below)
