@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from corvane.functions import text
@@ -69,6 +70,49 @@ def test_pieces_never_exceed_the_distance():
     assert len(titles._within(a, b, i, j, d)[0]) == len(i) and len(titles._within(a, b, i, j, d // 2)[0]) < len(i) / 2
 
 
+def _distance(a, b):
+    """Edit distance by Myers' bits over the whole of ``a``."""
+    full, top, score = (1 << len(a)) - 1, 1 << (len(a) - 1), len(a)
+    up, down, at = full, 0, {}
+    for i, c in enumerate(a):
+        at[c] = at.get(c, 0) | 1 << i
+    for c in b:
+        same = at.get(c, 0)
+        v, h = same | down, (((same & up) + up) ^ up) | same
+        more, less = down | ~(h | up) & full, up & h
+        score += bool(more & top) - bool(less & top)
+        more, less = (more << 1 | 1) & full, (less << 1) & full
+        up, down = less | ~(v | more) & full, more & v
+    return score
+
+
+def test_tiles_lose_no_title_of_any_length(monkeypatch):
+    """Trigrams, characters, and characters in steps: each pair within a fifth of edits is left, whichever way its length goes; few others are."""
+    monkeypatch.setattr(titles, "STEPS", 300)
+    monkeypatch.setattr(titles, "ROWS", 30)
+    rng = random.Random(8)
+    for n in (40, 105, 150, 250, 450, 900):
+        made = ["".join(rng.choices("abcdeghilmnorst ", weights=[9, 2, 2, 3, 12, 2, 2, 8, 4, 2, 7, 7, 6, 6, 9, 15], k=n + rng.randint(0, n // 10))) for _ in range(12)]
+        forms = list({f for m in made for f in [m, *("".join(c if rng.random() > share else rng.choice(["", "e", c + "t"]) for c in m) for share in (0.1, 0.2, 0.26, 0.3)), m[n // 8 :], "re " * (n // 20) + m]})
+        d = {(i, j): _distance(a, b) < 0.2 * max(len(a), len(b)) for i, a in enumerate(forms) for j, b in enumerate(forms) if i != j}
+        half = len(forms) // 2
+        for s, t in ((1, 0), (0, 1)):  # two tiles, and one with itself
+            g = pd.DataFrame({"id": range(len(forms)), "form": forms, "s": [0] * half + [s] * (len(forms) - half), "t": 0, "s1": 0, "t1": 0, "s2": s, "t2": 0})
+            got = {tuple(sorted(p)) for p in zip(*(titles._tile(g, 0.2)[c] for c in "ij"), strict=True)}
+            want = {(i, j) for (i, j), near in d.items() if near and i < j and (t or (i < half) != (j < half))}
+            assert want <= got and len(got) < len(want) + len(d) / 20, n
+
+
+def test_pieces_of_strangers_are_few(monkeypatch):
+    """Before, a piece met all that is within the edits on either side, 1,664 columns instead of 865."""
+    rng, met = random.Random(9), []
+    a, b = (["".join(rng.choices("abcdeghilmnorst ", k=4000)) for _ in range(n)] for n in (10, 30))
+    i, j = (x.ravel() for x in np.meshgrid(range(10), range(30), indexing="ij"))
+    near = titles._near
+    monkeypatch.setattr(titles, "_near", lambda *x: met.append(x[0].shape[0] * len(x[4]) * (64 + x[-1])) or near(*x))
+    assert len(titles._within(a, b, i, j, np.full(300, 800))[0]) == 0 and 0 < sum(met) < 300 * 30 * 870
+
+
 def test_titles_of_all_documents(spark, small):
     first = F.regexp_extract("text", "^[^\n]*", 0)
     forms = [r[0] for r in table(spark, small, "documents").select(text.title_form(first)).collect()]
