@@ -2,7 +2,8 @@
 
 A row of the model is a term with its weight in each topic; the driver has sums over all terms only. Documents go in blocks; each
 block meets the rows of its own terms, so that neither tasks nor driver hold a vocabulary. The start of a term comes from its hash and is made
-where it is needed. Terms are told apart by 64-bit hashes.
+where it is needed. Terms are told apart by 64-bit hashes. Of a round only a row for each of
+its terms stays on disk, and only until later ones are added to it.
 """
 
 from __future__ import annotations
@@ -16,10 +17,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.tables import settle
+from ..sources.tables import drop, settle
 
-#: Documents in a block, at most about, and in a batch of few blocks; tables of sums that are kept apart before they are added up.
-SIZE, FEW, APART = 2000, 250, 4
+#: Documents in a block, at most about, and in a batch of few blocks; tables of sums that are kept apart before they are added up; batches that
+#: meet the whole model at once.
+SIZE, FEW, APART, TOGETHER = 2000, 250, 4, 4
 # How fast a round's weight falls, as Spark's online optimiser has it.
 TAU, KAPPA = 1024, 0.51
 
@@ -80,6 +82,17 @@ def infer(counts: np.ndarray, beta: np.ndarray, alpha: np.ndarray) -> tuple[np.n
         gamma = far if leap > 1 and (far >= alpha).all() else two
 
 
+def _kept(df: DataFrame) -> DataFrame:
+    """``df`` settled; what it shuffled is of no use after that and goes from the executors' disks."""
+    conf, name = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(name)
+    conf.set(name, "true")
+    try:
+        return settle(df)
+    finally:
+        conf.set(name, before)
+
+
 def counted(docs: DataFrame, words: Column, key: str, rounds: int, seed: int) -> DataFrame:
     """``KEY, batch, block, ids, counts``: the terms of each document as hashes. Every document is in one batch, each batch in blocks. Settled."""
     kind = docs.schema[key].dataType.simpleString()
@@ -98,7 +111,7 @@ def counted(docs: DataFrame, words: Column, key: str, rounds: int, seed: int) ->
     place = F.xxhash64(F.col(key), F.lit(seed))
     batch = F.pmod(place, F.lit(rounds)).cast("int")
     rows = docs.select(key, batch.alias("batch"), (batch * blocks + F.pmod(F.shiftright(place, 20), F.lit(blocks))).cast("long").alias("block"), F.transform(words, lambda w: F.xxhash64(w)).alias("h"))
-    return settle(rows.mapInArrow(work, f"{key} {kind}, batch int, block long, ids array<bigint>, counts array<int>").repartitionByRange("batch", "block").sortWithinPartitions("batch"))
+    return _kept(rows.mapInArrow(work, f"{key} {kind}, batch int, block long, ids array<bigint>, counts array<int>").repartitionByRange("batch", "block").sortWithinPartitions("batch"))
 
 
 def topics(docs: DataFrame, words: Column, k: int, key: str, least: int = 2, most: float = 0.95, rounds: int = 20, seed: int = 42) -> DataFrame:
@@ -106,7 +119,7 @@ def topics(docs: DataFrame, words: Column, k: int, key: str, least: int = 2, mos
     kind, names = docs.schema[key].dataType.simpleString(), [f"s{i}" for i in range(k)]
     d = counted(docs, words, key, rounds, seed)
     n = d.count()
-    vocabulary = settle(d.select(F.explode("ids").alias("id")).groupBy("id").agg(F.count("*").alias("df")).where((F.col("df") >= least) & (F.col("df") <= most * n)).select("id"))
+    vocabulary = _kept(d.select(F.explode("ids").alias("id")).groupBy("id").agg(F.count("*").alias("df")).where((F.col("df") >= least) & (F.col("df") <= most * n)).select("id"))
 
     def begin(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -117,7 +130,7 @@ def topics(docs: DataFrame, words: Column, k: int, key: str, least: int = 2, mos
     size, *first = vocabulary.mapInArrow(begin, f"c long, {numbers}").agg(F.sum("c"), *(F.sum(c) for c in names)).first()
     if not size:
         return docs.select(key, F.lit(0).alias("topic_id"))
-    first, added, alpha, sums = np.array(first), np.zeros(k), np.full(k, 1 / k), []
+    first, added, alpha, sums, tables = np.array(first), np.zeros(k), np.full(k, 1 / k), [], []
     kept, even = 1.0, 0.0  # weights of the start and, alike in all terms, of the prior
 
     def met(part: DataFrame):
@@ -173,19 +186,34 @@ def topics(docs: DataFrame, words: Column, k: int, key: str, least: int = 2, mos
 
     total = lambda: kept * (first + added) + size * even
     for t in range(rounds):
-        found = settle(met(d.where(F.col("batch") == t)).applyInArrow(learn(kept, even, total(), alpha), f"id long, seen long, {numbers}"))
+        # a row a term, not one for each of its blocks
+        found = met(d.where(F.col("batch") == t)).applyInArrow(learn(kept, even, total(), alpha), f"id long, seen long, {numbers}")
+        found = _kept(found.groupBy("id").agg(F.sum("seen").alias("seen"), *(F.sum(c).alias(c) for c in names)))
         rho = (TAU + t + 1) ** -KAPPA
         kept, even = kept * (1 - rho), even * (1 - rho) + rho / k
         scale = rho / kept * rounds
         said = {r.own: r for r in found.groupBy(F.col("id").isNull().alias("own")).agg(F.sum("seen").alias("seen"), *(F.sum(c).alias(c) for c in names)).collect()}  # two rows
         if False in said:
             added = added + scale * np.array([said[False][c] for c in names])
-            sums.append(settle(found.where("id is not null").groupBy("id").agg(*((F.sum(c) * F.lit(scale)).alias(c) for c in names))))
+            tables.append(found)
+            sums.append(found.where("id is not null").select("id", *((F.col(c) * F.lit(scale)).alias(c) for c in names)))
             if len(sums) > APART:
-                sums[:] = [settle(added_up())]
+                whole = _kept(added_up())
+                for old in tables:
+                    drop(old)
+                tables[:], sums[:] = [whole], [whole]
         if True in said and said[True].seen:
             alpha = _concentration(alpha, said[True].seen, np.array([said[True][c] for c in names]) / said[True].seen, rho)
-    return met(d).applyInArrow(assign(kept, even, total(), alpha), f"{key} {kind}, topic_id int")
+    if len(sums) > 1:
+        sums[:] = [_kept(added_up())]
+        for old in tables:
+            drop(old)
+    out = None
+    for t in range(0, rounds, TOGETHER):  # not all documents are on the disks with the rows of their terms at once
+        part = d.where(F.col("batch").between(t, t + TOGETHER - 1))
+        told = _kept(met(part).applyInArrow(assign(kept, even, total(), alpha), f"{key} {kind}, topic_id int"))
+        out = told if out is None else out.unionByName(told)
+    return out
 
 
 def _concentration(alpha: np.ndarray, n: int, log: np.ndarray, rho: float) -> np.ndarray:

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from corvane.operators import features, lda
@@ -49,6 +50,32 @@ def test_topics_by_blocks(spark, monkeypatch):
     assert all(want[i] == 0 for i in range(0, 120, 10)) and len(set(want.values())) > 1
 
 
+def test_rounds_leave_a_row_a_term_and_are_dropped(spark, monkeypatch):
+    """Before, each round left a row for each block and term, and tables that had been added up stayed."""
+    docs, words = corpus(spark, 60), F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}{3,}"), 0)
+    rows, gone, settle, drop = [], [], lda.settle, lda.drop
+
+    def kept(df):
+        out = settle(df)
+        if "seen" in out.columns:
+            rows.append((out.count(), out.select("id").distinct().count()))
+        return out
+
+    monkeypatch.setattr(lda, "settle", kept)
+    monkeypatch.setattr(lda, "drop", lambda df: gone.append((df, drop(df))))
+    monkeypatch.setattr(lda, "SIZE", 7)
+    monkeypatch.setattr(lda, "APART", 1)
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(setting)
+    assert lda.topics(docs, words, 3, "doc_id", rounds=3).count() == 60 and spark.conf.get(setting) == before
+    assert len(rows) == 3 and all(n == ids for n, ids in rows) and len(gone) >= 2
+    for df, _ in gone:
+        with pytest.raises(Exception, match="(?i)not.?exist|not.?found"):
+            spark.read.schema(df.schema).parquet(df.inputFiles()[0]).count()
+    with pytest.raises(ValueError, match="no settled table"):
+        drop(spark.read.parquet("/root/testdata/sf0.001/nation.parquet"))
+
+
 def test_no_vocabulary_on_the_driver(spark, monkeypatch):
     """Before, all words were collected and the model was a matrix there."""
     import pyspark.ml.feature
