@@ -24,6 +24,8 @@ from . import graph
 BLOCK, MOST_PIVOTS = 1000, 1024
 #: Blocks of a tile, about; a task holds two tiles. Tiles at the least, if there are as many blocks.
 TILE, LEAST_TILES = 32, 10
+#: Neighbours found, as a multiple of those sought, after which only nearer ones are looked for.
+MANY = 8
 #: Points whose tree one task condenses (24 bytes each); more raise.
 MOST_POINTS = 20_000_000
 #: Trees of an isolation forest, rows a tree sees, and rows that the trees draw from.
@@ -90,6 +92,28 @@ def _nearest(q: np.ndarray, v: np.ndarray, k: int, same: bool) -> tuple[np.ndarr
     return row, at, between(q[row], v[at])
 
 
+def _squares(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Squared distances of rows, but for rounding, by one product."""
+    one = np.ones((len(a), 1)), np.ones((len(b), 1))
+    return np.hstack([-2 * a, (a**2).sum(axis=1)[:, None], one[0]]) @ np.hstack([b, one[1], (b**2).sum(axis=1)[:, None]]).T
+
+
+def _reach(most: np.ndarray) -> np.ndarray:
+    """Squares that no row within ``most`` exceeds, rounding included; below 0 nothing is."""
+    return np.where(most < 0, -np.inf, most * most * (1 + 1e-9) + 1e-9)
+
+
+def _within(q: np.ndarray, v: np.ndarray, most: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each row of ``q`` the rows of ``v`` that are not further than ``most``: rows, places and distances, flat. Where these are many, the ``k``
+    nearest of each row are enough."""
+    d = _squares(q, v)
+    near = d <= _reach(most)[:, None]
+    if np.count_nonzero(near) > 2 * k * len(q):
+        return _nearest(q, v, k, False)
+    row, at = np.nonzero(near)
+    return row, at, between(q[row], v[at])
+
+
 def _by_tiles(pairs: DataFrame, rows: DataFrame, work: Callable[[dict, list], pd.DataFrame], schema: str) -> DataFrame:
     """``work`` on all ``pairs`` (``a, b``) of blocks, by pairs of tiles: a block's row is sent once to each pair of tiles that needs it, not once
     for each pair. ``work`` takes the rows by block and its pairs. ``rows``: one a block, settled."""
@@ -123,17 +147,26 @@ def neighbours(of: DataFrame, k: int) -> DataFrame:
     meta = told.select("block", "cell", "pivot", "lo", "hi", F.array_max("theta").alias("most"))
     pairs = meta.alias("a").join(meta.alias("b"), (F.col("a.block") == F.col("b.block")) | (_apart("a", "b") < F.col("a.most"))).select(F.col("a.block").alias("a"), F.col("b.block").alias("b"))  # a row a block, not a row a vector
 
+    def nearest(found: list) -> pd.DataFrame:
+        found = pd.concat(found)[["row", "other", "distance", "away"]].sort_values(["row", "distance", "away", "other"])
+        found = found.assign(at=found.groupby("row").cumcount())
+        return found[found["at"] < k]
+
     def search(rows: dict, met: list) -> pd.DataFrame:
         vectors = {c: np.array(r["vs"].tolist()) for c, r in rows.items()}
         out = []
-        for a, group in groupby(sorted(met), key=lambda x: x[0]):
-            theta, found = np.asarray(rows[a]["theta"]), []
+        for a, group in groupby(sorted(met, key=lambda x: (x[0], x[0] != x[1], x[1])), key=lambda x: x[0]):
+            first, theta, found, size = np.asarray(rows[a]["theta"]), np.array(rows[a]["theta"]), [], 0
             for _, b in group:
-                row, at, d = _nearest(vectors[a], vectors[b], k, a == b)
-                fits = (d < theta[row]) | (a == b)
+                row, at, d = _nearest(vectors[a], vectors[b], k, True) if a == b else _within(vectors[a], vectors[b], theta, k)
+                fits = (d < first[row]) | (a == b)
                 found.append(pd.DataFrame({"row": row[fits], "other": np.asarray(rows[b]["ids"])[at[fits]], "distance": d[fits], "away": int(a != b)}))
-            found = pd.concat(found).sort_values(["row", "distance", "away", "other"])
-            found = found[found.groupby("row").cumcount() < k]
+                size += len(found[-1])
+                if size > MANY * k * len(first):  # what comes later has to be as near as the nearest so far
+                    found = [nearest(found)]
+                    size, last = len(found[0]), found[0][found[0]["at"] == k - 1]
+                    theta[last["row"]] = np.minimum(theta[last["row"]], last["distance"])
+            found = nearest(found)
             out.append(found.assign(id=np.asarray(rows[a]["ids"])[found["row"].to_numpy()])[["id", "other", "distance", "away"]])
         return pd.concat(out)
 
@@ -170,6 +203,31 @@ def _joined(links: DataFrame) -> DataFrame:
     return settle(links.coalesce(1).mapInPandas(work, f"node {kind}, component {kind}"))
 
 
+def _crossing(v: np.ndarray, u: np.ndarray, c: np.ndarray, d: np.ndarray, s: np.ndarray, t: np.ndarray) -> tuple[np.ndarray | None, np.ndarray | None]:
+    """Rows and columns of different components (``c``, ``d``) that are not further than what either side searches (``s``, ``t``; below 0: not at all).
+    None where these are many."""
+    own, other, n = np.flatnonzero(s >= 0), np.flatnonzero(t >= 0), 8 * (len(s) + len(t))
+    if len(own) + len(other) >= len(s) / 2 + len(t) / 2:
+        own, other = np.arange(len(s)), other[:0]
+        limits = np.maximum(_reach(s)[:, None], _reach(t)) if (t >= 0).any() else _reach(s)[:, None]
+    else:
+        limits = _reach(s[own])[:, None]
+    x, y = np.nonzero((_squares(v[own], u) <= limits) & (c[own][:, None] != d))
+    row, col = own[x], y
+    if len(row) <= n and len(other):
+        x, y = np.nonzero((_squares(v, u[other]) <= _reach(t[other])) & (c[:, None] != d[other]))
+        row, col = np.r_[row, x], np.r_[col, other[y]]
+    return (row, col) if len(row) <= n else (None, None)
+
+
+def _least(v: np.ndarray, u: np.ndarray, e: np.ndarray, f: np.ndarray, c: np.ndarray, d: np.ndarray, s: np.ndarray, t: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each row and column what is least, but for rounding, and not beyond what its component has."""
+    w = np.maximum(np.maximum(_rough(v, u), e[:, None]), f[None, :])
+    w[c[:, None] == d[None, :]] = np.inf
+    fits = ((w <= w.min(axis=1, keepdims=True) + 1e-9) & (w <= s[:, None] + 1e-9)) | ((w <= w.min(axis=0, keepdims=True) + 1e-9) & (w <= t[None, :] + 1e-9))
+    return np.nonzero(fits & np.isfinite(w))
+
+
 def spanning_tree(of: DataFrame, near: DataFrame, samples: int) -> DataFrame:
     """``a, b, w`` (a < b): the minimum spanning tree of all rows by mutual reachability, exactly.
 
@@ -207,11 +265,9 @@ def spanning_tree(of: DataFrame, near: DataFrame, samples: int) -> DataFrame:
             out = []
             for p, q in met:
                 (i, v, e, c, s), (j, u, f, d, t) = sides[p], sides[q]
-                w = np.maximum(np.maximum(_rough(v, u), e[:, None]), f[None, :])
-                w[c[:, None] == d[None, :]] = np.inf
-                # of each row and column what is least, but for rounding, and not beyond what its component has
-                fits = ((w <= w.min(axis=1, keepdims=True) + 1e-9) & (w <= s[:, None] + 1e-9)) | ((w <= w.min(axis=0, keepdims=True) + 1e-9) & (w <= t[None, :] + 1e-9))
-                row, col = np.nonzero(fits & np.isfinite(w))
+                row, col = _crossing(v, u, c, d, s, t)
+                if row is None:
+                    row, col = _least(v, u, e, f, c, d, s, t)
                 exact = np.maximum(np.maximum(between(v[row], u[col]), e[row]), f[col])
                 lo, hi = np.minimum(i[row], j[col]), np.maximum(i[row], j[col])
                 both = pd.DataFrame({"c": np.r_[c[row], d[col]], "w": np.r_[exact, exact], "x": np.r_[lo, lo], "y": np.r_[hi, hi], "o": np.r_[d[col], c[row]]})
@@ -314,9 +370,9 @@ def density_clusters(vectors: DataFrame, least: int = 10, samples: int = 5, nois
     clusters of ``retry`` (least size, samples) are taken. Distances are those of vectors of length 1."""
     of = blocks(vectors.dropDuplicates([key]), key, vector)
     points = of.select(F.explode("ids").alias("id"))
-    out = None
+    near, out = neighbours(of, 2 * max(samples, retry[1]) + 5), None  # more neighbours than asked for: fewer searches
     for size, s in ((least, samples), retry):
-        out = labelled(points, spanning_tree(of, neighbours(of, 2 * s + 5), s), size)  # more neighbours than asked for: fewer searches
+        out = labelled(points, spanning_tree(of, near, s), size)
         share = out.agg(F.avg((F.col("cluster") < 0).cast("double")).alias("x")).first()[0]
         if share is None or share <= noise:
             break

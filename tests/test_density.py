@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from corvane.operators import density
 
@@ -210,3 +211,31 @@ def test_blocks_go_once_to_each_pair_of_tiles(spark):
     assert sorted((r.a, r.b) for r in got) == sorted((f"{i}", f"{j}") for i in range(n) for j in range(n))
     assert all(r.v == int(r.a) * 1000 + int(r.b) for r in got)
     assert n < sum(r.sent for r in got) <= n * density.LEAST_TILES
+
+
+def test_pairs_of_blocks_are_searched_for_what_is_within_reach(spark, monkeypatch):
+    """Before, each pair of blocks was sorted by its rows' nearest and least edges, whatever had been found; and neighbours were sought for both sets of clusters."""
+    rng = np.random.default_rng(4)
+    v, u = rng.normal(size=(200, 8)), rng.normal(size=(300, 8))
+    exact = np.sqrt(((v[:, None] - u[None]) ** 2).sum(axis=2))
+    most = np.sort(exact, axis=1)[:, 3] - np.r_[np.zeros(100), np.full(100, 9.0)]
+    got = {(r, c) for r, c in zip(*density._within(v, u, most, 5)[:2], strict=True)}
+    assert got == {(r, c) for r, c in zip(*np.nonzero(exact <= most[:, None]), strict=True)} and len(got) == 400
+    c, d = rng.integers(0, 3, 200), rng.integers(0, 3, 300)
+    for t in (np.full(300, -1.0), np.where(rng.random(300) < 0.1, 1.2, -1), np.full(300, 1.1)):
+        s = np.where(rng.random(200) < 0.3, 1.2, -1)
+        row, col = density._crossing(v, u, c, d, s, t)
+        want = {(int(r), int(k)) for r, k in zip(*np.nonzero((exact <= np.maximum(s[:, None], t)) & (c[:, None] != d)), strict=True)}
+        assert want and {(int(r), int(k)) for r, k in zip(row, col, strict=True)} == want
+    assert density._crossing(v, u, c, d, np.full(200, np.inf), t)[0] is None
+    calls, neighbours = [], density.neighbours
+    monkeypatch.setattr(density, "MANY", 1)
+    monkeypatch.setattr(density, "BLOCK", 20)
+    monkeypatch.setattr(density, "neighbours", lambda of, k: calls.append(k) or neighbours(of, k))
+    x = rng.normal(size=(90, 6))
+    density.density_clusters(frame(spark, x), noise=-1.0).count()
+    assert calls == [15]
+    x = x / np.linalg.norm(x, axis=1)[:, None]
+    far = np.sqrt(((x[:, None] - x[None]) ** 2).sum(axis=2))
+    for r in neighbours(density.blocks(frame(spark, x)), 7).groupBy("id").agg(F.sort_array(F.collect_list("distance")).alias("d")).collect():
+        assert np.allclose(r.d, np.sort(far[(r.id - 1) // 3])[1:8])
