@@ -108,9 +108,10 @@ def _within(q: np.ndarray, v: np.ndarray, most: np.ndarray, k: int) -> tuple[np.
     nearest of each row are enough."""
     d = _squares(q, v)
     near = d <= _reach(most)[:, None]
-    if np.count_nonzero(near) > 2 * k * len(q):
-        return _nearest(q, v, k, False)
-    row, at = np.nonzero(near)
+    if k < len(v) and np.count_nonzero(near) > k * len(q):
+        row, at = np.repeat(np.arange(len(q)), k), np.argpartition(d, k - 1, axis=1)[:, :k].ravel()
+    else:
+        row, at = np.nonzero(near)
     return row, at, between(q[row], v[at])
 
 
